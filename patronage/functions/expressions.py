@@ -63,7 +63,7 @@ def present(df: DataFrame) -> DataFrame:
             col = F.date_format(col, "yyyy-MM-dd")
         elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
             col = F.date_format(col, "yyyy-MM-dd HH:mm:ss")
-        elif isinstance(field.dataType, T.DoubleType):
-            col = F.round(col, RATE_DIGITS)
+        elif isinstance(field.dataType, (T.DoubleType, T.DecimalType)):
+            col = F.round(col.cast("double"), RATE_DIGITS)
         out.append(col.alias(field.name))
     return df.select(*out)

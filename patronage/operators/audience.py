@@ -31,14 +31,16 @@ def due_on(time: Column, days: Column, day: date) -> Column:
 def latest_trade_per_buyer(trades: DataFrame, subscribed: DataFrame, day: date, days: int = HORIZON) -> DataFrame:
     """Latest trade of each buyer in each subscribed shop, when its care day is today.
 
-    The rank filter keeps one row per buyer on the map side.
+    Of trades placed at the same latest time, one that is due is taken. The rank filter keeps only
+    the latest rows per buyer on the map side.
     """
     shops = subscribed.select(F.col("shop_id").alias("dp_id"), "care_days")
-    w = Window.partitionBy("dp_id", "buyer_nick").orderBy(F.col("created").desc(), F.col("tid").desc())
-    recent = recent_orders(trades, day, days).withColumn("rank", F.row_number().over(w))
+    buyer = Window.partitionBy("dp_id", "buyer_nick")
+    recent = recent_orders(trades, day, days).withColumn("rank", F.rank().over(buyer.orderBy(F.col("created").desc())))
     latest = recent.filter(F.col("rank") == 1).drop("rank").join(shops, "dp_id")
     wait = F.col("care_days")
-    return latest.filter(due_on(F.col("pay_time"), wait, day) | due_on(F.col("end_time"), wait, day)).drop("care_days")
+    due = latest.filter(due_on(F.col("pay_time"), wait, day) | due_on(F.col("end_time"), wait, day)).drop("care_days")
+    return due.withColumn("rank", F.row_number().over(buyer.orderBy(F.col("tid").desc()))).filter(F.col("rank") == 1).drop("rank")
 
 
 def enrich_audience(rows: DataFrame, members: DataFrame, rfm_event: DataFrame, period: int = FULL_PERIOD) -> DataFrame:
@@ -90,8 +92,9 @@ def exclude_rebought(due: DataFrame, orders: DataFrame, day: date, days: int = H
     it. Orders are first reduced to one row per buyer, shop, item and day; each due item then meets
     one row that holds the days of the horizon, so a busy buyer never forms pairs of orders.
     """
-    bought = recent_orders(orders, day, days).filter(F.col("pay_time").isNotNull())
     buyer = ["dp_id", "buyer_nick"]
+    bought = recent_orders(orders, day, days).filter(F.col("pay_time").isNotNull())
+    bought = bought.join(due.select(*buyer), buyer, "left_semi")
     daily = bought.groupBy(*buyer, "cid", "num_iid", F.to_date("created").alias("day")).agg(
         F.min("created").alias("first"), F.max("created").alias("last")
     )
@@ -111,7 +114,8 @@ def exclude_rebought(due: DataFrame, orders: DataFrame, day: date, days: int = H
     joined = marked.join(calendar, [*buyer, "mode", "scope"], "left")
     latest = F.col("created") + F.make_dt_interval(days=F.col("config_period"))
     again = F.exists("days", lambda d: (d["last"] > F.col("created")) & (d["first"] <= latest))
-    kept = joined.filter((F.col("mode") == KEEP_ALL) | ~F.coalesce(again, F.lit(False)))
+    known = F.col("mode").isin(KEEP_ALL, SAME_SHOP, SAME_CATEGORY, SAME_ITEM)
+    kept = joined.filter(known & ((F.col("mode") == KEEP_ALL) | ~F.coalesce(again, F.lit(False))))
     return kept.select(*due.columns)
 
 

@@ -6,9 +6,12 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from patronage.functions.calendar import until
+
 COMMERCE_DAY = date(2001, 6, 30)
 LAST_RUN = date(2001, 5, 31)
 ACTION_DAY = date(2024, 1, 31)
+FIRST_DAYS = date(1995, 1, 2)
 
 EVENT_METRICS = [
     "trade_count",
@@ -144,10 +147,9 @@ class Tables:
     def shop_customer(self) -> DataFrame:
         return self._customers(self.trade)
 
-    @cached_property
-    def known_customers(self) -> DataFrame:
-        """The customer table as it stood at the last run."""
-        return self._customers(self.trade.filter(F.col("arrived") <= F.lit(LAST_RUN)))
+    def customers_by(self, day: date) -> DataFrame:
+        """The customer table as it stood at the end of the day."""
+        return self._customers(self.trade.filter(until(F.col("arrived"), day)))
 
     @cached_property
     def order_item(self) -> DataFrame:
@@ -484,6 +486,6 @@ class Tables:
 
     @cached_property
     def known_tenants(self) -> DataFrame:
-        """Tenants that had a valid order before the year 1995 was half over."""
-        early = self.trade.filter((F.col("created") < F.lit(date(1995, 1, 3))) & (F.col("order_status") != "TRADE_CLOSED"))
+        """Tenants that already had an accepted order on the first day."""
+        early = self.trade.filter((F.col("created") < F.lit(FIRST_DAYS)) & (F.col("order_status") != "TRADE_CLOSED"))
         return early.join(self.tenant_shop.select("tenant", "uni_shop_id"), "uni_shop_id").select("tenant").distinct()
