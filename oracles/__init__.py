@@ -1 +1,5 @@
-ORACLES: dict[str, str] = {}
+"""SQL counterparts of the named queries, for DuckDB over the raw tables."""
+
+from oracles import members, reports, wide
+
+ORACLES: dict[str, str] = {**wide.O, **reports.O, **members.O}

@@ -54,8 +54,13 @@ def zero_filled(cols: list[str]) -> dict[str, Column]:
     return {c: F.coalesce(F.col(c), F.lit(0)) for c in cols}
 
 
+def rounded(df: DataFrame, *cols: str) -> DataFrame:
+    """Six decimals for values whose last digits depend on the order of additions."""
+    return df.withColumns({c: F.round(c, RATE_DIGITS) for c in cols})
+
+
 def present(df: DataFrame) -> DataFrame:
-    """Report form: dates and times as text, fractions with six decimals."""
+    """Report form: dates and times as text, decimals as doubles."""
     out = []
     for field in df.schema.fields:
         col = F.col(f"`{field.name}`")
@@ -63,7 +68,7 @@ def present(df: DataFrame) -> DataFrame:
             col = F.date_format(col, "yyyy-MM-dd")
         elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
             col = F.date_format(col, "yyyy-MM-dd HH:mm:ss")
-        elif isinstance(field.dataType, (T.DoubleType, T.DecimalType)):
-            col = F.round(col.cast("double"), RATE_DIGITS)
+        elif isinstance(field.dataType, T.DecimalType):
+            col = col.cast("double")
         out.append(col.alias(field.name))
     return df.select(*out)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from patronage.constants import CUSTOMER_KEYS, LEVEL_KEYS, PLATFORM, TENANT
 from patronage.functions import calendar
 from patronage.functions.buckets import point_bucket
-from patronage.functions.expressions import count_if, present, valid_timestamp, with_tokens_null
+from patronage.functions.expressions import count_if, present, rounded, valid_timestamp, with_tokens_null
 from patronage.operators import (
     assets,
     audience,
@@ -560,18 +560,19 @@ def b7_comparable_categories(m: Marts) -> DataFrame:
 
 @query
 def b8_category_repurchase(m: Marts) -> DataFrame:
-    return category.category_repurchase(m.full_top, m.shop_rows)
+    return rounded(category.category_repurchase(m.full_top, m.shop_rows), "rate", "new_rate", "old_rate")
 
 
 @query
 def b9_category_retention(m: Marts) -> DataFrame:
-    return category.category_retention(m.full_top, m.shop_rows)
+    return rounded(category.category_retention(m.full_top, m.shop_rows), "retention_rate")
 
 
 @query
 def b10_category_assets(m: Marts) -> DataFrame:
     repurchase = category.category_repurchase(m.full_top, m.shop_rows)
-    return category.category_assets(repurchase, category.category_retention(m.full_top, m.shop_rows), m.day)
+    report = category.category_assets(repurchase, category.category_retention(m.full_top, m.shop_rows), m.day)
+    return rounded(report, "active_customer_rate", "new_customer_rate", "old_customer_rate", "retention_rate")
 
 
 @query
@@ -796,17 +797,17 @@ def o12_consumption_report(m: Marts) -> DataFrame:
 
 @query
 def l1_communication(m: Marts) -> DataFrame:
-    return m.communication
+    return rounded(m.communication, "communication")
 
 
 @query
 def l2_influence(m: Marts) -> DataFrame:
-    return m.influence
+    return rounded(m.influence, "influence")
 
 
 @query
 def l3_activity(m: Marts) -> DataFrame:
-    return m.activity
+    return rounded(m.activity, "activity")
 
 
 @query
@@ -888,7 +889,8 @@ def d3_day_summary(m: Marts) -> DataFrame:
 
 @query
 def d4_order_funnel(m: Marts) -> DataFrame:
-    return dashboard.order_funnel(m.t.top_trade, m.day)
+    funnel = dashboard.order_funnel(m.t.top_trade, m.day)
+    return rounded(funnel, *[f"rate_shiping_time_{step}" for step in ("paytime", "sends", "finished")])
 
 
 @query
