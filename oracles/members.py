@@ -170,7 +170,7 @@ for suffix, source in (("", "wide"), ("_history", "history")):
     cte(
         f"link{suffix}",
         f"""SELECT * FROM shop_link{suffix} UNION ALL
-        SELECT w.stat_date, w.type, w.tenant, w.plat_code, w.uni_shop_id, w.uni_id, {CLASS}, h.card_plan_id, h.member_id, h.grade FROM {source} w
+        SELECT w.stat_date, w.type, w.tenant, w.plat_code, w.uni_shop_id, w.uni_id, w.class, h.card_plan_id, h.member_id, h.grade FROM (SELECT *, {CLASS} AS class FROM {source}) w
         LEFT JOIN held{suffix} h ON h.stat_date = w.stat_date AND h.type = w.type AND h.tenant = w.tenant AND h.uni_id = w.uni_id AND h.plat_code IS NOT DISTINCT FROM w.plat_code
         WHERE w.type < 3""",
         f"shop_link{suffix}", f"held{suffix}", source,
