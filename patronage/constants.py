@@ -48,5 +48,6 @@ YESTERDAY, THIS_WEEK, THIS_MONTH, LAST_7_DAYS, LAST_30_DAYS = 1, 2, 3, 4, 5
 MONEY_DIGITS = 2
 RATE_DIGITS = 6
 
-CUSTOMER_KEYS = ["tenant", "plat_code", "uni_shop_id", "uni_id"]
+# The most selective key comes first: sorts compare the first column by its prefix.
+CUSTOMER_KEYS = ["uni_id", "uni_shop_id", "plat_code", "tenant"]
 LEVEL_KEYS = ["type", "tenant", "plat_code", "uni_shop_id"]

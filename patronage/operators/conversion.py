@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from patronage.constants import ALL_MONTHS, LEVEL_KEYS
 from patronage.functions.calendar import is_month_end, shift_months_col
 from patronage.functions.expressions import count_if, money_sum
-from patronage.operators.rfm_wide import per_level
+from patronage.operators.levels import LEVELED, decoded, per_level
 
 KEYS = ["stat_date", *LEVEL_KEYS, "card_plan_id"]
 
@@ -46,10 +46,9 @@ def consume_transform(myv: DataFrame) -> DataFrame:
 
     Each member is summed up once per level before counting, so nobody counts twice at upper levels.
     """
-    cols = ["stat_date", "tenant", "card_plan_id", "join_month", "member_id"]
-    leveled = per_level(myv).select("level.*", *cols, "payment", "orders")
-    per_member = leveled.groupBy(*KEYS, "join_month", "member_id").agg(
-        money_sum(F.col("payment")).alias("payment"), F.sum("orders").alias("orders")
+    keys = ["member_id", "card_plan_id", "join_month", "stat_date", *LEVELED]
+    per_member = decoded(
+        per_level(myv).groupBy(*keys).agg(money_sum(F.col("payment")).alias("payment"), F.sum("orders").alias("orders"))
     )
     frequency = F.least(F.col("orders"), F.lit(5))
     cells = per_member.groupBy(*KEYS, "join_month").agg(

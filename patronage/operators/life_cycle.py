@@ -1,17 +1,18 @@
 """Customer life cycle per membership plan and grade."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from patronage.constants import ALL_MEMBERS, LEVEL_KEYS, NON_MEMBER, SHOP, TOTAL
 from patronage.functions.calendar import is_month_end
 from patronage.functions.expressions import count_if
 from patronage.operators.assets import bought_by, new_in_year
-from patronage.operators.rfm_wide import per_level
+from patronage.operators.levels import LEVELED, LEVELED_CUSTOMER, coded, decoded, per_level
 
 KEYS = ["stat_date", *LEVEL_KEYS]
 CLASSES = ("prospective", "active_new", "phurce_new", "active_old", "phurce_old", "silent", "loss")
 COUNTS = [*CLASSES, "whole"]
+CARD = "struct<card_plan_id: string, member_id: string, grade: int>"
 
 
 def life_cycle_class() -> Column:
@@ -40,88 +41,116 @@ def member_grades(members: DataFrame, relation: DataFrame) -> DataFrame:
     return base.join(relation.select("card_plan_id", "member_id", "uni_id"), ["card_plan_id", "member_id"])
 
 
-def shop_link(wide: DataFrame, card_shop: DataFrame, members: DataFrame, relation: DataFrame) -> DataFrame:
-    """Shop customers with the plans of the shop and, when they joined by the day, member and grade."""
-    rows = wide.filter(F.col("type") == SHOP).withColumn("class", life_cycle_class())
-    planned = rows.select(*KEYS, "uni_id", "class").join(plan_shops(card_shop), ["plat_code", "uni_shop_id"]).alias("c")
-    grades = member_grades(members, relation).alias("m")
-    same = (
-        (F.col("c.card_plan_id") == F.col("m.card_plan_id"))
-        & (F.col("c.uni_id") == F.col("m.uni_id"))
-        & (F.col("m.joined") <= F.col("c.stat_date"))
-    )
-    return planned.join(grades, same, "left").select(
-        *[F.col(f"c.{k}") for k in KEYS], "c.uni_id", "c.class", "m.card_plan_id", "m.member_id", "m.grade"
-    )
+def memberships(wide: DataFrame, card_shop: DataFrame, members: DataFrame, relation: DataFrame) -> DataFrame:
+    """Plan, member and grade of shop customers who joined the shop's plan by the snapshot day."""
+    rows = wide.filter(F.col("type") == SHOP).select("stat_date", "tenant", "plat_code", "uni_shop_id", "uni_id")
+    grades = member_grades(members, relation)
+    joined = rows.join(plan_shops(card_shop), ["uni_shop_id", "plat_code"]).join(grades, ["uni_id", "card_plan_id"])
+    return joined.filter(F.col("joined") <= F.col("stat_date")).drop("joined")
 
 
-def customer_member_link(wide: DataFrame, card_shop: DataFrame, members: DataFrame, relation: DataFrame) -> DataFrame:
-    """Every customer of a level with class, plan and grade; null plan for non-members.
+def customers_with_cards(wide: DataFrame, card_shop: DataFrame, members: DataFrame, relation: DataFrame) -> DataFrame:
+    """One row per customer and level with class and the list of memberships.
 
-    Above the shop level a customer keeps the memberships seen in the shops below.
+    Shop rows are those of shops with a plan. Above the shop level a customer keeps the memberships
+    seen in the shops below. A customer has a handful of cards, so the list stays short.
     """
-    shop = shop_link(wide, card_shop, members, relation)
-    held = per_level(shop.filter(F.col("grade").isNotNull()).drop("type"))
-    held = held.select("stat_date", "tenant", "level.*", "uni_id", "card_plan_id", "member_id", "grade")
-    held = held.filter(F.col("type") != SHOP).distinct().alias("h")
-    upper = wide.filter(F.col("type") != SHOP).withColumn("class", life_cycle_class()).select(*KEYS, "uni_id", "class").alias("c")
-    same = F.lit(True)
-    for key in (*KEYS, "uni_id"):
-        same = same & F.col(f"c.{key}").eqNullSafe(F.col(f"h.{key}"))
-    joined = upper.join(held, same, "left").select("c.*", "h.card_plan_id", "h.member_id", "h.grade")
-    return shop.unionByName(joined)
+    classed = wide.withColumn("class", life_cycle_class()).select(*KEYS, "uni_id", "class")
+    planned = plan_shops(card_shop).select("uni_shop_id").distinct().withColumn("has_plan", F.lit(True))
+    rows = classed.join(planned, "uni_shop_id", "left").filter((F.col("type") != SHOP) | F.col("has_plan"))
+    own = coded(rows).select(*LEVELED_CUSTOMER, "stat_date", "class", F.lit(None).cast(CARD).alias("card"))
+    held = per_level(memberships(wide, card_shop, members, relation))
+    card = F.struct("card_plan_id", "member_id", "grade").cast(CARD)
+    cards = held.select(*LEVELED_CUSTOMER, "stat_date", F.lit(None).cast("string").alias("class"), card.alias("card"))
+    grouped = own.unionByName(cards).groupBy(*LEVELED_CUSTOMER, "stat_date").agg(
+        F.max("class").alias("class"), F.collect_set("card").alias("cards")
+    )
+    return decoded(grouped.filter(F.col("class").isNotNull()))
+
+
+def customer_member_link(wide: DataFrame, card_shop: DataFrame, members: DataFrame, relation: DataFrame) -> DataFrame:
+    """Every customer of a level with class, plan and grade; null plan for non-members."""
+    rows = customers_with_cards(wide, card_shop, members, relation)
+    return rows.select(*KEYS, "uni_id", "class", F.explode_outer("cards").alias("card")).select(*KEYS, "uni_id", "class", "card.*")
 
 
 def _class_counts() -> list[Column]:
     return [*[count_if(F.col("class") == c).alias(c) for c in CLASSES], F.count("*").alias("whole")]
 
 
-def life_cycle_by_grade(link: DataFrame) -> DataFrame:
+def _cells(customers: DataFrame) -> DataFrame:
+    """Customers per plan and grade, and all customers in the cell without plan and grade."""
+    plan = F.array_distinct(F.transform("cards", lambda c: F.struct(c["card_plan_id"].alias("card_plan_id"), c["grade"].alias("grade"))))
+    everybody = F.array(F.struct(F.lit(None).cast("string").alias("card_plan_id"), F.lit(None).cast("int").alias("grade")))
+    spread = customers.withColumn("cell", F.explode(F.concat(everybody, plan))).select(*KEYS, "class", "cell.*")
+    return spread.groupBy(*KEYS, "card_plan_id", "grade").agg(*_class_counts())
+
+
+def life_cycle_by_grade(customers: DataFrame) -> DataFrame:
     """Distinct member customers per plan and grade, by class."""
-    members = link.filter(F.col("grade").isNotNull())
-    return members.select(*KEYS, "card_plan_id", "grade", "uni_id", "class").distinct().groupBy(*KEYS, "card_plan_id", "grade").agg(
-        *_class_counts()
+    return _cells(customers).filter(F.col("grade").isNotNull())
+
+
+def _plans(customers: DataFrame) -> DataFrame:
+    """Per plan the rows of its grades, the sums over them and the counts of all customers."""
+    cells = _cells(customers)
+    entity = Window.partitionBy(*KEYS)
+    everybody = F.col("grade").isNull()
+    placed = cells.withColumns(
+        {
+            **{f"all_{c}": F.max(F.when(everybody, F.col(c))).over(entity) for c in COUNTS},
+            "grades": F.count("grade").over(entity),
+        }
+    )
+    # All customers stand alone only where there is no member at all.
+    kept = placed.filter(~everybody | (F.col("grades") == 0))
+    cell = F.struct("grade", *COUNTS)
+    return kept.groupBy(*KEYS, "card_plan_id").agg(
+        F.collect_list(F.when(F.col("grade").isNotNull(), cell)).alias("rows"),
+        *[F.sum(F.when(F.col("grade").isNotNull(), F.col(c))).alias(f"member_{c}") for c in COUNTS],
+        *[F.max(f"all_{c}").alias(f"all_{c}") for c in COUNTS],
     )
 
 
-def life_cycle_totals(link: DataFrame, by_grade: DataFrame) -> DataFrame:
-    """Rows of all members, all customers and non-members of each plan."""
-    everybody = link.select(*KEYS, "uni_id", "class").distinct().groupBy(*KEYS).agg(*_class_counts()).alias("a")
-    members = by_grade.groupBy(*KEYS, "card_plan_id").agg(*[F.sum(c).alias(c) for c in COUNTS])
-    same = F.lit(True)
-    for key in KEYS:
-        same = same & F.col(f"a.{key}").eqNullSafe(F.col(f"m.{key}"))
-    both = everybody.join(members.alias("m"), same, "left")
-    keys = [F.col(f"a.{k}") for k in KEYS]
+def _row(grade: int, pick) -> Column:
+    return F.struct(F.lit(grade).alias("grade"), *[pick(c).alias(c) for c in COUNTS])
+
 
-    def row(grade: int, pick) -> Column:
-        return F.struct(F.lit(grade).alias("grade"), *[pick(c).alias(c) for c in COUNTS])
+def _total_rows() -> Column:
+    member = _row(ALL_MEMBERS, lambda c: F.col(f"member_{c}"))
+    everybody = _row(TOTAL, lambda c: F.col(f"all_{c}"))
+    others = _row(NON_MEMBER, lambda c: F.col(f"all_{c}") - F.coalesce(f"member_{c}", F.lit(0)))
+    return F.when(F.col("member_whole").isNull(), F.array(everybody, others)).otherwise(F.array(member, everybody, others))
 
-    def rest(c: str) -> Column:
-        return F.col(f"a.{c}") - F.coalesce(F.col(f"m.{c}"), F.lit(0))
 
-    rows = F.array(row(TOTAL, lambda c: F.col(f"a.{c}")), row(NON_MEMBER, rest))
-    exploded = both.select(*keys, "m.card_plan_id", F.explode(rows).alias("row")).select(*KEYS, "card_plan_id", "row.*")
-    return exploded.unionByName(members.withColumn("grade", F.lit(ALL_MEMBERS)))
+def _spread(plans: DataFrame, rows: Column) -> DataFrame:
+    return plans.select(*KEYS, "card_plan_id", F.explode(rows).alias("row")).select(*KEYS, "card_plan_id", "row.*")
+
+
+def life_cycle_totals(customers: DataFrame) -> DataFrame:
+    """Rows of all members, all customers and non-members of each plan."""
+    return _spread(_plans(customers), _total_rows())
 
 
 def life_cycle_report(wide: DataFrame, card_shop: DataFrame, members: DataFrame, relation: DataFrame) -> DataFrame:
-    link = customer_member_link(wide, card_shop, members, relation)
-    by_grade = life_cycle_by_grade(link)
-    report = by_grade.unionByName(life_cycle_totals(link, by_grade))
+    """Grade rows and totals of all levels in one pass over the customers."""
+    plans = _plans(customers_with_cards(wide, card_shop, members, relation))
+    report = _spread(plans, F.concat(F.col("rows"), _total_rows()))
     return report.withColumn("end_month", is_month_end(F.col("stat_date")))
 
 
 def life_cycle_simple(wide: DataFrame, card_shop: DataFrame, members: DataFrame, relation: DataFrame) -> DataFrame:
     """Older form: grade rows, one non-member row without plan, totals, and shop rows summed upward."""
     rows = wide.filter(F.col("type") == SHOP).withColumn("class", life_cycle_class()).select(*KEYS, "uni_id", "class")
-    grades = shop_link(wide, card_shop, members, relation).filter(F.col("grade").isNotNull())
-    held = grades.select(*KEYS, "uni_id", "card_plan_id", "grade").distinct()
-    marked = rows.join(held, [*KEYS, "uni_id"], "left").withColumn("grade", F.coalesce("grade", F.lit(NON_MEMBER)))
+    held = memberships(wide, card_shop, members, relation).select(
+        "stat_date", "tenant", "plat_code", "uni_shop_id", "uni_id", "card_plan_id", "grade"
+    ).distinct()
+    on = ["uni_id", "uni_shop_id", "plat_code", "tenant", "stat_date"]
+    marked = rows.join(held, on, "left").withColumn("grade", F.coalesce("grade", F.lit(NON_MEMBER)))
     shop = marked.groupBy(*KEYS, "card_plan_id", "grade").agg(*_class_counts())
     sums = [F.sum(c).alias(c) for c in COUNTS]
-    leveled = per_level(shop.drop("type")).select("stat_date", "tenant", "level.*", "card_plan_id", "grade", *COUNTS)
-    grade_rows = leveled.groupBy(*KEYS, "card_plan_id", "grade").agg(*sums)
+    leveled = per_level(shop.drop("type")).groupBy("stat_date", *LEVELED, "card_plan_id", "grade").agg(*sums)
+    grade_rows = decoded(leveled)
     by_plan = [*KEYS, "card_plan_id"]
     member_rows = grade_rows.filter(F.col("grade") != NON_MEMBER).groupBy(*by_plan).agg(*sums).withColumn("grade", F.lit(ALL_MEMBERS))
     all_rows = grade_rows.groupBy(*by_plan).agg(*sums).withColumn("grade", F.lit(TOTAL))

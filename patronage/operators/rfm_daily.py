@@ -150,31 +150,37 @@ def final_daily_rfm(customers: DataFrame, changed: DataFrame, new: DataFrame, ag
     ).select(*STATE_COLUMNS)
 
 
-def daily_rfm(customers: DataFrame, previous: DataFrame, base: DataFrame, delta: DataFrame, day: date) -> DataFrame:
-    """One nightly step from the previous snapshot, the trades it was built from and the day's delta.
+def settle(customers: DataFrame, increment: DataFrame, aged: DataFrame, day: date) -> DataFrame:
+    """Today's rows of all known customers in one pass.
 
-    Trades that are delivered again would be counted twice by adding them, so their customers are
-    rebuilt from the latest trade versions; everybody else is aged and merged.
+    Gives the rows of `merge_changed`, `insert_new` and `final_daily_rfm` without computing the aged
+    snapshot and the increment once for each of them.
     """
-    return settle(customers, *daily_parts(customers, previous, base, delta, day), day)
+    joined = (
+        customers.select(*CUSTOMER_KEYS, "modified").alias("c")
+        .join(aged.alias("a"), CUSTOMER_KEYS, "left")
+        .join(increment.alias("i"), CUSTOMER_KEYS, "left")
+    )
+    cols = merged_columns("a", "i")
+    cols["earliest_time"] = earliest(cols["earliest_time"], F.col("modified"))
+    rows = joined.select(*CUSTOMER_KEYS, F.lit(day).alias("stat_date"), *[c.alias(n) for n, c in cols.items()])
+    return rows.withColumn("first_payment", F.coalesce("first_payment", F.lit(0.0))).select(*STATE_COLUMNS)
+
 
+def daily_rfm(customers: DataFrame, previous: DataFrame, base: DataFrame, delta: DataFrame, day: date) -> DataFrame:
+    """One nightly step from the previous snapshot, the trades it was built from and the day's delta.
 
-def daily_parts(customers: DataFrame, previous: DataFrame, base: DataFrame, delta: DataFrame, day: date) -> tuple[DataFrame, ...]:
-    """Increment of the new trades, aged snapshot and rebuilt rows of customers with redelivered trades."""
+    Adding a trade that is delivered again would count it twice, so customers with such trades are
+    rebuilt from the latest versions; everybody else is aged and merged.
+    """
     known = base.select(*TRADE_KEY, F.col("uni_id").alias("old_uni_id"))
     again = delta.select(*TRADE_KEY, "uni_id").join(known, TRADE_KEY)
     holders = F.explode(F.array_distinct(F.array("uni_id", "old_uni_id"))).alias("uni_id")
     redelivered = again.select("tenant", "plat_code", "uni_shop_id", holders).distinct()
-    added = delta.join(redelivered, CUSTOMER_KEYS, "left_anti")
     year_out = boundary_metrics(boundary_day_trades(base, day, 12))
     tyear_out = boundary_metrics(boundary_day_trades(base, day, 24))
     aged = age_rfm(previous, year_out, tyear_out, year_bounds(base, year_out, day), customers, day)
-    rebuilt_trades = latest_versions(base, delta).join(redelivered, CUSTOMER_KEYS, "left_semi")
-    rebuilt = increment_rfm(rebuilt_trades, day)
-    return increment_rfm(added, day), aged.join(redelivered, CUSTOMER_KEYS, "left_anti"), rebuilt
-
-
-def settle(customers: DataFrame, increment: DataFrame, aged: DataFrame, rebuilt: DataFrame, day: date) -> DataFrame:
-    changed = merge_changed(increment, aged)
-    new = insert_new(increment, aged).unionByName(rebuilt)
-    return final_daily_rfm(customers, changed, new, aged, day)
+    added = delta.join(redelivered, CUSTOMER_KEYS, "left_anti")
+    latest = latest_versions(base, delta).join(redelivered, CUSTOMER_KEYS, "left_semi")
+    kept = aged.join(redelivered, CUSTOMER_KEYS, "left_anti")
+    return settle(customers, increment_rfm(added.unionByName(latest), day), kept, day)

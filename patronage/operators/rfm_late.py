@@ -87,7 +87,11 @@ def late_patch(snapshots: DataFrame, late: DataFrame, new: DataFrame) -> DataFra
 
 
 def patch_month_ends(snapshots: DataFrame, delta: DataFrame, customers: DataFrame, month_ends: list[date]) -> DataFrame:
-    """Shop-level snapshots after the late trades. `delta` must hold only trades unseen so far."""
+    """Shop-level snapshots after the late trades.
+
+    `snapshots` should be a stored table: it is read twice, once with its key columns only. `delta`
+    must hold only trades unseen so far.
+    """
     late = late_rows(delta, month_ends)
     return late_patch(snapshots, late, late_new_customers(late, snapshots, customers))
 

@@ -5,9 +5,10 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from patronage.constants import CUSTOMER_KEYS, MONEY_DIGITS, PLATFORM, SHOP, TENANT
+from patronage.constants import CUSTOMER_KEYS, MONEY_DIGITS, PLATFORM
 from patronage.functions.calendar import Windows, month_ends, until, windows
 from patronage.functions.expressions import money_sum
+from patronage.operators.levels import LEVELED_CUSTOMER, decoded, per_level
 
 PERIODS = ("year", "tyear", "btyear")
 MEASURES = [f"{p}_{m}" for p in PERIODS for m in ("payment", "buy_times", "buy_num")]
@@ -136,11 +137,12 @@ def _ranked(lower: DataFrame, keys: list[str], tie: list[str]) -> DataFrame:
 
 
 def _first_second() -> list[Column]:
+    """The first time needs no rank, so reports that use only that one skip the ranking."""
     first, second = F.col("rank") == 1, F.col("rank") == 2
     own = F.max(F.when(first, F.col("second_buy_time")))
     following = F.max(F.when(second, F.col("first_buy_time")))
     return [
-        F.max(F.when(first, F.col("first_buy_time"))).alias("first_buy_time"),
+        F.min("first_buy_time").alias("first_buy_time"),
         F.max(F.when(first, F.col("first_payment"))).alias("first_payment"),
         F.least(own, following).alias("second_buy_time"),
     ]
@@ -160,86 +162,95 @@ def rollup_rfm(lower: DataFrame, level: int) -> DataFrame:
 
     Ranking and aggregation share one shuffle.
     """
-    keys = ["stat_date", "tenant", *(["plat_code"] if level == PLATFORM else []), "uni_id"]
+    keys = ["uni_id", *(["plat_code"] if level == PLATFORM else []), "tenant", "stat_date"]
     dropped = [c for c in ("plat_code", "uni_shop_id") if c not in keys]
     rolled = _ranked(lower, keys, dropped).groupBy(*keys).agg(*_measures(), *_first_second())
     return rolled.withColumns({c: F.lit(None).cast("string") for c in dropped}).select(*WIDE_COLUMNS)
 
 
-def per_level(df: DataFrame) -> DataFrame:
-    """Repeat shop-level rows for the three levels; columns below the level become null."""
-    none = F.lit(None).cast("string")
-
-    def level(code: int, plat: Column, shop: Column) -> Column:
-        return F.struct(F.lit(code).alias("type"), plat.alias("plat_code"), shop.alias("uni_shop_id"))
-
-    plat, shop = F.col("plat_code"), F.col("uni_shop_id")
-    levels = F.array(level(SHOP, plat, shop), level(PLATFORM, plat, none), level(TENANT, none, none))
-    return df.withColumn("level", F.explode(levels))
-
-
 def all_levels(shop: DataFrame) -> DataFrame:
     """Wide rows of the three levels, told apart by `type`, in one pass over the shop rows."""
-    leveled = per_level(shop.select(*WIDE_COLUMNS)).select(
-        F.col("level.type").alias("type"),
-        F.col("level.plat_code").alias("level_plat"),
-        F.col("level.uni_shop_id").alias("level_shop"),
-        *WIDE_COLUMNS,
-    )
-    keys = ["type", "stat_date", "tenant", "level_plat", "level_shop", "uni_id"]
+    keys = [*LEVELED_CUSTOMER, "stat_date"]
+    leveled = per_level(shop.select(*WIDE_COLUMNS))
     rolled = _ranked(leveled, keys, ["plat_code", "uni_shop_id"]).groupBy(*keys).agg(*_measures(), *_first_second())
-    named = rolled.withColumnsRenamed({"level_plat": "plat_code", "level_shop": "uni_shop_id"})
-    return named.select("type", *WIDE_COLUMNS)
+    return decoded(rolled).select("type", *WIDE_COLUMNS)
 
 
-def month_end_rfm(customers: DataFrame, trades: DataFrame, days: list[date]) -> DataFrame:
-    """Shop-level wide rows of several month ends in one pass.
-
-    Month ends share calendar months, so trades are summed per customer and month once. Each
-    customer then carries at most one entry per month of the last three years plus one for all
-    older months, and the snapshots are derived from those entries without another shuffle.
-    """
-    spans = [windows(d) for d in sorted(days)]
-    oldest = min(w.tyear_start for w in spans)
+def monthly_sums(trades: DataFrame, days: list[date]) -> DataFrame:
+    """Sums per customer and calendar month; months before all windows fall together."""
+    oldest = min(windows(d).tyear_start for d in days)
     month = F.trunc("created", "month").cast("date")
     bucket = F.when(F.col("created") < F.lit(oldest), F.lit(oldest - timedelta(days=1))).otherwise(month)
-    monthly = (
+    return (
         trades.filter(until(F.col("created"), max(days)))
         .groupBy(*CUSTOMER_KEYS, bucket.alias("month"))
-        .agg(
-            money_sum(F.col("receive_payment")).alias("payment"),
-            F.count("created").alias("times"),
-            F.sum("product_num").alias("num"),
-            F.min("created").alias("first"),
-            F.max("created").alias("last"),
-        )
+        .agg(*_month_sums("receive_payment", F.count("created"), "product_num", "created", "created"))
     )
-    entries = monthly.groupBy(*CUSTOMER_KEYS).agg(
+
+
+def _month_sums(payment: str, times: Column, num: str, first: str, last: str) -> list[Column]:
+    return [
+        money_sum(F.col(payment)).alias("payment"),
+        times.alias("times"),
+        F.sum(num).alias("num"),
+        F.min(first).alias("first"),
+        F.max(last).alias("last"),
+    ]
+
+
+def _collected(monthly: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key with at most one entry per month of three years and one for all older ones."""
+    return monthly.groupBy(*keys).agg(
         F.collect_list(F.struct("month", "payment", "times", "num", "first", "last")).alias("months")
     )
+
+
+def month_end_rfm(customers: DataFrame, trades: DataFrame, days: list[date]) -> DataFrame:
+    """Shop-level wide rows of several month ends in one pass.
+
+    Month ends share calendar months, so trades are summed per customer and month once, and the
+    snapshots are derived from a customer's months without another shuffle.
+    """
+    known = customers.select(*CUSTOMER_KEYS, "modified")
     buys = first_second_purchase(trades, CUSTOMER_KEYS, max(days))
-    joined = (
-        customers.select(*CUSTOMER_KEYS, "modified")
-        .join(buys, CUSTOMER_KEYS, "left")
-        .join(entries, CUSTOMER_KEYS, "left")
-    )
-    snapshots = joined.withColumn("snap", F.explode(F.array(*[_snapshot(w) for w in spans])))
+    months = _collected(monthly_sums(trades, days), CUSTOMER_KEYS)
+    joined = known.join(buys, CUSTOMER_KEYS, "left").join(months, CUSTOMER_KEYS, "left")
+    return _snapshots(joined, [*CUSTOMER_KEYS], days).select(*WIDE_COLUMNS, "first_trade_id")
+
+
+def month_end_levels(customers: DataFrame, trades: DataFrame, days: list[date]) -> DataFrame:
+    """Wide rows of several month ends at the three levels.
+
+    The levels are rolled up before the snapshots are spread out: first and second purchase do not
+    depend on the snapshot, and months add up. Only the last, shuffle-free step multiplies rows.
+    """
+    keys = LEVELED_CUSTOMER
+    known = per_level(customers.select(*CUSTOMER_KEYS, "modified")).groupBy(*keys).agg(F.min("modified").alias("modified"))
+    buys = per_level(first_second_purchase(trades, CUSTOMER_KEYS, max(days)))
+    firsts = rollup_first_second(buys, keys, ["plat_code", "uni_shop_id"])
+    monthly = per_level(monthly_sums(trades, days)).repartition(*keys)
+    summed = monthly.groupBy(*keys, "month").agg(*_month_sums("payment", F.sum("times"), "num", "first", "last"))
+    joined = known.join(firsts, keys, "left").join(_collected(summed, keys), keys, "left")
+    return decoded(_snapshots(joined, keys, days)).select("type", *WIDE_COLUMNS)
+
+
+def _snapshots(joined: DataFrame, keys: list[str], days: list[date]) -> DataFrame:
+    spans = [windows(d) for d in sorted(days)]
+    rows = joined.withColumn("snap", F.explode(F.array(*[_snapshot(w) for w in spans])))
     seen = F.col("first_buy_time") < F.col("snap.end")
-    rows = snapshots.select(
-        *CUSTOMER_KEYS,
+    kept = ["first_buy_time", "first_payment", *(["first_trade_id"] if "first_trade_id" in joined.columns else [])]
+    spread = rows.select(
+        *keys,
         "modified",
-        F.when(seen, F.col("first_buy_time")).alias("first_buy_time"),
-        F.when(seen, F.col("first_payment")).alias("first_payment"),
-        F.when(seen, F.col("first_trade_id")).alias("first_trade_id"),
+        *[F.when(seen, F.col(c)).alias(c) for c in kept],
         F.when(F.col("second_buy_time") < F.col("snap.end"), F.col("second_buy_time")).alias("second_buy_time"),
         "snap.*",
     )
-    return rows.withColumns(
-        {"earliest_time": earliest(F.col("first_buy_time"), F.col("modified")), **zero_measures()}
-    ).select(*WIDE_COLUMNS, "first_trade_id")
+    return spread.withColumns({"earliest_time": earliest(F.col("first_buy_time"), F.col("modified")), **zero_measures()})
 
 
 def _snapshot(w: Windows) -> Column:
+    """Measures of one snapshot out of the months of a customer."""
     def within(period: str) -> Column:
         return F.filter("months", lambda m: in_window(m["first"], w, period))
 
@@ -261,7 +272,7 @@ def _snapshot(w: Windows) -> Column:
 
 def month_end_history(customers: DataFrame, trades: DataFrame, day: date, n: int = 13) -> DataFrame:
     """Wide rows of the last n month ends at the three levels."""
-    return all_levels(month_end_rfm(customers, trades, month_ends(day, n)))
+    return month_end_levels(customers, trades, month_ends(day, n))
 
 
 def new_tenant_history(customers: DataFrame, trades: DataFrame, known_tenants: DataFrame, day: date) -> DataFrame:
@@ -275,9 +286,8 @@ def recompute_tenant(customers: DataFrame, trades: DataFrame, tenant: str, day:
     """Wide rows of one tenant for the day and its last n month ends."""
     own_customers = customers.filter(F.col("tenant") == tenant)
     own_trades = trades.filter(F.col("tenant") == tenant)
-    today = shop_rfm(own_customers, own_trades, day)
-    past = month_end_rfm(own_customers, own_trades, month_ends(day, n))
-    return all_levels(today.unionByName(past))
+    today = all_levels(shop_rfm(own_customers, own_trades, day))
+    return today.unionByName(month_end_history(own_customers, own_trades, day, n))
 
 
 def tenant_card_plans(tenant_shop: DataFrame, card_shop: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from patronage.constants import CUSTOMER_KEYS, LEVEL_KEYS
 from patronage.functions.calendar import until
 from patronage.functions.expressions import count_if, money_sum, ratio
-from patronage.operators.rfm_wide import per_level
+from patronage.operators.levels import LEVELED_CUSTOMER, coded, decoded, per_level
 from patronage.sources.cleaning import clean_trades, trades_since
 
 # Text forms of the periods, and how far back each report looks.
@@ -37,24 +37,20 @@ def customer_period(trades: DataFrame, grain: str) -> DataFrame:
 
 def customer_period_rollup(cp: DataFrame) -> DataFrame:
     """The same per customer at the three levels."""
-    leveled = per_level(cp).select("level.*", "tenant", "uni_id", "date_col", "payments", "buy_times")
-    return leveled.groupBy(*KEYS, "uni_id").agg(
+    leveled = per_level(cp).groupBy(*LEVELED_CUSTOMER, "date_col").agg(
         money_sum(F.col("payments")).alias("payments"), F.sum("buy_times").alias("buy_times")
     )
+    return decoded(leveled)
 
 
 def with_kind(cp: DataFrame, wide: DataFrame, grain: str) -> DataFrame:
     """Mark rows of customers that first bought in the period or before it."""
-    first = wide.filter(F.col("first_buy_time").isNotNull()).select(
-        *LEVEL_KEYS, "uni_id", F.date_format("first_buy_time", FORMATS[grain]).alias("first_period")
-    )
-    c, f = cp.alias("c"), first.alias("f")
-    same = F.lit(True)
-    for key in (*LEVEL_KEYS, "uni_id"):
-        same = same & F.col(f"c.{key}").eqNullSafe(F.col(f"f.{key}"))
-    period, start = F.col("date_col"), F.col("f.first_period")
+    bought = coded(wide.filter(F.col("first_buy_time").isNotNull()))
+    first = bought.select(*LEVELED_CUSTOMER, F.date_format("first_buy_time", FORMATS[grain]).alias("start"))
+    period, start = F.col("date_col"), F.col("start")
     kind = F.when(period == start, "new").when(period > start, "returning")
-    return c.join(f, same, "left").select("c.*", kind.alias("kind"))
+    joined = coded(cp).join(first, LEVELED_CUSTOMER, "left").withColumn("kind", kind).drop("start")
+    return decoded(joined)
 
 
 def _kpis(prefix: str, hit: Column) -> list[Column]:

@@ -302,9 +302,7 @@ def w12_insert_new(m: Marts) -> DataFrame:
 
 @query
 def w13_final_daily_rfm(m: Marts) -> DataFrame:
-    none = m.increment.filter(F.lit(False))
-    rows = rfm_daily.settle(m.t.customers_by(m.day), m.increment, m.aged, none, m.day)
-    return rows.drop("first_trade_id")
+    return rfm_daily.settle(m.t.customers_by(m.day), m.increment, m.aged, m.day).drop("first_trade_id")
 
 
 @query
@@ -678,18 +676,17 @@ def m16_life_cycle_class(m: Marts) -> DataFrame:
 
 @query
 def m17_customer_member_link(m: Marts) -> DataFrame:
-    return m.life_link(m.wide)
+    return life_cycle.customer_member_link(m.wide, m.t.card_shop, m.t.member, m.t.customer_member)
 
 
 @query
 def m18_life_cycle_by_grade(m: Marts) -> DataFrame:
-    return life_cycle.life_cycle_by_grade(m.life_link(m.wide))
+    return life_cycle.life_cycle_by_grade(m.cards(m.wide))
 
 
 @query
 def m19_life_cycle_totals(m: Marts) -> DataFrame:
-    link = m.life_link(m.wide)
-    return life_cycle.life_cycle_totals(link, life_cycle.life_cycle_by_grade(link))
+    return life_cycle.life_cycle_totals(m.cards(m.wide))
 
 
 @query

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from patronage.constants import SHOP
 from patronage.functions.calendar import month_ends, until
 from patronage.operators import audience, category, conversion, life_cycle, offline, rfm_daily, rfm_late, rfm_wide, sales, social
+from patronage.session import work_folder
+from patronage.sinks import writers
 from patronage.sources import cleaning
 from patronage.sources.testtables import ACTION_DAY, COMMERCE_DAY, LAST_RUN, Tables
 
@@ -47,6 +49,12 @@ class Marts:
 
     # daily and late maintenance
 
+    def stored(self, rows: DataFrame, name: str) -> DataFrame:
+        """A table that an earlier run left behind: written to the work folder and read back."""
+        path = work_folder(self.spark, name)
+        writers.write_snapshot(rows, path, ["stat_date"])
+        return self.spark.read.parquet(path).select(*rows.columns)
+
     def arrived_by(self, day) -> DataFrame:
         rows = self.t.trade.filter(until(F.col("arrived"), day))
         return cleaning.valid_trades(rows, self.t.tenant_shop, day)
@@ -65,7 +73,8 @@ class Marts:
 
     @cached_property
     def previous(self) -> DataFrame:
-        return rfm_wide.shop_rfm(self.t.customers_by(self.yesterday), self.base, self.yesterday)
+        rows = rfm_wide.shop_rfm(self.t.customers_by(self.yesterday), self.base, self.yesterday)
+        return self.stored(rows, "wide-yesterday")
 
     @cached_property
     def increment(self) -> DataFrame:
@@ -95,7 +104,8 @@ class Marts:
 
     @cached_property
     def snapshots(self) -> DataFrame:
-        return rfm_wide.month_end_rfm(self.t.customers_by(LAST_RUN), self.arrived_by(LAST_RUN), self.ends)
+        rows = rfm_wide.month_end_rfm(self.t.customers_by(LAST_RUN), self.arrived_by(LAST_RUN), self.ends)
+        return self.stored(rows, "wide-month-ends")
 
     @cached_property
     def late(self) -> DataFrame:
@@ -107,7 +117,7 @@ class Marts:
 
     @cached_property
     def patched(self) -> DataFrame:
-        return rfm_late.late_patch(self.snapshots, self.late, self.late_new)
+        return rfm_late.patch_month_ends(self.snapshots, self.late_delta, self.t.customers_by(self.day), self.ends)
 
     # sales
 
@@ -159,8 +169,8 @@ class Marts:
     def member_value(self) -> DataFrame:
         return conversion.member_year_value(self.shop, self.t.member, self.t.card_shop, self.t.customer_member)
 
-    def life_link(self, wide: DataFrame) -> DataFrame:
-        return life_cycle.customer_member_link(wide, self.t.card_shop, self.t.member, self.t.customer_member)
+    def cards(self, wide: DataFrame) -> DataFrame:
+        return life_cycle.customers_with_cards(wide, self.t.card_shop, self.t.member, self.t.customer_member)
 
     # stores
 

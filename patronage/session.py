@@ -7,7 +7,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str | None = None, app: str = "patronage", partitions: int | None = None) -> SparkSession:
+def build_session(
+    master: str | None = None, app: str = "patronage", partitions: int | None = None, driver_memory: str | None = None
+) -> SparkSession:
     """A session with the settings the jobs rely on.
 
     The shuffle partition count is left to the cluster unless given; adaptive execution merges
@@ -23,6 +25,8 @@ def build_session(master: str | None = None, app: str = "patronage", partitions:
     )
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     if partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     return builder.getOrCreate()
