@@ -1,7 +1,8 @@
 """Time the headline queries; prints one JSON line.
 
 BENCH_SF_DIR names the table folder, BENCH_CPUS the local cores, BENCH_RUNS the timed runs per
-query after one warm-up. Each run computes all rows and columns into a sink that keeps nothing.
+query (the median counts). One untimed query warms the session up. Each run computes all rows and
+columns into a sink that keeps nothing.
 """
 
 import json
@@ -50,14 +51,14 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = build_session(f"local[{cpus}]", "bench", partitions=cpus, driver_memory="16g")
     spark.sparkContext.setLogLevel("ERROR")
-    times = {}
-    for name in names:
-        taken = []
-        for _ in range(runs + 1):
-            start = time.perf_counter()
-            QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-            taken.append(time.perf_counter() - start)
-        times[name] = round(statistics.median(taken[1:]), 3)
+
+    def run(name: str) -> float:
+        start = time.perf_counter()
+        QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
+
+    run(names[0])
+    times = {name: round(statistics.median([run(name) for _ in range(runs)]), 3) for name in names}
     result = {
         "metric": "headline queries, total",
         "value": round(sum(times.values()), 3),
