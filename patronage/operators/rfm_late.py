@@ -17,6 +17,7 @@ from patronage.operators.rfm_wide import (
     all_levels,
     earliest,
     first_second_purchase,
+    month_end_rfm,
     zero_measures,
 )
 
@@ -96,6 +97,22 @@ def patch_month_ends(snapshots: DataFrame, delta: DataFrame, customers: DataFram
     return late_patch(snapshots, late, late_new_customers(late, snapshots, customers))
 
 
+def rebuild_month_ends(
+    snapshots: DataFrame, trades: DataFrame, touched: DataFrame, customers: DataFrame, month_ends: list[date]
+) -> DataFrame:
+    """Snapshots with the rows of the touched customers derived again from their trades.
+
+    Gives the same result however often it runs, and also covers trades whose amount or time
+    changed. Only the touched customers' history is read into the computation.
+    """
+    keys = touched.select(*CUSTOMER_KEYS).distinct()
+    own_trades = trades.join(keys, CUSTOMER_KEYS, "left_semi")
+    own_customers = customers.join(keys, CUSTOMER_KEYS, "left_semi")
+    rebuilt = month_end_rfm(own_customers, own_trades, month_ends)
+    untouched = snapshots.join(keys, CUSTOMER_KEYS, "left_anti")
+    return untouched.select(*STATE_COLUMNS).unionByName(rebuilt.select(*STATE_COLUMNS))
+
+
 def late_patch_rollup(patched: DataFrame) -> DataFrame:
     """The three levels derived from the patched shop rows."""
     return all_levels(patched)
