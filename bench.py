@@ -21,7 +21,7 @@ HEADLINE = [
     "w5_shop_rfm",
     "w7_all_levels",
     "w13_final_daily_rfm",
-    "w18_late_patch",
+    "w16_late_assemble",
     "w20_month_end_rfm",
     "r9_segmentation_report_rf",
     "r9_segmentation_report_rm",
