@@ -6,10 +6,11 @@ own output.
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.llm import langid, mixing, ordinal, sharding, toxicity
+from patronage.llm import bpe, langid, mixing, ordinal, sharding, toxicity
 from patronage.llm.common import id_hash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +98,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = langid.in_fold(5, 0)
     return langid.identify(docs, langid.learn(docs, ~held_out)).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), bpe.read_tokenizer(public_tokenizers.path("byte_bpe_50k.json")))
