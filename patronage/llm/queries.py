@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.llm import bpe, langid, mixing, ordinal, sharding, toxicity
+from patronage.llm import bpe, langid, mixing, ordinal, sharding, spotsigs, toxicity
 from patronage.llm.common import id_hash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), bpe.read_tokenizer(public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@query
+def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.compare_with_edit(table(spark, sf_dir, "documents"))
