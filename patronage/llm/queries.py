@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.llm import bpe, langid, mixing, ordinal, sharding, spotsigs, toxicity
+from patronage.llm import bpe, importance, langid, mixing, ordinal, sharding, spotsigs, toxicity
 from patronage.llm.common import id_hash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,9 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.compare_with_edit(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return importance.judge(docs, importance.learn(docs, table(spark, sf_dir, "labels")))
