@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.llm import bpe, importance, langid, mixing, ordinal, sharding, spotsigs, toxicity
+from patronage.llm import bpe, chunks, importance, jaccard, langid, mixing, ordinal, sharding, spotsigs, toxicity
 from patronage.llm.common import id_hash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,16 @@ def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return importance.judge(docs, importance.learn(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = jaccard.linked(table(spark, sf_dir, "documents"), width=3, percent=90)
+    return joined.select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = chunks.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    span = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    return cut.select("doc_id", "text", F.length("text").cast("long").alias("n_chars"), span.alias("n_removed"), "removed")
