@@ -257,15 +257,18 @@ def decode(ids: np.ndarray, pieces: list[bytes]) -> str:
     return b"".join(map(pieces.__getitem__, ids.tolist())).decode("utf-8", errors="replace")
 
 
-def round_trip(docs: DataFrame, definition: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """doc_id, n_tokens, the digest of the ids as little-endian unsigned 32-bit numbers, and that of the decoded text."""
+def round_trip(docs: DataFrame, definition: str, with_ids: bool = False, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """doc_id, n_tokens, the digest of the ids as little-endian unsigned 32-bit numbers, that of the text decoded from
+    them, and the ids if wanted."""
     held = docs.sparkSession.sparkContext.broadcast(pieces_of(definition))
 
     def digests(tokens: list[np.ndarray]) -> dict:
-        return {
+        found = {
             "n_tokens": pa.array(map(len, tokens), pa.int64()),
             "ids_sha256": pa.array([hashlib.sha256(t.astype("<u4").tobytes()).hexdigest() for t in tokens], pa.string()),
             "decoded_sha256": pa.array([hashlib.sha256(decode(t, held.value).encode()).hexdigest() for t in tokens], pa.string()),
         }
+        return found | ({"ids": pa.array([t.astype(np.int32) for t in tokens], pa.list_(pa.int32()))} if with_ids else {})
 
-    return _joined(docs, definition, "n_tokens long, ids_sha256 string, decoded_sha256 string", lambda: digests, block_chars)
+    columns = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    return _joined(docs, definition, columns, lambda: digests, block_chars)

@@ -270,3 +270,12 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     return ids.join(least, "root", "left").select(
         "doc_id", "node", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
+
+
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The documents whose id is their component's smallest, unchanged; documents with an empty set and rows without an
+    id all stay, and rows that repeat a kept id stay with it where their text is equal."""
+    classes = linked(docs, width, percent).select(F.col("doc_id").alias("of_id"), "node", "component_id", "n_shingles")
+    kept = classes.filter((F.col("of_id") == F.col("component_id")) | (F.col("n_shingles") == 0)).select("of_id").distinct()
+    gone = classes.filter(F.col("of_id").isNotNull()).join(kept, "of_id", "left_anti").select("of_id").distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("of_id"), "left_anti").select(*docs.columns)
