@@ -22,6 +22,7 @@ HEADLINE = [
     "w7_all_levels",
     "w13_final_daily_rfm",
     "w16_late_assemble",
+    "w18_late_patch",
     "w20_month_end_rfm",
     "r9_segmentation_report_rf",
     "r9_segmentation_report_rm",

@@ -109,7 +109,9 @@ def customers(condition: str) -> str:
     return f"""SELECT u.*, CAST(DATE '1995-01-01' + CAST(CAST(uni_id AS BIGINT) % 1000 AS INTEGER) AS TIMESTAMP) AS modified FROM (
        SELECT DISTINCT tenant, plat_code, uni_shop_id, uni_id FROM trade WHERE {condition}
        UNION SELECT tenant, plat_code, uni_shop_id, CAST(c_custkey AS VARCHAR)
-       FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN tenant_shop ON plat_code = n_name) u"""
+       FROM customer JOIN nation ON c_nationkey = n_nationkey
+       JOIN (SELECT *, row_number() OVER (PARTITION BY plat_code ORDER BY s_suppkey) - 1 AS place, count(*) OVER (PARTITION BY plat_code) AS shops
+             FROM tenant_shop) s ON plat_code = n_name AND c_custkey % shops = place) u"""
 
 
 cte("customers", customers("true"), "trade")
@@ -203,15 +205,5 @@ def wide_columns(skip: tuple[str, ...] = ()) -> str:
     return ", ".join(c for c in out if c.split(" AS ")[-1] not in skip)
 
 
-def summary(source: str, with_type: bool) -> str:
-    keys = ["stat_date", *(["type"] if with_type else []), "tenant", "plat_code", "uni_shop_id"]
-    shown = [dt("stat_date")] + keys[1:]
-    aggs = [big("count(*)", "customers"), big("count(first_buy_time)", "buyers"), big("count(second_buy_time)", "repeaters")]
-    aggs += [f"round(sum({c}), 2) AS {c}" for c in ("year_payment", "tyear_payment", "btyear_payment", "first_payment")]
-    aggs += [big(f"sum({p}_{u})", f"{p}_{u}") for p in WINDOW for u in ("buy_times", "buy_num")]
-    aggs += [
-        big(f"sum(date_diff('day', DATE '1995-01-01', CAST({c} AS DATE)))", f"{c}_days")
-        for c in ("earliest_time", "first_buy_time", "second_buy_time", "year_first_time", "year_last_time")
-    ]
-    inner = f"SELECT {', '.join(keys)}, * EXCLUDE ({', '.join(keys)}) FROM {source}"
-    return f"SELECT {', '.join(shown)}, {', '.join(aggs)} FROM ({inner}) GROUP BY {', '.join(keys)}"
+def snapshot_rows(source: str, with_type: bool) -> str:
+    return f"SELECT {'type, ' * with_type}{wide_columns()} FROM {source}"

@@ -1,6 +1,6 @@
 """Segmentation, assets, sales structure, category benchmarks and sinks."""
 
-from oracles.base import DAY, K, L, STAT, big, cte, div, dt, money, num, r6, sql, summary, ts
+from oracles.base import DAY, K, L, STAT, big, cte, div, dt, money, num, r6, sql, snapshot_rows, ts
 
 O: dict[str, str] = {}
 
@@ -146,7 +146,7 @@ O["c4_retention_view"] = sql(retention("wide"), "wide", "tenant_shop")
 # Sinks
 
 SHOP_ROWS = "(SELECT * FROM wide WHERE type = 3)"
-O["k1_write_snapshot"] = sql(summary(SHOP_ROWS, True), "wide")
+O["k1_write_snapshot"] = sql(snapshot_rows(SHOP_ROWS, True), "wide")
 O["k2_append_snapshot"] = sql(repurchase("wide"), "wide", "tenant_shop")
 O["k3_compact_for_export"] = sql(retention("wide"), "wide", "tenant_shop")
 O["k4_cluster_by_snapshot"] = sql(
@@ -160,7 +160,7 @@ O["k5_publish_manifest"] = sql(
 O["k6_publish_from_registry"] = f"""SELECT DISTINCT 'shop_' || l_suppkey || '_' || lower(p_type) AS table_name, '1' AS available, {STAT}
     FROM lineitem JOIN part ON l_partkey = p_partkey"""
 O["k7_export_delimited"] = sql(repurchase("wide"), "wide", "tenant_shop")
-O["k8_replace_in_serving_store"] = sql(summary(SHOP_ROWS, True), "wide")
+O["k8_replace_in_serving_store"] = sql(snapshot_rows(SHOP_ROWS, True), "wide")
 O["k9_merge_month_end_results"] = sql(assets("history"), "history", "tenant_shop")
 O["k9_merge_month_end_results_tenant"] = sql(f"SELECT * FROM ({retention('history')}) WHERE tenant = 'T2'", "history", "tenant_shop")
 

@@ -1,6 +1,6 @@
 """Scans, sinks and the wide table."""
 
-from oracles.base import ACTION_DAY, DAY, K, L, LAST_RUN, MEASURES, WINDOW, big, cte, dt, money, sql, summary, ts, wide_columns, wide_cte
+from oracles.base import ACTION_DAY, DAY, K, L, LAST_RUN, MEASURES, WINDOW, big, cte, dt, money, sql, snapshot_rows, ts, wide_columns, wide_cte
 
 O: dict[str, str] = {}
 
@@ -118,7 +118,7 @@ O["w6_rollup_first_second_platform"] = sql(f"SELECT tenant, plat_code, {FIRST} F
 O["w6_rollup_first_second_tenant"] = sql(f"SELECT tenant, {FIRST} FROM wide WHERE type = 1", "wide")
 O["w7_rollup_rfm_platform"] = sql(f"SELECT {wide_columns()} FROM wide WHERE type = 2", "wide")
 O["w7_rollup_rfm_tenant"] = sql(f"SELECT {wide_columns()} FROM wide WHERE type = 1", "wide")
-O["w7_all_levels"] = sql(summary("wide", True), "wide")
+O["w7_all_levels"] = sql(snapshot_rows("wide", True), "wide")
 
 # Daily maintenance: the same rows from a full recompute
 
@@ -161,7 +161,7 @@ O["w12_insert_new"] = sql(
     f"""SELECT {INC} FROM inc_m b WHERE type = 3 AND NOT EXISTS (SELECT 1 FROM aged a WHERE {SAME})""", "inc_m", "aged"
 )
 O["w13_final_daily_rfm"] = sql(f"SELECT {wide_columns()} FROM today WHERE type = 3", "today")
-O["w13_daily_rfm_latest_versions"] = sql(summary("(SELECT * FROM today WHERE type = 3)", False), "today")
+O["w13_daily_rfm_latest_versions"] = sql(snapshot_rows("(SELECT * FROM today WHERE type = 3)", False), "today")
 
 # Late trades
 
@@ -215,7 +215,7 @@ cte(
     "customers_last_run",
     "late_new",
 )
-O["w18_late_patch"] = sql(summary("patched", False), "patched")
+O["w18_late_patch"] = sql(snapshot_rows("patched", False), "patched")
 # Upper levels: customers with a patched shop row below.
 cte(
     "patched_keys",
@@ -234,13 +234,13 @@ cte(
 )
 ALL_SAME = " AND ".join(f"w.{c} IS NOT DISTINCT FROM k.{c}" for c in ("stat_date", "type", "tenant", "plat_code", "uni_shop_id", "uni_id"))
 cte("patched_levels", f"SELECT w.* EXCLUDE (earliest_time), k.earliest_time FROM complete w JOIN patched_earliest k ON {ALL_SAME}", "complete", "patched_earliest")
-O["w19_late_patch_rollup"] = sql(summary("patched_levels", True), "patched_levels")
-O["w20_month_end_rfm"] = sql(summary("history", True), "history")
+O["w19_late_patch_rollup"] = sql(snapshot_rows("patched_levels", True), "patched_levels")
+O["w20_month_end_rfm"] = sql(snapshot_rows("history", True), "history")
 O["w21_new_tenant_history"] = sql(
-    summary("(SELECT * FROM history WHERE tenant NOT IN (SELECT tenant FROM trade WHERE accepted AND ordered < DATE '1995-01-02'))", True),
+    snapshot_rows("(SELECT * FROM history WHERE tenant NOT IN (SELECT tenant FROM trade WHERE accepted AND ordered < DATE '1995-01-02'))", True),
     "history",
     "trade",
 )
 wide_cte("now_and_ends", "valid", "customers", "snap_ends_today")
-O["w22_recompute_tenant"] = sql(summary("(SELECT * FROM now_and_ends WHERE tenant = 'T1')", True), "now_and_ends")
+O["w22_recompute_tenant"] = sql(snapshot_rows("(SELECT * FROM now_and_ends WHERE tenant = 'T1')", True), "now_and_ends")
 O["w23_tenant_card_plans"] = sql("SELECT DISTINCT tenant, 'CP' || substr(tenant, 2) AS card_plan_id FROM tenant_shop", "tenant_shop")

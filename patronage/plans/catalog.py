@@ -27,7 +27,7 @@ from patronage.operators import (
     segmentation,
     social,
 )
-from patronage.plans.marts import Marts, snapshot_summary
+from patronage.plans.marts import Marts, snapshot_rows
 from patronage.session import work_folder
 from patronage.sinks import manifest, writers
 from patronage.sources import cleaning
@@ -141,7 +141,7 @@ def k1_write_snapshot(m: Marts) -> DataFrame:
     path = work_folder(m.spark, "wide")
     for _ in range(2):
         writers.write_snapshot(m.shop_rows.drop("first_trade_id"), path, ["stat_date", "type"])
-    return snapshot_summary(m.spark.read.parquet(path))
+    return snapshot_rows(m.spark.read.parquet(path))
 
 
 @query
@@ -188,7 +188,7 @@ def k7_export_delimited(m: Marts) -> DataFrame:
     report = present(assets.repurchase_view(m.wide, m.t.tenant_shop))
     writers.export_delimited(report, path)
     reader = m.spark.read.schema(report.schema).option("sep", "\u0001").option("nullValue", "\\N")
-    return reader.csv(path)
+    return reader.option("quote", "").option("escape", "\\").csv(path)
 
 
 @query
@@ -197,7 +197,7 @@ def k8_replace_in_serving_store(m: Marts) -> DataFrame:
     rows = m.shop_rows.drop("first_trade_id")
     writers.replace_in_serving_store(rows, path, ["stat_date", "tenant"])
     writers.replace_in_serving_store(rows.filter(F.col("tenant") == "T1"), path, ["stat_date", "tenant"])
-    return snapshot_summary(m.spark.read.parquet(path))
+    return snapshot_rows(m.spark.read.parquet(path))
 
 
 @query
@@ -267,7 +267,7 @@ def w7_rollup_rfm_tenant(m: Marts) -> DataFrame:
 
 @query
 def w7_all_levels(m: Marts) -> DataFrame:
-    return snapshot_summary(m.wide)
+    return snapshot_rows(m.wide)
 
 
 @query
@@ -308,7 +308,7 @@ def w13_final_daily_rfm(m: Marts) -> DataFrame:
 @query
 def w13_daily_rfm_latest_versions(m: Marts) -> DataFrame:
     rows = rfm_daily.daily_rfm(m.t.customers_by(m.day), m.previous, m.base, m.delta, m.day)
-    return snapshot_summary(rows)
+    return snapshot_rows(rows)
 
 
 @query
@@ -334,27 +334,27 @@ def w17_late_new_customers(m: Marts) -> DataFrame:
 
 @query
 def w18_late_patch(m: Marts) -> DataFrame:
-    return snapshot_summary(m.patched)
+    return snapshot_rows(m.patched)
 
 
 @query
 def w19_late_patch_rollup(m: Marts) -> DataFrame:
-    return snapshot_summary(rfm_late.late_patch_rollup(m.patched))
+    return snapshot_rows(rfm_late.late_patch_rollup(m.patched))
 
 
 @query
 def w20_month_end_rfm(m: Marts) -> DataFrame:
-    return snapshot_summary(m.history)
+    return snapshot_rows(m.history)
 
 
 @query
 def w21_new_tenant_history(m: Marts) -> DataFrame:
-    return snapshot_summary(rfm_wide.new_tenant_history(m.t.shop_customer, m.valid, m.t.known_tenants, m.day))
+    return snapshot_rows(rfm_wide.new_tenant_history(m.t.shop_customer, m.valid, m.t.known_tenants, m.day))
 
 
 @query
 def w22_recompute_tenant(m: Marts) -> DataFrame:
-    return snapshot_summary(rfm_wide.recompute_tenant(m.t.shop_customer, m.valid, "T1", m.day))
+    return snapshot_rows(rfm_wide.recompute_tenant(m.t.shop_customer, m.valid, "T1", m.day))
 
 
 @query

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from patronage.constants import SHOP
 from patronage.functions.calendar import month_ends, until
 from patronage.operators import audience, category, conversion, life_cycle, offline, rfm_daily, rfm_late, rfm_wide, sales, social
-from patronage.session import work_folder
-from patronage.sinks import writers
 from patronage.sources import cleaning
 from patronage.sources.testtables import ACTION_DAY, COMMERCE_DAY, LAST_RUN, Tables
 
@@ -49,12 +47,6 @@ class Marts:
 
     # daily and late maintenance
 
-    def stored(self, rows: DataFrame, name: str) -> DataFrame:
-        """A table that an earlier run left behind: written to the work folder and read back."""
-        path = work_folder(self.spark, name)
-        writers.write_snapshot(rows, path, ["stat_date"])
-        return self.spark.read.parquet(path).select(*rows.columns)
-
     def arrived_by(self, day) -> DataFrame:
         rows = self.t.trade.filter(until(F.col("arrived"), day))
         return cleaning.valid_trades(rows, self.t.tenant_shop, day)
@@ -73,8 +65,8 @@ class Marts:
 
     @cached_property
     def previous(self) -> DataFrame:
-        rows = rfm_wide.shop_rfm(self.t.customers_by(self.yesterday), self.base, self.yesterday)
-        return self.stored(rows, "wide-yesterday")
+        """The snapshot that yesterday's run left; in production a stored table."""
+        return rfm_wide.shop_rfm(self.t.customers_by(self.yesterday), self.base, self.yesterday)
 
     @cached_property
     def increment(self) -> DataFrame:
@@ -104,8 +96,8 @@ class Marts:
 
     @cached_property
     def snapshots(self) -> DataFrame:
-        rows = rfm_wide.month_end_rfm(self.t.customers_by(LAST_RUN), self.arrived_by(LAST_RUN), self.ends)
-        return self.stored(rows, "wide-month-ends")
+        """The month ends that the last run left; in production a stored table."""
+        return rfm_wide.month_end_rfm(self.t.customers_by(LAST_RUN), self.arrived_by(LAST_RUN), self.ends)
 
     @cached_property
     def late(self) -> DataFrame:
@@ -229,22 +221,6 @@ class Marts:
         return audience.exclude_rebought(self.due_items, self.t.top_order, self.day)
 
 
-def snapshot_summary(rows: DataFrame) -> DataFrame:
-    """Per snapshot and level: customers, buyers and sums, to compare whole snapshot tables."""
-    keys = [c for c in ("stat_date", "type", "tenant", "plat_code", "uni_shop_id") if c in rows.columns]
-    total = [F.round(F.sum(c), 2).alias(c) for c in ("year_payment", "tyear_payment", "btyear_payment", "first_payment")]
-    counts = [F.sum(f"{p}_{u}").alias(f"{p}_{u}") for p in ("year", "tyear", "btyear") for u in ("buy_times", "buy_num")]
-    days = [
-        F.sum(F.datediff(c, F.lit("1995-01-01").cast("date"))).alias(f"{c}_days")
-        for c in ("earliest_time", "first_buy_time", "second_buy_time", "year_first_time", "year_last_time")
-    ]
-    return rows.groupBy(*keys).agg(
-        F.count("*").alias("customers"),
-        F.count("first_buy_time").alias("buyers"),
-        F.count("second_buy_time").alias("repeaters"),
-        *total,
-        *counts,
-        *days,
-    )
-
-
+def snapshot_rows(rows: DataFrame) -> DataFrame:
+    """Whole snapshot rows, with their level where they have one."""
+    return rows.select(*[c for c in ("type",) if c in rows.columns], *rfm_wide.WIDE_COLUMNS)

@@ -1,7 +1,5 @@
 """Session settings and the shared work folder."""
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,11 +33,7 @@ def build_session(
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared folder that the session names in spark.checkpoint.dir.
 
-    A machine-local folder is used only where the setting is missing and the session is local.
+    Where it is unset, the folder lies below the warehouse, which executors share as well.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="patronage-")
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/work"
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -4,6 +4,7 @@ from datetime import date
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from patronage.functions.calendar import until
@@ -35,7 +36,7 @@ EVENT_METRICS = [
 ]
 
 # Days of the six event periods; the last one is open.
-EVENT_PERIODS = {1: 30, 2: 60, 3: 90, 4: 180, 5: 365, 6: 100000}
+EVENT_PERIODS = {1: 30, 2: 60, 3: 90, 4: 180, 5: 365, 6: None}
 
 
 def text(col: Column | str) -> Column:
@@ -133,10 +134,14 @@ class Tables:
     def _customers(self, trades: DataFrame) -> DataFrame:
         shops = self.tenant_shop.select("tenant", "plat_code", "shop_id", "uni_shop_id")
         buyers = trades.select("plat_code", "uni_shop_id", "uni_id").join(shops.drop("shop_id"), ["plat_code", "uni_shop_id"])
+        # A prospect of one shop at home: shops of a nation are numbered, and the customer key picks a number.
+        numbered = shops.withColumn("place", F.row_number().over(W.partitionBy("plat_code").orderBy(F.col("shop_id").cast("long"))) - 1)
+        sizes = shops.groupBy("plat_code").agg(F.count("*").alias("shops"))
         local = self.read("customer").join(self.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        prospects = local.select(F.col("n_name").alias("plat_code"), text("c_custkey").alias("uni_id")).join(
-            shops.drop("shop_id"), "plat_code"
+        picks = local.join(sizes, F.col("n_name") == F.col("plat_code")).select(
+            "plat_code", text("c_custkey").alias("uni_id"), (F.col("c_custkey") % F.col("shops")).alias("place")
         )
+        prospects = picks.join(numbered.drop("shop_id"), ["plat_code", "place"])
         keys = ["tenant", "plat_code", "uni_shop_id", "uni_id"]
         pairs = buyers.select(*keys).unionByName(prospects.select(*keys)).distinct()
         return pairs.withColumn(
@@ -202,7 +207,7 @@ class Tables:
     @cached_property
     def card_shop(self) -> DataFrame:
         return self.tenant_shop.select(
-            F.concat(F.lit("CP"), F.substring("tenant", 2, 10)).alias("card_plan_id"), "plat_code", "shop_id", "uni_shop_id"
+            F.concat(F.lit("CP"), F.expr("substring(tenant, 2)")).alias("card_plan_id"), "plat_code", "shop_id", "uni_shop_id"
         )
 
     @cached_property
@@ -377,7 +382,7 @@ class Tables:
     @cached_property
     def top_member(self) -> DataFrame:
         """Loyalty state of each buyer in each shop."""
-        customer = F.substring("buyer_nick", 5, 20).cast("long")
+        customer = F.expr("substring(buyer_nick, 5)").cast("long")
         return self.top_trade.select("dp_id", "buyer_nick").distinct().select(
             "dp_id",
             "buyer_nick",
@@ -428,7 +433,7 @@ class Tables:
         """Eighteen trade metrics per shop, buyer and period."""
         day = F.lit(COMMERCE_DAY)
         age = F.datediff(day, F.col("created"))
-        codes = F.array_compact(F.array(*[F.when(age < days, F.lit(code)) for code, days in EVENT_PERIODS.items()]))
+        codes = F.array_compact(F.array(*[F.when(F.lit(True) if days is None else age < days, F.lit(code)) for code, days in EVENT_PERIODS.items()]))
         base = self.top_trade.filter((F.col("status") != "WAIT_BUYER_PAY") & (age >= 0)).withColumn("period", F.explode(codes))
         order = F.struct("created", "tid")
         confirm = F.datediff("end_time", "created")
