@@ -167,20 +167,36 @@ def settle(customers: DataFrame, increment: DataFrame, aged: DataFrame, day: dat
     return rows.withColumn("first_payment", F.coalesce("first_payment", F.lit(0.0))).select(*STATE_COLUMNS)
 
 
-def daily_rfm(customers: DataFrame, previous: DataFrame, base: DataFrame, delta: DataFrame, day: date) -> DataFrame:
+def redelivered_customers(base: DataFrame, delta: DataFrame, delivered: DataFrame) -> DataFrame:
+    """Holders of the old and the new versions of trades that arrived again."""
+    known = base.select(*TRADE_KEY, F.col("uni_id").alias("old_uni_id"))
+    again = known.join(delivered, TRADE_KEY).join(delta.select(*TRADE_KEY, "uni_id"), TRADE_KEY, "left")
+    holders = F.explode(F.array_distinct(F.array_compact(F.array("uni_id", "old_uni_id")))).alias("uni_id")
+    return again.select("tenant", "plat_code", "uni_shop_id", holders).distinct()
+
+
+def daily_rfm(
+    customers: DataFrame,
+    previous: DataFrame,
+    base: DataFrame,
+    delta: DataFrame,
+    day: date,
+    delivered: DataFrame | None = None,
+    redelivered: DataFrame | None = None,
+) -> DataFrame:
     """One nightly step from the previous snapshot, the trades it was built from and the day's delta.
 
     Adding a trade that is delivered again would count it twice, so customers with such trades are
-    rebuilt from the latest versions; everybody else is aged and merged.
+    rebuilt from the latest versions; everybody else is aged and merged. `delivered` has the keys of
+    all trades that arrived, with those that became unusable; without it they are the delta's.
+    `redelivered` has the customers to rebuild, where an earlier run may have replaced the trades.
     """
-    known = base.select(*TRADE_KEY, F.col("uni_id").alias("old_uni_id"))
-    again = delta.select(*TRADE_KEY, "uni_id").join(known, TRADE_KEY)
-    holders = F.explode(F.array_distinct(F.array("uni_id", "old_uni_id"))).alias("uni_id")
-    redelivered = again.select("tenant", "plat_code", "uni_shop_id", holders).distinct()
+    delivered = delta.select(*TRADE_KEY) if delivered is None else delivered
+    redelivered = redelivered_customers(base, delta, delivered) if redelivered is None else redelivered
     year_out = boundary_metrics(boundary_day_trades(base, day, 12))
     tyear_out = boundary_metrics(boundary_day_trades(base, day, 24))
     aged = age_rfm(previous, year_out, tyear_out, year_bounds(base, year_out, day), customers, day)
     added = delta.join(redelivered, CUSTOMER_KEYS, "left_anti")
-    latest = latest_versions(base, delta).join(redelivered, CUSTOMER_KEYS, "left_semi")
+    latest = latest_versions(base, delta, delivered).join(redelivered, CUSTOMER_KEYS, "left_semi")
     kept = aged.join(redelivered, CUSTOMER_KEYS, "left_anti")
     return settle(customers, increment_rfm(added.unionByName(latest), day), kept, day)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patronage.constants import CUSTOMER_KEYS
-from patronage.functions.calendar import windows
+from patronage.functions.calendar import until, windows
 from patronage.functions.expressions import money_sum
 from patronage.operators.rfm_daily import STATE_COLUMNS, merged_columns
 from patronage.operators.rfm_wide import (
@@ -20,6 +20,7 @@ from patronage.operators.rfm_wide import (
     month_end_rfm,
     zero_measures,
 )
+from patronage.sources.cleaning import TRADE_KEY
 
 SNAPSHOT_KEYS = [*CUSTOMER_KEYS, "stat_date"]
 
@@ -97,6 +98,13 @@ def patch_month_ends(snapshots: DataFrame, delta: DataFrame, customers: DataFram
     return late_patch(snapshots, late, late_new_customers(late, snapshots, customers))
 
 
+def touched_customers(base: DataFrame, delta: DataFrame, delivered: DataFrame, last_end: date) -> DataFrame:
+    """Customers whose month ends change: holders of new or of replaced versions that lie before the last end."""
+    old = base.join(delivered, TRADE_KEY, "left_semi").filter(until(F.col("created"), last_end))
+    new = delta.filter(until(F.col("created"), last_end))
+    return old.select(*CUSTOMER_KEYS).union(new.select(*CUSTOMER_KEYS)).distinct()
+
+
 def rebuild_month_ends(
     snapshots: DataFrame, trades: DataFrame, touched: DataFrame, customers: DataFrame, month_ends: list[date]
 ) -> DataFrame:

@@ -9,8 +9,9 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
-from patronage.functions.calendar import month_ends, until
+from patronage.functions.calendar import month_ends
 from patronage.operators import assets, rfm_daily, rfm_late, rfm_wide, segmentation
 from patronage.sinks import manifest, writers
 from patronage.sources import cleaning
@@ -27,6 +28,12 @@ class Store:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
+    def read_as(self, name: str, like: DataFrame, own) -> DataFrame:
+        """Some partitions with the columns of `like`; a table without rows has no schema of its own."""
+        parts = [c for c in ("arrived_on", "stat_date") if c not in like.columns]
+        schema = StructType([*like.schema.fields, *(StructField(c, DateType()) for c in parts if c == "arrived_on")])
+        return self.spark.read.schema(schema).parquet(self.path(name)).filter(own).select(*like.columns)
+
     def snapshot(self, name: str, *days: date) -> DataFrame:
         return self.read(name).filter(F.col("stat_date").isin(*days))
 
@@ -49,24 +56,47 @@ def init_history(store: Store, raw: DataFrame, tenant_shop: DataFrame, customers
 
 def nightly(store: Store, raw: DataFrame, tenant_shop: DataFrame, customers: DataFrame, day: date) -> None:
     """One day: wide rows of the day, corrected month ends, trades, reports."""
-    delta = with_month(cleaning.daily_increment(raw, tenant_shop, day))
+    delta, delivered, redelivered, touched = store_delta(store, raw, tenant_shop, day)
     base = store.read("trades")
     previous = store.snapshot("shop_rfm", day - timedelta(days=1))
-    today = rfm_daily.daily_rfm(customers, previous, base.drop("part"), delta.drop("part"), day)
+    today = rfm_daily.daily_rfm(customers, previous, base.drop("part"), delta.drop("part"), day, delivered, redelivered)
     writers.write_snapshot(today, store.path("shop_rfm"), ["stat_date"])
-    touched_months = base.join(delta.select("part").distinct(), "part", "left_semi")
+    # Months of new versions, and of old ones that a new version has left.
+    left = base.join(delivered, cleaning.TRADE_KEY, "left_semi").select("part")
+    months = delta.select("part").union(left).distinct()
+    held = base.join(months, "part", "left_semi")
     # Dynamic overwrite replaces only the months written, after all input has been read.
-    writers.write_snapshot(cleaning.latest_versions(touched_months, delta), store.path("trades"), ["part"])
-    patch_history(store, delta, customers, day)
+    writers.write_snapshot(cleaning.latest_versions(held, delta, delivered), store.path("trades"), ["part"])
+    patch_history(store, touched, customers, day)
     write_levels(store, day, *month_ends(day))
     publish(store, tenant_shop, day)
 
 
-def patch_history(store: Store, delta: DataFrame, customers: DataFrame, day: date) -> None:
-    """Month ends corrected for late trades; runs after the trades are stored."""
+def store_delta(store: Store, raw: DataFrame, tenant_shop: DataFrame, day: date) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The day's usable trades, the keys of all that arrived, the customers with trades that arrived again, and those
+    whose month ends change.
+
+    Each is stored once by arrival day, before the trades are replaced, as several steps read it. A second run of the
+    same night finds the customers of its first run again, since the trades may be replaced already.
+    """
+    days = {"arrived_on": F.lit(day)}
+    writers.write_snapshot(with_month(cleaning.daily_increment(raw, tenant_shop, day)).withColumns(days), store.path("delta"), ["arrived_on"])
+    writers.write_snapshot(cleaning.delivered_keys(raw, tenant_shop, day).withColumns(days), store.path("delivered"), ["arrived_on"])
+    own = F.col("arrived_on") == F.lit(day)
+    trades = store.read("trades")
+    delta = store.read_as("delta", with_month(cleaning.daily_increment(raw, tenant_shop, day)), own)
+    delivered = store.read_as("delivered", cleaning.delivered_keys(raw, tenant_shop, day), own)
+    touched = rfm_late.touched_customers(trades, delta, delivered, max(month_ends(day)))
+    writers.append_snapshot(touched.withColumns(days), store.path("touched"), ["arrived_on"])
+    redelivered = rfm_daily.redelivered_customers(trades, delta, delivered)
+    writers.append_snapshot(redelivered.withColumns(days), store.path("redelivered"), ["arrived_on"])
+    return delta, delivered, store.read_as("redelivered", redelivered, own).distinct(), store.read_as("touched", touched, own).distinct()
+
+
+def patch_history(store: Store, touched: DataFrame, customers: DataFrame, day: date) -> None:
+    """Month ends of the touched customers; runs after the trades are stored."""
     ends = month_ends(day)
-    late = delta.filter(until(F.col("created"), max(ends)))
-    patched = rfm_late.rebuild_month_ends(store.snapshot("shop_rfm", *ends), store.read("trades"), late, customers, ends)
+    patched = rfm_late.rebuild_month_ends(store.snapshot("shop_rfm", *ends), store.read("trades"), touched, customers, ends)
     writers.write_snapshot(patched, store.path("shop_rfm"), ["stat_date"])
 
 
@@ -95,5 +125,6 @@ def publish(store: Store, tenant_shop: DataFrame, day: date) -> None:
     built = reports(wide, tenant_shop)
     for name, report in built.items():
         writers.write_snapshot(report, store.path(f"reports/{name}"), ["stat_date"])
-    stored = {name: store.read(f"reports/{name}") for name in built}
+    own = F.col("stat_date") == F.lit(day)
+    stored = {name: store.read_as(f"reports/{name}", report, own) for name, report in built.items()}
     writers.write_snapshot(manifest.publish_manifest(stored, day), store.path("reports/notify"), ["stat_date"])

@@ -92,9 +92,17 @@ def actions_since(actions: DataFrame, day: date, weeks: int = 12, action: str |
     return recent
 
 
-def latest_versions(base: DataFrame, delta: DataFrame) -> DataFrame:
-    """Base trades with the redelivered ones replaced by the version in the delta."""
-    return base.join(delta.select(*TRADE_KEY), TRADE_KEY, "left_anti").unionByName(delta)
+def delivered_keys(delta: DataFrame, tenant_shop: DataFrame, day: date) -> DataFrame:
+    """Keys of all trades that arrived on the day, usable or not: their stored versions no longer hold."""
+    arrived = delta.filter((F.col("arrived") >= F.lit(day)) & until(F.col("arrived"), day))
+    shops = tenant_shop.filter(F.col("tenant").isNotNull()).select("tenant", "plat_code", "shop_id")
+    return arrived.join(shops, ["plat_code", "shop_id"]).select(*TRADE_KEY).distinct()
+
+
+def latest_versions(base: DataFrame, delta: DataFrame, delivered: DataFrame | None = None) -> DataFrame:
+    """Base trades with the redelivered ones replaced by the version in the delta, or dropped where that is unusable."""
+    gone = delta.select(*TRADE_KEY) if delivered is None else delivered
+    return base.join(gone, TRADE_KEY, "left_anti").unionByName(delta)
 
 
 def unseen_trades(delta: DataFrame, base: DataFrame) -> DataFrame:

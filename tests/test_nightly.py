@@ -15,6 +15,38 @@ SCHEMA = (
 )
 
 
+SHOPS = "tenant string, plat_code string, shop_id string, uni_shop_id string, shop_name string"
+KNOWN = "tenant string, plat_code string, uni_shop_id string, uni_id string, modified timestamp_ntz"
+
+
+def test_moved_retimed_and_cancelled_trades_leave_their_old_place(spark, tmp_path):
+    """Nights with a pre-sale order paid in the next month, a cancelled one, one with a new holder, and no repeat customer."""
+    rows = [
+        ("a", 1, 10.0, "step", "2019-05-10", None, "TRADE_PAID", "2019-05-10"),
+        ("b", 2, 20.0, "fixed", "2019-05-11", None, "TRADE_PAID", "2019-05-11"),
+        ("c", 3, 30.0, "fixed", "2019-05-12", None, "TRADE_PAID", "2019-05-12"),
+        ("a", 1, 10.0, "step", "2019-05-10", "2019-06-01", "TRADE_PAID", "2019-06-02"),  # paid in the next month
+        ("b", 2, 20.0, "fixed", "2019-05-11", None, "TRADE_CLOSED", "2019-06-02"),  # cancelled
+        ("d", 3, 30.0, "fixed", "2019-05-12", None, "TRADE_PAID", "2019-06-02"),  # another holder
+    ]
+    raw = spark.createDataFrame(
+        [("P", "1", "P|1", c, i, p, None, 1, kind, at(t), at(paid) if paid else None, status, at(seen)) for c, i, p, kind, t, paid, status, seen in rows], SCHEMA
+    )
+    shops = spark.createDataFrame([("T", "P", "1", "P|1", "one")], SHOPS)
+    known = spark.createDataFrame([("T", "P", "P|1", c, at("2016-01-01")) for c in "abcd"], KNOWN)
+    store = nightly.Store(spark, str(tmp_path / "store"))
+    nightly.init_history(store, raw.filter(F.col("arrived") < F.lit(date(2019, 6, 1))), shops, known, date(2019, 5, 31))
+    for day in (date(2019, 6, 1), date(2019, 6, 2), date(2019, 6, 2)):
+        nightly.nightly(store, raw, shops, known, day)
+    day = date(2019, 6, 2)
+    latest = cleaning.clean_trades(raw.filter(F.col("arrived") >= F.lit(day)), shops)
+    same(store.snapshot("shop_rfm", day), rfm_wide.shop_rfm(known, latest, day))
+    same(store.snapshot("shop_rfm", *month_ends(day)), rfm_wide.month_end_rfm(known, latest, month_ends(day)))
+    assert sorted((r.trade_id, r.uni_id) for r in store.read("trades").collect()) == [(1, "a"), (3, "d")]
+    notes = store.read("reports/notify").filter(F.col("stat_date") == F.lit(day))
+    assert notes.count() == 6
+
+
 def test_two_nights_equal_a_full_load_and_run_again(spark, tmp_path):
     rows = [
         ("a", 1, 10.0, "2017-01-05", "2017-01-05"),
