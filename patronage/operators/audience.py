@@ -113,7 +113,8 @@ def exclude_rebought(due: DataFrame, orders: DataFrame, day: date, days: int = H
     marked = due.withColumns({"mode": mode, "scope": wanted})
     joined = marked.join(calendar, [*buyer, "mode", "scope"], "left")
     latest = F.col("created") + F.make_dt_interval(days=F.col("config_period"))
-    again = F.exists("days", lambda d: (d["last"] > F.col("created")) & (d["first"] <= latest))
+    # A row holds the first and last order of a day, so an empty window must be ruled out on its own.
+    again = (F.col("config_period") > 0) & F.exists("days", lambda d: (d["last"] > F.col("created")) & (d["first"] <= latest))
     known = F.col("mode").isin(KEEP_ALL, SAME_SHOP, SAME_CATEGORY, SAME_ITEM)
     kept = joined.filter(known & ((F.col("mode") == KEEP_ALL) | ~F.coalesce(again, F.lit(False))))
     return kept.select(*due.columns)

@@ -21,8 +21,12 @@ def on_day(time: Column, day: date) -> Column:
 
 def channel_members(shops: DataFrame, members: DataFrame) -> DataFrame:
     """Distinct customers per tenant, also for tenants without any."""
-    pairs = shops.select("tenant", F.col("shop_id").alias("dp_id")).join(members.select("dp_id", "buyer_nick"), "dp_id", "left")
-    return pairs.groupBy("tenant").agg(F.countDistinct("buyer_nick").alias("cal_number")).withColumnRenamed("tenant", "tenant_id")
+    shop = shops.select("tenant", F.col("shop_id").alias("dp_id"))
+    # An inner join, so that a hot shop's members can be split; tenants without members come back afterwards.
+    counted = members.select("dp_id", "buyer_nick").join(shop, "dp_id").groupBy("tenant").agg(F.countDistinct("buyer_nick").alias("n"))
+    return shop.select("tenant").distinct().join(counted, "tenant", "left").select(
+        F.col("tenant").alias("tenant_id"), F.coalesce("n", F.lit(0).cast("long")).alias("cal_number")
+    )
 
 
 def channel_trades(shops: DataFrame, trades: DataFrame, day: date, periods: tuple[int, ...] = (365, 30)) -> DataFrame:
@@ -32,7 +36,8 @@ def channel_trades(shops: DataFrame, trades: DataFrame, day: date, periods: tupl
     finished = trades.filter(
         in_part & (F.col("status") == FINISHED_STATUS) & (F.col("created") >= F.lit(first)) & until(F.col("created"), day)
     ).select("dp_id", "tid", "buyer_nick", number(trades, "payment").alias("payment"), "created")
-    rows = shops.select("tenant", F.col("shop_id").alias("dp_id")).join(finished, "dp_id", "left")
+    shop = shops.select("tenant", F.col("shop_id").alias("dp_id"))
+    rows = finished.join(shop, "dp_id")  # an inner join, so that a hot shop's orders can be split
     orders = rows.groupBy("tenant", "tid", "buyer_nick", "payment").agg(F.max("created").alias("created"))
     marks = F.array(*[F.struct(F.lit(p).alias("period"), F.lit(day - timedelta(days=p)).alias("start")) for p in periods])
     marked = orders.withColumn("mark", F.explode(marks))
@@ -40,10 +45,18 @@ def channel_trades(shops: DataFrame, trades: DataFrame, day: date, periods: tupl
     per_buyer = marked.groupBy("tenant", "mark.period", "buyer_nick").agg(
         count_if(hit).alias("orders"), F.sum(F.when(hit, F.coalesce("payment", F.lit(0.0)))).alias("paid")
     )
-    return per_buyer.groupBy(F.col("tenant").alias("tenant_id"), "period").agg(
-        F.sum("orders").alias("cal_trade_number"),
-        count_if((F.col("orders") > 0) & F.col("buyer_nick").isNotNull()).alias("cal_customer_number"),
-        F.coalesce(F.sum("paid"), F.lit(0.0)).cast("decimal(20,2)").alias("cal_payment"),
+    counted = per_buyer.groupBy("tenant", "period").agg(
+        F.sum("orders").alias("orders"),
+        count_if((F.col("orders") > 0) & F.col("buyer_nick").isNotNull()).alias("customers"),
+        F.sum("paid").alias("paid"),
+    )
+    every = shop.select("tenant").distinct().withColumn("period", F.explode(F.array(*map(F.lit, periods))))
+    return every.join(counted, ["tenant", "period"], "left").select(
+        F.col("tenant").alias("tenant_id"),
+        "period",
+        F.coalesce("orders", F.lit(0).cast("long")).alias("cal_trade_number"),
+        F.coalesce("customers", F.lit(0).cast("long")).alias("cal_customer_number"),
+        F.coalesce("paid", F.lit(0.0)).cast("decimal(20,2)").alias("cal_payment"),
     )
 
 

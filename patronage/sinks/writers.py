@@ -33,9 +33,18 @@ def compact_for_export(df: DataFrame) -> DataFrame:
 
 
 def export_delimited(df: DataFrame, path: str) -> None:
-    """Text with control-A separators and \\N for null, as the serving database loads it."""
-    out = compact_for_export(df).write.mode("overwrite").option("sep", "\u0001").option("nullValue", "\\N")
-    out.option("emptyValue", "").csv(path)
+    """Text with control-A separators and \\N for null, as the serving database loads it.
+
+    Nothing is quoted; a backslash stands before separators, line breaks and backslashes inside values.
+    """
+    def field(name: str, kind: str):
+        value = F.col(f"`{name}`").cast("string")
+        if kind == "string":
+            value = F.regexp_replace(value, "([\\\\\u0001\n\r])", "\\\\$1")
+        return F.coalesce(value, F.lit("\\N"))
+
+    line = F.concat_ws("\u0001", *[field(name, kind) for name, kind in df.dtypes])
+    compact_for_export(df.select(line.alias("line"))).write.mode("overwrite").text(path)
 
 
 def replace_in_serving_store(df: DataFrame, path: str, keys: list[str]) -> None:
@@ -44,7 +53,8 @@ def replace_in_serving_store(df: DataFrame, path: str, keys: list[str]) -> None:
 
 
 def load_serving_database(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
-    """Append to a database table over JDBC; the slice must have been deleted there before."""
+    """Append to a database table over JDBC. The slice must have been deleted there before; a run that is repeated
+    without that doubles its rows."""
     df.write.jdbc(url, table, mode="append", properties=properties)
 
 
