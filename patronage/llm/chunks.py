@@ -169,12 +169,13 @@ def _characters(raw: bytes, spans: list[tuple[int, int]]) -> list[dict]:
     return [{"start": int(upto[a]), "end": int(upto[b])} for a, b in spans]
 
 
-def dedup(docs: DataFrame, min_words: int = MIN_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """All columns of docs, the text without repeated stretches, and removed: their (start, end) in the old text's
-    characters."""
+def dedup(docs: DataFrame, spans_as: str | None = None, min_words: int = MIN_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """All columns of docs, the text without repeated stretches; spans_as names a further column with the stretches'
+    (start, end) in the old text's characters."""
+    found = repeats(docs, block_bytes)
     columns = [c for c in docs.columns if c != "text"]
-    marked = docs.join(repeats(docs, block_bytes), F.col("doc_id").cast("long") == F.col("of_id"), "left")
-    work = marked.select(*columns, "text", F.col("repeated").alias("_repeated"))
+    marked = docs.join(found, docs["doc_id"].cast("long") == found["of_id"], "left")
+    work = marked.select(*[docs[c] for c in columns], docs["text"], found["repeated"].alias("_repeated"))
 
     def make() -> Callable[[pa.RecordBatch], dict]:
         def step(batch: pa.RecordBatch) -> dict:
@@ -198,4 +199,4 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS, block_bytes: int = BLOCK_
 
     kinds = ", ".join(f"`{c}` {type_of(docs, c)}" for c in columns)
     cut = map_batches(work, make, f"{kinds}, text string, _removed array<struct<start: long, end: long>>")
-    return cut.select(*docs.columns, F.col("_removed").alias("removed"))
+    return cut.select(*docs.columns, *([F.col("_removed").alias(spans_as)] if spans_as else []))

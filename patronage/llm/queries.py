@@ -124,6 +124,6 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = chunks.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    cut = chunks.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), spans_as="removed")
     span = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
     return cut.select("doc_id", "text", F.length("text").cast("long").alias("n_chars"), span.alias("n_removed"), "removed")
