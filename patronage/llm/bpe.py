@@ -2,7 +2,7 @@
 
 1. Tasks split their documents into words as the tokenizer does and close a block every BLOCK_CHARS characters. A block
    keeps each of its distinct words once, dealt into buckets by hash, and its documents as sequences of places in that
-   word list. Blocks are written to the shared folder.
+   word list, ranked by frequency. Blocks are written to the shared folder.
 2. Word lists are shuffled by bucket; a task meets all words of its bucket and encodes each distinct one once.
 3. The ids return to their block, where the sequences turn into ids by position, and ids into text through the table
    from id to piece.
@@ -33,12 +33,14 @@ from tokenizers import Tokenizer
 
 from patronage.llm.common import type_of, written
 
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 32_000_000
 #: Distinct words a task remembers before it starts anew.
 REMEMBERED = 1_000_000
 
 #: The tokenizer's split for the scripts where this module's characters classes surely agree with the tokenizer's.
 _SPLIT = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+_ONE, _TWO = 160, 160 + (64 << 8)
+_THREE = _TWO + (31 << 16)
 _UNSURE = re.compile("[\x1c-\x1f²³¹¼-¾ɐ-\U0010ffff]")
 
 
@@ -97,6 +99,32 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
+def _packed_ranks(ranks: np.ndarray) -> bytes:
+    """Ranks by frequency in one to five bytes: one below 160, two or three with the page in the first byte, else the
+    whole number behind 255. First, second and further bytes are compressed apart."""
+    r = ranks.astype(np.int64)
+    two, three, whole = (r >= _ONE) & (r < _TWO), (r >= _TWO) & (r < _THREE), r >= _THREE
+    head = np.where(two, _ONE + ((r - _ONE) >> 8), np.where(three, 224 + ((r - _TWO) >> 16), np.where(whole, 255, r)))
+    low, far = ((r[two] - _ONE) & 255).astype(np.uint8), ((r[three] - _TWO) & 65535).astype("<u2")
+    planes = [head.astype(np.uint8), low, far & 255, far >> 8]
+    packed = [zstandard.ZstdCompressor(level=3).compress(p.astype(np.uint8).tobytes()) for p in planes]
+    packed.append(zstandard.ZstdCompressor(level=3).compress(r[whole].astype("<u4").tobytes()))
+    sizes = np.array([len(p) for p in packed], dtype="<u4")
+    return sizes.tobytes() + b"".join(packed)
+
+
+def _unpacked_ranks(data: bytes) -> np.ndarray:
+    cuts = np.cumsum([20, *np.frombuffer(data, dtype="<u4", count=5)])
+    parts = [zstandard.ZstdDecompressor().decompress(data[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+    head, low, far, page = (np.frombuffer(p, dtype=np.uint8).astype(np.int64) for p in parts[:4])
+    r = head.copy()
+    two, three, whole = (head >= _ONE) & (head < 224), (head >= 224) & (head < 255), head == 255
+    r[two] = _ONE + ((head[two] - _ONE) << 8) + low
+    r[three] = _TWO + ((head[three] - 224) << 16) + (page << 8) + far
+    r[whole] = np.frombuffer(parts[4], dtype="<u4")
+    return r
+
+
 def _pack_words(words: list[str]) -> bytes:
     lengths = np.array([len(words), *map(len, words)], dtype="<u4")
     return zstandard.ZstdCompressor(level=3).compress(lengths.tobytes() + "".join(words).encode())
@@ -128,16 +156,18 @@ class _Block:
         self.chars += chars
 
     def row(self, buckets: int) -> dict:
-        """The word list goes bucket by bucket; places are renumbered to that order."""
+        """Words are ranked by frequency, which packs their sequence best; the list goes bucket by bucket, by rank."""
+        places = np.concatenate([np.zeros(0, dtype=np.uint32), *self.places])
+        ranked = np.argsort(-np.bincount(places, minlength=len(self.known)), kind="stable")
+        rank = np.empty(len(ranked), dtype=np.int64)
+        rank[ranked] = np.arange(len(ranked))
         words = list(self.known)
+        words = [words[k] for k in ranked]
         bucket = np.fromiter((crc32(w.encode()) % buckets for w in words), dtype=np.int64, count=len(words))
         order = np.argsort(bucket, kind="stable")
-        renumber = np.empty(len(words), dtype=np.uint32)
-        renumber[order] = np.arange(len(words), dtype=np.uint32)
         ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
         parts = [_pack_words([words[k] for k in order[a:b]]) for a, b in zip(ends, ends[1:], strict=False)]
-        places = np.concatenate(self.places) if self.places else np.zeros(0, dtype=np.uint32)
-        sequence = _packed(renumber[places] if len(places) else places)
+        sequence = _packed_ranks(rank[places])
         digest = xxhash.xxh64(sequence)
         for part in parts:
             digest.update(part)
@@ -147,7 +177,7 @@ class _Block:
             "ids": self.ids,
             "counts": _packed(np.array(self.counts, dtype=np.uint32)),
             "sequence": sequence,
-            "n_words": len(words),
+            "buckets": _packed(bucket),
             "parts": parts,
         }
 
@@ -155,8 +185,8 @@ class _Block:
 def blocks_of(docs: DataFrame, definition: str, buckets: int, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Documents as blocks: ids, word counts, the sequence of places, and the distinct words by bucket."""
     kind = type_of(docs, "doc_id")
-    schema = f"block long, ids array<{kind}>, counts binary, sequence binary, n_words int, parts array<binary>"
-    arrow_kind = pa.schema([("block", pa.int64()), ("ids", pa.list_(_arrow_type(docs))), ("counts", pa.binary()), ("sequence", pa.binary()), ("n_words", pa.int32()), ("parts", pa.list_(pa.binary()))])
+    schema = f"block long, ids array<{kind}>, counts binary, sequence binary, buckets binary, parts array<binary>"
+    arrow_kind = pa.schema([("block", pa.int64()), ("ids", pa.list_(_arrow_type(docs))), ("counts", pa.binary()), ("sequence", pa.binary()), ("buckets", pa.binary()), ("parts", pa.list_(pa.binary()))])
 
     def run(batches):
         splitter, block = Splitter(definition), _Block(0)
@@ -210,11 +240,13 @@ def _sequences(block: pa.Table, parts: pa.Table) -> tuple[list, list[np.ndarray]
     parts = parts.sort_by("bucket")
     lengths = np.concatenate([np.zeros(0, "<u4"), *(_unpacked(p.as_py()) for p in parts["lengths"])])
     flat = np.concatenate([np.zeros(0, "<u4"), *(_unpacked(p.as_py()) for p in parts["ids"])])
-    if len(lengths) != block["n_words"][0].as_py():
+    order = np.argsort(_unpacked(block["buckets"][0].as_py()), kind="stable")  # ranks in the order of the list
+    if len(lengths) != len(order):
         raise ValueError("a block's documents came without all of its words")
-    ends = np.cumsum(lengths, dtype=np.int64)
-    starts, lengths = ends - lengths, lengths.astype(np.int64)
-    sequence = _unpacked(block["sequence"][0].as_py())
+    listed = lengths.astype(np.int64)
+    starts, lengths = np.empty_like(listed), np.empty_like(listed)
+    starts[order], lengths[order] = np.cumsum(listed) - listed, listed
+    sequence = _unpacked_ranks(block["sequence"][0].as_py())
     cuts = np.concatenate([[0], np.cumsum(_unpacked(block["counts"][0].as_py()), dtype=np.int64)])
     tokens = []
     for a, b in zip(cuts, cuts[1:], strict=False):
@@ -239,7 +271,7 @@ def _joined(docs: DataFrame, definition: str, columns: str, make: Callable[[], C
         ids, tokens = _sequences(block, found)
         return pa.table({"doc_id": pa.array(ids, id_type)} | make()(tokens))
 
-    left = blocks.select("block", "ids", "counts", "sequence", "n_words").groupBy("block")
+    left = blocks.select("block", "ids", "counts", "sequence", "buckets").groupBy("block")
     return left.cogroup(encoded.groupBy("block")).applyInArrow(join, f"doc_id {type_of(docs, 'doc_id')}, {columns}")
 
 
