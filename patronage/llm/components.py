@@ -15,7 +15,7 @@ def _with_least(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     starred = _with_least(both).filter("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
-    return starred.filter("u <> v").distinct()
+    return starred.filter("u <> v")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -25,19 +25,22 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return starred.union(own).filter("u <> v").distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether no node hangs below another and above a third, nor below two."""
+    below = edges.groupBy("u").agg(F.count("*").alias("n"))
+    chained = edges.select(F.col("v").alias("u")).join(below, "u", "left_semi")
+    return below.filter("n > 1").unionByName(chained.select("u", F.lit(2).cast("long").alias("n"))).isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node in links (a, b); the root is the least node of its component.
 
     Links turn into stars around least nodes in a number of rounds that grows with the logarithm of their number; each
-    round is a table in the shared folder, and only its row count and checksum reach the driver.
+    round is a table in the shared folder, and only whether it holds nothing but stars reaches the driver.
     """
-    edges = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges, last = written(edges, "links"), None
-    while True:
-        total = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(total) == last or total[0] == 0:
-            break
-        last = tuple(total)
+    down = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    edges = written(_small_star(down), "links")
+    while not _are_stars(edges):
         edges = written(_small_star(_large_star(edges)), "stars")
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.union(edges.select(F.col("v"), F.col("v")).distinct())

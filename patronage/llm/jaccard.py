@@ -16,10 +16,13 @@ indexed after all. For any two similar sets:
   index the deletions of the paying segments.
 
 Sets that are equal are one node from the start. Nodes that meet at a key are candidates: up to FEW of them all with
-each other; more of them through the key's first node only, a row a node. Candidates are verified exactly. Larger keys
-whose nodes are then still in different components are settled by comparing nodes of different components in size
-order. So a group of thousands of near copies costs a row a member and key, and no link that joins two components is
-lost.
+each other; more of them through the key's hub, the node with the most larger keys: a row a node, and a hub that most
+others resemble joins them at once. Candidates are verified exactly. Larger keys whose nodes
+are then still in different components are compared in blocks of BLOCK nodes: a task meets the parity sketches of two
+blocks and gives the pairs of different components whose sketches differ in no more bits than the similarity allows
+members. A differing member turns one bit, so no similar pair is lost, and pairs that are not similar hardly come
+through. So a group of thousands of near copies is neither paired out nor held whole, and no link that joins two
+components is lost.
 
 Defined cases: a missing text or one without words has an empty set and no links; a text shorter than a shingle has its
 whole sequence as its one shingle; a missing id is grouped like any other and ignored as a component's smallest id
@@ -40,6 +43,9 @@ from patronage.llm.components import components
 
 #: Nodes of a key that are all compared with each other.
 FEW = 8
+BLOCK = 1000
+#: Sketch bits for each member in which similar sets may differ.
+BITS_EACH = 8
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
@@ -158,13 +164,13 @@ def sets_of(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidates from rows of (key, node) sorted by key: pairs of small keys, and of larger ones each node with the
-    first, besides the rows themselves (large)."""
-    key, nodes, first = None, [], None  # the key being read; its nodes, as long as they are few
+    """Candidates from rows of (key, node) sorted by key: the pairs of small keys, and the nodes of larger ones, as (key,
+    node, node)."""
+    key, nodes, last = None, [], None  # the key being read; its first nodes; the last one
     out: list[tuple[int | None, int, int]] = []
 
     def close() -> None:
-        if first is None:
+        if len(nodes) <= FEW:
             out.extend((None, a, b) for k, a in enumerate(nodes) for b in nodes[k + 1 :])
 
     def batch_of() -> pa.RecordBatch:
@@ -183,15 +189,17 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             now = int(keys[starts[k]])
             if now != key:
                 close()
-                key, nodes, first = now, [], None
+                key, nodes, last = now, [], None
             for node in np.unique(values[starts[k] : ends[k]]).tolist():
-                if first is not None:
-                    out.append((key, first, node))
-                elif not nodes or node != nodes[-1]:
-                    nodes.append(node)
-                    if len(nodes) > FEW:
-                        first = nodes[0]
-                        out.extend((key, first, n) for n in nodes)
+                if node == last:
+                    continue
+                last = node
+                if len(nodes) > FEW:
+                    out.append((key, node, node))
+                    continue
+                nodes.append(node)
+                if len(nodes) > FEW:
+                    out.extend((key, n, n) for n in nodes)
         if len(out) > 50_000:
             yield batch_of()
     close()
@@ -204,8 +212,17 @@ def candidates(sets: DataFrame) -> DataFrame:
     return rows.mapInArrow(_met, "large long, a long, b long")
 
 
-def _items_of(docs: DataFrame, members: DataFrame, needed: DataFrame, width: int) -> DataFrame:
-    """(node, items) of the needed nodes, from the text of one document of each."""
+def _sketch(items: np.ndarray, percent: int) -> bytes:
+    """Parity sketch: each member turns one bit. Its length, a power of two, grows with the set; a longer one folds to a
+    shorter one."""
+    allowed = len(items) * (100 - percent) // percent + 1
+    bits = max(64, 1 << (BITS_EACH * allowed - 1).bit_length())
+    turned = np.bincount((_mixed(items) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(turned.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _items_of(docs: DataFrame, members: DataFrame, needed: DataFrame, width: int, percent: int) -> DataFrame:
+    """(node, n, sketch, items) of the needed nodes, from the text of one document of each."""
     wanted = members.join(needed, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("from_id"))
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("from_id"))).select("node", "text")
 
@@ -216,39 +233,97 @@ def _items_of(docs: DataFrame, members: DataFrame, needed: DataFrame, width: int
                 own = shingles(text.as_py(), width)
                 if node_of(own) == node:  # an id may stand on several texts
                     nodes.append(node)
-                    items.append(_as_long(own))
-            return {"node": pa.array(nodes, pa.int64()), "items": pa.array(items, pa.list_(pa.int64()))}
+                    items.append(own)
+            return {
+                "node": pa.array(nodes, pa.int64()),
+                "n": pa.array(map(len, items), pa.int64()),
+                "sketch": pa.array([_sketch(i, percent) for i in items], pa.binary()),
+                "items": pa.array(map(_as_long, items), pa.list_(pa.int64())),
+            }
 
         return step
 
-    return map_batches(texts, make, "node long, items array<long>").dropDuplicates(["node"])
+    return map_batches(texts, make, "node long, n long, sketch binary, items array<long>").dropDuplicates(["node"])
 
 
 def verified(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose similarity reaches percent / 100, by exact counts."""
-    sized = items.select("node", F.size("items").cast("long").alias("n"))
-    fit = (
-        pairs.join(sized.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
-        .join(sized.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
-        .filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    )
-    both = fit.join(items.select(F.col("node").alias("b"), F.col("items").alias("of_b")), "b").join(
-        items.select(F.col("node").alias("a"), F.col("items").alias("of_a")), "a"
-    )
+    of_a = items.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("items").alias("of_a"))
+    of_b = items.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("items").alias("of_b"))
+    both = pairs.join(of_b, "b").join(of_a, "a").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
     common = F.size(F.array_intersect("of_a", "of_b")).cast("long")
     return both.select("a", "b", "na", "nb", common.alias("c")).filter(100 * F.col("c") >= percent * (F.col("na") + F.col("nb") - F.col("c"))).select("a", "b")
 
 
-def _rest(large: DataFrame, roots: DataFrame, items: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that meet at a large key and whose sizes allow the similarity."""
+def _open(large: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, node, root) of the larger keys whose nodes lie in different components."""
     placed = large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_keys = placed.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most").select("key")
-    rows = placed.join(open_keys, "key").join(items.select("node", F.size("items").cast("long").alias("n")), "node")
-    a = rows.select("key", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("na"))
-    b = rows.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("nb"))
-    near = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
-    pairs = a.join(b, "key").filter(near & (F.col("root_a") != F.col("root_b")) & (100 * F.col("na") >= percent * F.col("nb")))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return placed.join(open_keys, "key")
+
+
+def _hub_pairs(large: DataFrame) -> DataFrame:
+    """(a, b): the nodes of each larger key with the key's hub, the node with the most larger keys."""
+    degrees = large.join(large.groupBy("node").agg(F.count("*").alias("degree")), "node")
+    hubs = degrees.groupBy("key").agg(F.max(F.struct("degree", F.col("node").alias("hub"))).alias("best")).select("key", "best.hub")
+    met = large.join(hubs, "key").filter(F.col("node") != F.col("hub"))
+    return met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+
+
+def _near_in_block(group: list[tuple], percent: int) -> list[tuple[int, int]]:
+    """Pairs of different components, one of side 0 and one of side 1 (or both of one block), whose sizes and sketches
+    allow the similarity. Rows are (side, node, root, n, sketch)."""
+    length = min(len(r[4]) for r in group)
+    folded = np.zeros((len(group), length), dtype=np.uint8)
+    for k, row in enumerate(group):
+        folded[k] = np.bitwise_xor.reduce(np.frombuffer(row[4], dtype=np.uint8).reshape(-1, length), axis=0)
+    words = folded.view(np.uint64)
+    side, node, root, size = (np.array([r[k] for r in group], dtype=np.int64) for k in range(4))
+    first = np.flatnonzero(side == 0)
+    second = np.flatnonzero(side == 1) if side.any() else first
+    out = []
+    for k in first:
+        fit = second[(root[second] != root[k]) & (100 * np.minimum(size[second], size[k]) >= percent * np.maximum(size[second], size[k]))]
+        differing = np.bitwise_count(words[fit] ^ words[k]).sum(axis=1, dtype=np.int64)
+        near = fit[differing * (100 + percent) <= (100 - percent) * (size[fit] + size[k])]
+        out.extend((min(int(node[k]), n), max(int(node[k]), n)) for n in node[near].tolist())
+    return out
+
+
+def _rest(rows: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that meet at a larger key and whose sketches allow the similarity."""
+    counts = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    # A block meets itself and each other block once: the row goes to all pairs of blocks that hold its own.
+    pair = F.explode(F.expr("transform(sequence(0, blocks - 1), k -> struct(least(k, own) AS i, greatest(k, own) AS j))"))
+    dealt = (
+        rows.join(counts, "key")
+        .withColumn("own", own)
+        .withColumn("pair", pair)
+        .select("key", "pair.i", "pair.j", ((F.col("own") != F.col("pair.i"))).cast("int").alias("side"), "node", "root")
+        .join(items.select("node", "n", "sketch"), "node")
+    )
+    columns = ["key", "i", "j", "side", "node", "root", "n", "sketch"]
+    sorted_rows = dealt.select(*columns).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, group = None, []
+
+        def near() -> pa.RecordBatch:
+            found = sorted(set(_near_in_block(group, percent))) if len(group) > 1 else []
+            return pa.RecordBatch.from_pydict({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+        for batch in batches:
+            for row in zip(*(batch[c].to_pylist() for c in columns), strict=True):
+                if row[:3] != at:
+                    if group:
+                        yield near()
+                    at, group = row[:3], []
+                group.append(row[3:])
+        if group:
+            yield near()
+
+    return sorted_rows.mapInArrow(run, "a long, b long").distinct()
 
 
 def linked(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -256,15 +331,17 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     sets = written(sets_of(docs, width, percent), "jaccard-sets")
     members = sets.select("doc_id", "node", "n_shingles")
     met = written(candidates(sets), "jaccard-met")
-    pairs = met.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     needed = met.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    items = written(_items_of(docs, members, needed, width), "jaccard-items")
-    links = written(verified(pairs, items, percent), "jaccard-links")
+    items = written(_items_of(docs, members, needed, width, percent), "jaccard-items")
+    few = met.filter("large is null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    large = written(met.filter("large is not null").select(F.col("large").alias("key"), F.col("a").alias("node")).distinct(), "jaccard-large")
+    links = written(verified(few.union(_hub_pairs(large)).distinct(), items, percent), "jaccard-links")
     roots = components(links)
-    large = met.filter("large is not null").select(F.col("large").alias("key"), F.col("b").alias("node")).distinct()
-    rest = written(_rest(large, roots, items, percent).join(pairs, ["a", "b"], "left_anti"), "jaccard-rest")
-    more = written(verified(rest, items, percent), "jaccard-more")
-    roots = components(links.union(more))
+    rows = written(_open(large, roots), "jaccard-open")
+    if not rows.isEmpty():
+        more = written(verified(_rest(rows, items, percent), items, percent), "jaccard-rest")
+        if not more.isEmpty():
+            roots = components(links.union(more))
     ids = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = ids.filter("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return ids.join(least, "root", "left").select(
@@ -278,4 +355,4 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     classes = linked(docs, width, percent).select(F.col("doc_id").alias("of_id"), "node", "component_id", "n_shingles")
     kept = classes.filter((F.col("of_id") == F.col("component_id")) | (F.col("n_shingles") == 0)).select("of_id").distinct()
     gone = classes.filter(F.col("of_id").isNotNull()).join(kept, "of_id", "left_anti").select("of_id").distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("of_id"), "left_anti").select(*docs.columns)
+    return docs.join(gone, docs["doc_id"] == gone["of_id"], "left_anti")
