@@ -2,7 +2,7 @@
 
 A gear hash rolls over the text's bytes; a chunk ends behind a white space where the lowest tested bits of the hash of
 the last 16 bytes are 0, so cuts depend on nothing but the text around them and an insertion moves no cut further on.
-(Text without white space is cut where more bits are 0.) Each run of WINDOW chunks is one unit of variable length, with
+(Words of more than LONG_WORD bytes are also cut inside, where more bits are 0.) Each run of WINDOW chunks is one unit of variable length, with
 a digest. A unit found in several documents stays in the one with the least id; in the others its chunks are repeated
 text, and a stretch of repeated chunks with at least MIN_WORDS words is taken out. Stretches end at chunk cuts, so a few
 words at either end of a repeated passage stay.
@@ -28,9 +28,10 @@ from patronage.llm.common import map_batches, type_of, written
 
 WINDOW = 4
 MIN_WORDS = 20
-#: Bits tested behind a white space, and elsewhere.
+#: Bits tested behind a white space, and inside words of more than LONG_WORD bytes.
 SPACE_BITS = 2
 OTHER_BITS = 9
+LONG_WORD = 64
 BLOCK_BYTES = 16_000_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -58,7 +59,10 @@ def cuts_of(raw: np.ndarray) -> np.ndarray:
         rolled = rolled + older
     tested = rolled >> np.uint32(15)
     space = _IS_SPACE[raw]
-    ends = (space & (tested & np.uint32((1 << SPACE_BITS) - 1) == 0)) | (tested & np.uint32((1 << OTHER_BITS) - 1) == 0)
+    at = np.arange(len(raw))
+    unspaced = at - np.maximum.accumulate(np.where(space, at, -1)) if len(raw) else at
+    other = (unspaced > LONG_WORD) & (tested & np.uint32((1 << OTHER_BITS) - 1) == 0)
+    ends = (space & (tested & np.uint32((1 << SPACE_BITS) - 1) == 0)) | other
     ends[:-1] &= (raw[1:] & 0xC0) != 0x80  # not inside a character
     if len(ends):
         ends[-1] = True

@@ -51,6 +51,10 @@ def sample_of_languages(docs: DataFrame, usable: Column, per_language: int = DOC
     return labelled.filter(chosen).select("lang", F.lower(whole_text()).alias("text"))
 
 
+def _sized(size: int) -> Callable[[Column], Column]:
+    return lambda gram: F.struct(F.lit(size).alias("size"), gram.alias("gram"))
+
+
 def _most_frequent(counts: DataFrame, key: str, keep: int, *by: str) -> DataFrame:
     order = W.partitionBy("lang", *by).orderBy(F.desc("n"), key)
     return counts.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= keep).drop("place")
@@ -64,11 +68,12 @@ def learn(docs: DataFrame, usable: Column) -> dict:
         .groupBy("lang", "word")
         .agg(F.count("*").alias("n"))
     )
-    sizes = F.explode(F.array(*map(F.lit, GRAM_SIZES))).alias("size")
+    # Overlapping n-grams by lookahead: one pass over a word of any length.
+    found = [F.transform(F.regexp_extract_all("word", F.lit(f"(?=(.{{{k}}}))"), F.lit(1)), _sized(k)) for k in GRAM_SIZES]
     grams = (
-        words.select("lang", "word", "n", F.length("word").alias("length"), sizes)
-        .filter("length >= size")
-        .select("lang", "size", "n", F.explode(F.expr("transform(sequence(1, length - size + 1), i -> substring(word, i, size))")).alias("gram"))
+        words.select("lang", "n", F.explode_outer(F.concat(*found)).alias("found"))
+        .select("lang", "found.size", "found.gram", "n")
+        .filter("gram is not null")
         .groupBy("lang", "size", "gram")
         .agg(F.sum("n").alias("n"))
     )
