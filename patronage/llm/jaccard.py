@@ -35,6 +35,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +45,8 @@ from patronage.llm.components import components
 #: Nodes of a key that are all compared with each other.
 FEW = 8
 BLOCK = 1000
+#: Index keys that a task packs together.
+BLOCK_KEYS = 2_000_000
 #: Sketch bits for each member in which similar sets may differ.
 BITS_EACH = 8
 
@@ -141,75 +144,128 @@ def _as_long(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-def sets_of(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(doc_id, node, n_shingles, keys); a task gives the keys of a set it has met before as an empty list."""
+def sets_of(docs: DataFrame, width: int) -> DataFrame:
+    """(doc_id, node, n_shingles) of every row."""
 
     def make() -> Callable[[pa.RecordBatch], dict]:
+        def step(batch: pa.RecordBatch) -> dict:
+            items = [shingles(text.as_py(), width) for text in batch["text"]]
+            return {"doc_id": batch["doc_id"], "node": [node_of(i) for i in items], "n_shingles": [len(i) for i in items]}
+
+        return step
+
+    return map_batches(docs.select("doc_id", "text"), make, f"doc_id {type_of(docs, 'doc_id')}, node long, n_shingles long")
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Unsigned 64-bit numbers, byte plane by byte plane, compressed."""
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+
+
+def _indexed(docs: DataFrame, width: int, percent: int, buckets: int) -> DataFrame:
+    """(bucket, nodes, keys, at): a block's index keys of one bucket, sorted and as differences, with the place of each
+    key's node in nodes. A task indexes a set it has met before only once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, met = Bands(percent), set()
+        nodes: list[int] = []
+        keys: list[np.ndarray] = []
+        n_keys = 0
+
+        def closed() -> pa.RecordBatch:
+            every = np.concatenate(keys)
+            at = np.repeat(np.arange(len(keys), dtype=np.uint64), [len(k) for k in keys])
+            bucket = every % np.uint64(buckets)
+            order = np.lexsort((every, bucket))
+            every, at, bucket = every[order], at[order], bucket[order]
+            held, out = np.array(nodes, dtype=np.int64).view(np.uint64), []
+            for a, b in zip(*(lambda c: (c[:-1], c[1:]))(np.searchsorted(bucket, np.arange(buckets + 1))), strict=True):
+                if a < b:
+                    own, place = np.unique(at[a:b], return_inverse=True)
+                    steps = np.diff(every[a:b], prepend=np.uint64(0))
+                    out.append((int(bucket[a]), held[own.astype(np.int64)].tobytes(), _packed(steps), _packed(place)))
+            nodes.clear()
+            keys.clear()
+            kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_pydict({c: pa.array([o[k] for o in out], kinds[k]) for k, c in enumerate(("bucket", "nodes", "keys", "at"))})
 
-        def step(batch: pa.RecordBatch) -> dict:
-            nodes, sizes, keys = [], [], []
+        for batch in batches:
             for text in batch["text"]:
                 items = shingles(text.as_py(), width)
-                node = node_of(items)
-                nodes.append(node)
-                sizes.append(len(items))
-                keys.append(_as_long(keys_of(items, bands)) if node not in met else np.zeros(0, dtype=np.int64))
-                met.add(node)
-            return {"doc_id": batch["doc_id"], "node": nodes, "n_shingles": sizes, "keys": pa.array(keys, pa.list_(pa.int64()))}
+                if (node := node_of(items)) not in met:
+                    met.add(node)
+                    if len(found := keys_of(items, bands)):
+                        nodes.append(node)
+                        keys.append(found)
+                        n_keys += len(found)
+                if n_keys >= BLOCK_KEYS:
+                    yield closed()
+                    n_keys = 0
+        if keys:
+            yield closed()
+
+    return docs.select("text").mapInArrow(run, "bucket int, nodes binary, keys binary, at binary")
+
+
+def _met_at(keys: np.ndarray, nodes: np.ndarray) -> tuple[list[int | None], list[int], list[int]]:
+    """Candidates (large, a, b) among (key, node): the pairs of small keys, and the nodes of larger ones as (key, node,
+    node)."""
+    order = np.lexsort((nodes, keys))
+    keys, nodes = keys[order], nodes[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
+    keys, nodes = keys[new], nodes[new]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    sizes = np.diff(np.append(starts, len(keys)))
+    large, a, b = [], [], []
+    for n in range(2, FEW + 1):
+        for k in range(n):
+            for j in range(k + 1, n):
+                first = starts[sizes == n]
+                a.append(nodes[first + k])
+                b.append(nodes[first + j])
+    n_pairs = sum(map(len, a))
+    wide = np.repeat(sizes > FEW, sizes)
+    large = [None] * n_pairs + _as_long(keys[wide]).tolist()
+    a.append(nodes[wide])
+    b.append(nodes[wide])
+    return large, np.concatenate(a).tolist(), np.concatenate(b).tolist()
+
+
+def candidates(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(large, a, b): node pairs that meet at a key, and the nodes of keys with more than FEW of them.
+
+    A bucket holds its keys of all blocks at once, sixteen bytes each; there are as many buckets as shuffle partitions.
+    """
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = _indexed(docs, width, percent, buckets).repartition("bucket").sortWithinPartitions("bucket")
 
-        return step
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, keys, nodes = None, [], []
+
+        def closed() -> pa.RecordBatch:
+            found = _met_at(np.concatenate(keys), np.concatenate(nodes))
+            keys.clear()
+            nodes.clear()
+            return pa.RecordBatch.from_pydict({c: pa.array(f, pa.int64()) for c, f in zip(("large", "a", "b"), found, strict=True)})
+
+        for batch in batches:
+            for bucket, held, packed, places in zip(*(batch[c].to_pylist() for c in ("bucket", "nodes", "keys", "at")), strict=True):
+                if bucket != at and keys:
+                    yield closed()
+                at = bucket
+                keys.append(np.cumsum(_unpacked(packed), dtype=np.uint64))
+                nodes.append(np.frombuffer(held, dtype=np.int64)[_unpacked(places).astype(np.int64)])
+        if keys:
+            yield closed()
 
-    return map_batches(docs.select("doc_id", "text"), make, f"doc_id {type_of(docs, 'doc_id')}, node long, n_shingles long, keys array<long>")
-
-
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidates from rows of (key, node) sorted by key: the pairs of small keys, and the nodes of larger ones, as (key,
-    node, node)."""
-    key, nodes, last = None, [], None  # the key being read; its first nodes; the last one
-    out: list[tuple[int | None, int, int]] = []
-
-    def close() -> None:
-        if len(nodes) <= FEW:
-            out.extend((None, a, b) for k, a in enumerate(nodes) for b in nodes[k + 1 :])
-
-    def batch_of() -> pa.RecordBatch:
-        columns = zip(*out, strict=True) if out else ([], [], [])
-        made = pa.RecordBatch.from_pydict({n: pa.array(c, pa.int64()) for n, c in zip(("large", "a", "b"), columns, strict=True)})
-        out.clear()
-        return made
-
-    for batch in batches:
-        keys, values = batch["key"].to_numpy(), batch["node"].to_numpy()
-        cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
-        starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(keys)]])
-        edge = np.zeros(len(starts), dtype=bool)
-        edge[[0, -1]] = True
-        for k in np.flatnonzero(edge | (ends - starts > 1)):
-            now = int(keys[starts[k]])
-            if now != key:
-                close()
-                key, nodes, last = now, [], None
-            for node in np.unique(values[starts[k] : ends[k]]).tolist():
-                if node == last:
-                    continue
-                last = node
-                if len(nodes) > FEW:
-                    out.append((key, node, node))
-                    continue
-                nodes.append(node)
-                if len(nodes) > FEW:
-                    out.extend((key, n, n) for n in nodes)
-        if len(out) > 50_000:
-            yield batch_of()
-    close()
-    yield batch_of()
-
-
-def candidates(sets: DataFrame) -> DataFrame:
-    """(large, a, b): node pairs that meet at a key; large is the key where it has more than FEW nodes."""
-    rows = sets.select(F.explode("keys").alias("key"), "node").repartition("key").sortWithinPartitions("key", "node")
-    return rows.mapInArrow(_met, "large long, a long, b long")
+    return rows.mapInArrow(run, "large long, a long, b long")
 
 
 def _sketch(items: np.ndarray, percent: int) -> bytes:
@@ -328,9 +384,8 @@ def _rest(rows: DataFrame, items: DataFrame, percent: int) -> DataFrame:
 
 def linked(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, node, n_shingles and component_id of every row: the smallest id that links reach from it."""
-    sets = written(sets_of(docs, width, percent), "jaccard-sets")
-    members = sets.select("doc_id", "node", "n_shingles")
-    met = written(candidates(sets), "jaccard-met")
+    members = written(sets_of(docs, width), "jaccard-sets")
+    met = written(candidates(docs, width, percent), "jaccard-met")
     needed = met.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     items = written(_items_of(docs, members, needed, width, percent), "jaccard-items")
     few = met.filter("large is null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
