@@ -34,7 +34,7 @@ O["s5_active_or_month_scan"] = sql(
 cte(
     "action",
     """SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(user_id % 3 AS VARCHAR) AS subject_id, CAST(user_id % 10 AS VARCHAR) AS sub_id,
-       CAST(event_id * 7 % 150 AS VARCHAR) AS relate_userid,
+       CAST(user_id - user_id % 10 AS VARCHAR) AS relate_userid,
        CASE event_type WHEN 'view' THEN 'READ' WHEN 'click' THEN 'VISIT' WHEN 'purchase' THEN 'SHARE' WHEN 'signup' THEN 'OPEN_SHARE' ELSE 'OTHER' END AS action,
        CASE WHEN event_id % 2 = 0 THEN 'mp' ELSE 'mini' END AS source, json_extract_string(props, '$.k') AS business_id,
        event_type AS business_action, date_trunc('second', ts) AS action_time, event_id FROM events""",

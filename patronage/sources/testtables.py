@@ -262,7 +262,7 @@ class Tables:
             text("user_id").alias("user_id"),
             text(F.col("user_id") % 3).alias("subject_id"),
             text(F.col("user_id") % 10).alias("sub_id"),
-            text(F.col("event_id") * 7 % 150).alias("relate_userid"),
+            text(F.col("user_id") - F.col("user_id") % 10).alias("relate_userid"),
             F.coalesce(kind[F.col("event_type")], F.lit("OTHER")).alias("action"),
             F.when(F.col("event_id") % 2 == 0, "mp").otherwise("mini").alias("source"),
             F.get_json_object("props", "$.k").alias("business_id"),
