@@ -51,6 +51,20 @@ def test_exclusion_at_the_edges(spark):
     assert {r.oid for r in audience.exclude_rebought(due, df, DAY).collect()} == {"o1", "o2", "o3", "o4", "o5"}
 
 
+def test_an_empty_period_drops_nothing(spark):
+    """Orders before and after the item on its day lie in one row of that day, but not in a period of no days."""
+    df = orders(spark, [("X", "a", "c", "1", 1, f"2019-06-01 {hour}:00:00") for hour in ("08", "10", "12")])
+    due = df.withColumns({"config_period": F.lit(0), "config_exclude_customer": F.lit("1")})
+    assert audience.exclude_rebought(due, df, DAY).count() == 3
+
+
+def test_export_lines_hold_no_quotes(spark, tmp_path):
+    rows = spark.createDataFrame([('Shop "A"', "a\\b", None, 1.5), ("x\u0001y", "", "z", 2.0)], "name string, note string, gap string, paid double")
+    writers.export_delimited(rows, str(tmp_path / "out"))
+    lines = {r.value for r in spark.read.text(str(tmp_path / "out")).collect()}
+    assert lines == {'Shop "A"\u0001a\\\\b\u0001\\N\u00011.5', "x\\\u0001y\u0001\u0001z\u00012.0"}
+
+
 def test_due_items(spark):
     df = orders(spark, [("X", "a", "c", "1", 2, "2019-06-20 10:00:00"), ("X", "a", "c", "2", 2, "2019-06-20"), ("X", "a", "c", "3", 1, "2019-06-20")])
     rules = [("X", "1", "NULL", 5, None, "0", "0"), ("X", "2", "other", 5, None, "0", "0"), ("X", "3", "s", 10, None, "1", "1")]

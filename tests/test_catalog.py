@@ -69,3 +69,12 @@ def test_columns_are_pruned_and_filters_pushed(spark):
     plan = plan_of(contract.queries()["v1_customer_period_day"](spark, FOLDER))
     assert "l_tax" not in plan and "o_totalprice" not in plan
     assert "GreaterThanOrEqual(o_orderdate" in plan
+
+
+@needs_data
+def test_customers_grow_with_the_tables(spark):
+    """Ten times the tables, about ten times the customer rows: prospects are one shop a customer."""
+    from patronage.sources.testtables import Tables
+
+    small, large = (Tables(spark, f"/root/testdata/{sf}").shop_customer.count() for sf in ("sf0.01", "sf0.1"))
+    assert 5 <= large / small <= 20
