@@ -99,7 +99,7 @@ class Bands:
 
 def _paid(segments: int) -> int:
     """How many of a band's first segments may pay for empty ones."""
-    return min(segments, 8 + segments // 4)
+    return min(segments, 6 + segments // 12)
 
 
 def _keys_in(items: np.ndarray, band: int, segments: int) -> np.ndarray:
@@ -277,6 +277,16 @@ def _sketch(items: np.ndarray, percent: int) -> bytes:
     return np.packbits(turned.astype(np.uint8), bitorder="little").tobytes()
 
 
+def _folded(sketch: bytes, length: int) -> np.ndarray:
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, dtype=np.uint8).reshape(-1, length), axis=0)
+
+
+def _differing(a: bytes, b: bytes) -> int:
+    """Bits in which two sketches differ: no more than the sets have differing members."""
+    length = min(len(a), len(b))
+    return int(np.bitwise_count(_folded(a, length) ^ _folded(b, length)).sum())
+
+
 def _items_of(docs: DataFrame, members: DataFrame, needed: DataFrame, width: int, percent: int) -> DataFrame:
     """(node, n, sketch, items) of the needed nodes, from the text of one document of each."""
     wanted = members.join(needed, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("from_id"))
@@ -302,8 +312,24 @@ def _items_of(docs: DataFrame, members: DataFrame, needed: DataFrame, width: int
     return map_batches(texts, make, "node long, n long, sketch binary, items array<long>").dropDuplicates(["node"])
 
 
+def _may_be_near(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sizes and sketches allow the similarity; sketches are far smaller than sets."""
+    of_a = items.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("of_a"))
+    of_b = items.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("of_b"))
+    sketched = pairs.join(of_b, "b").join(of_a, "a").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch[c].to_pylist() for c in ("of_a", "of_b", "na", "nb")]
+            near = [_differing(x, y) * (100 + percent) <= (100 - percent) * (n + m) for x, y, n, m in zip(*columns, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    return sketched.select("a", "b", "na", "nb", "of_a", "of_b").mapInArrow(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose similarity reaches percent / 100, by exact counts."""
+    pairs = _may_be_near(pairs, items, percent)
     of_a = items.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("items").alias("of_a"))
     of_b = items.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("items").alias("of_b"))
     both = pairs.join(of_b, "b").join(of_a, "a").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
@@ -332,7 +358,7 @@ def _near_in_block(group: list[tuple], percent: int) -> list[tuple[int, int]]:
     length = min(len(r[4]) for r in group)
     folded = np.zeros((len(group), length), dtype=np.uint8)
     for k, row in enumerate(group):
-        folded[k] = np.bitwise_xor.reduce(np.frombuffer(row[4], dtype=np.uint8).reshape(-1, length), axis=0)
+        folded[k] = _folded(row[4], length)
     words = folded.view(np.uint64)
     side, node, root, size = (np.array([r[k] for r in group], dtype=np.int64) for k in range(4))
     first = np.flatnonzero(side == 0)
