@@ -30,7 +30,7 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """The same rows, read back from a table in the shared folder: lineage ends here and lost executors lose nothing."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
