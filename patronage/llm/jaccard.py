@@ -31,6 +31,7 @@ are ignored.
 """
 
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,10 @@ from pyspark.sql import functions as F
 from patronage.llm.common import map_batches, type_of, written
 from patronage.llm.components import components
 
+#: A text's set, and a task's maker of the function from a set to its index keys.
+Items = Callable[[str | None], np.ndarray]
+MakeKeys = Callable[[], Callable[[np.ndarray], np.ndarray]]
+
 #: Nodes of a key that are all compared with each other.
 FEW = 8
 BLOCK = 1000
@@ -144,17 +149,17 @@ def _as_long(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-def sets_of(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, node, n_shingles) of every row."""
+def sets_of(docs: DataFrame, items_of: Items) -> DataFrame:
+    """(doc_id, node, n_items) of every row."""
 
     def make() -> Callable[[pa.RecordBatch], dict]:
         def step(batch: pa.RecordBatch) -> dict:
-            items = [shingles(text.as_py(), width) for text in batch["text"]]
-            return {"doc_id": batch["doc_id"], "node": [node_of(i) for i in items], "n_shingles": [len(i) for i in items]}
+            items = [items_of(text.as_py()) for text in batch["text"]]
+            return {"doc_id": batch["doc_id"], "node": [node_of(i) for i in items], "n_items": [len(i) for i in items]}
 
         return step
 
-    return map_batches(docs.select("doc_id", "text"), make, f"doc_id {type_of(docs, 'doc_id')}, node long, n_shingles long")
+    return map_batches(docs.select("doc_id", "text"), make, f"doc_id {type_of(docs, 'doc_id')}, node long, n_items long")
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -168,12 +173,12 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u8").ravel()
 
 
-def _indexed(docs: DataFrame, width: int, percent: int, buckets: int) -> DataFrame:
+def _indexed(docs: DataFrame, items_of: Items, make_keys: MakeKeys, buckets: int) -> DataFrame:
     """(bucket, nodes, keys, at): a block's index keys of one bucket, sorted and as differences, with the place of each
     key's node in nodes. A task indexes a set it has met before only once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, met = Bands(percent), set()
+        keys_of_set, met = make_keys(), set()
         nodes: list[int] = []
         keys: list[np.ndarray] = []
         n_keys = 0
@@ -197,10 +202,10 @@ def _indexed(docs: DataFrame, width: int, percent: int, buckets: int) -> DataFra
 
         for batch in batches:
             for text in batch["text"]:
-                items = shingles(text.as_py(), width)
+                items = items_of(text.as_py())
                 if (node := node_of(items)) not in met:
                     met.add(node)
-                    if len(found := keys_of(items, bands)):
+                    if len(found := keys_of_set(items)):
                         nodes.append(node)
                         keys.append(found)
                         n_keys += len(found)
@@ -238,13 +243,13 @@ def _met_at(keys: np.ndarray, nodes: np.ndarray) -> tuple[list[int | None], list
     return large, np.concatenate(a).tolist(), np.concatenate(b).tolist()
 
 
-def candidates(docs: DataFrame, width: int, percent: int) -> DataFrame:
+def candidates(docs: DataFrame, items_of: Items, make_keys: MakeKeys) -> DataFrame:
     """(large, a, b): node pairs that meet at a key, and the nodes of keys with more than FEW of them.
 
     A bucket holds its keys of all blocks at once, sixteen bytes each; there are as many buckets as shuffle partitions.
     """
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = _indexed(docs, width, percent, buckets).repartition("bucket").sortWithinPartitions("bucket")
+    rows = _indexed(docs, items_of, make_keys, buckets).repartition("bucket").sortWithinPartitions("bucket")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, keys, nodes = None, [], []
@@ -287,7 +292,7 @@ def _differing(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(_folded(a, length) ^ _folded(b, length)).sum())
 
 
-def _items_of(docs: DataFrame, members: DataFrame, needed: DataFrame, width: int, percent: int) -> DataFrame:
+def _items_of(docs: DataFrame, members: DataFrame, needed: DataFrame, items_of: Items, percent: int) -> DataFrame:
     """(node, n, sketch, items) of the needed nodes, from the text of one document of each."""
     wanted = members.join(needed, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("from_id"))
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("from_id"))).select("node", "text")
@@ -296,7 +301,7 @@ def _items_of(docs: DataFrame, members: DataFrame, needed: DataFrame, width: int
         def step(batch: pa.RecordBatch) -> dict:
             nodes, items = [], []
             for node, text in zip(batch["node"].to_pylist(), batch["text"], strict=True):
-                own = shingles(text.as_py(), width)
+                own = items_of(text.as_py())
                 if node_of(own) == node:  # an id may stand on several texts
                     nodes.append(node)
                     items.append(own)
@@ -408,12 +413,13 @@ def _rest(rows: DataFrame, items: DataFrame, percent: int) -> DataFrame:
     return sorted_rows.mapInArrow(run, "a long, b long").distinct()
 
 
-def linked(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, node, n_shingles and component_id of every row: the smallest id that links reach from it."""
-    members = written(sets_of(docs, width), "jaccard-sets")
-    met = written(candidates(docs, width, percent), "jaccard-met")
+def classes(docs: DataFrame, items_of: Items, make_keys: MakeKeys, percent: int) -> DataFrame:
+    """doc_id, node, n_items and root of every row: rows of one root are linked by sets whose similarity reaches percent /
+    100. Any two such sets have to share an index key."""
+    members = written(sets_of(docs, items_of), "jaccard-sets")
+    met = written(candidates(docs, items_of, make_keys), "jaccard-met")
     needed = met.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    items = written(_items_of(docs, members, needed, width, percent), "jaccard-items")
+    items = written(_items_of(docs, members, needed, items_of, percent), "jaccard-items")
     few = met.filter("large is null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     large = written(met.filter("large is not null").select(F.col("large").alias("key"), F.col("a").alias("node")).distinct(), "jaccard-large")
     links = written(verified(few.union(_hub_pairs(large)).distinct(), items, percent), "jaccard-links")
@@ -423,7 +429,16 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
         more = written(verified(_rest(rows, items, percent), items, percent), "jaccard-rest")
         if not more.isEmpty():
             roots = components(links.union(more))
-    ids = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _banded(percent: int) -> Callable[[np.ndarray], np.ndarray]:
+    return partial(keys_of, bands=Bands(percent))
+
+
+def linked(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, node, n_shingles and component_id of every row: the smallest id that links reach from it."""
+    ids = classes(docs, partial(shingles, width=width), partial(_banded, percent), percent).withColumnRenamed("n_items", "n_shingles")
     least = ids.filter("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return ids.join(least, "root", "left").select(
         "doc_id", "node", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")

@@ -5,9 +5,14 @@ is the set of 64-bit hashes of all signatures, written as sorted hexadecimal num
 signatures every word also acts as an anchor, with the words that follow it; a text without words has one signature for
 all its characters, and an empty text none. Likeness is the Jaccard similarity of two sets, 1 for two empty ones.
 
-`near_classes` compares all documents: fingerprints are put into bands by set length, so that only neighbouring bands
-can hold similar sets; within a band two sets meet at one of the rarest signatures of each, and the exact similarity
-decides. Equal fingerprints are one node from the start.
+`near_classes` compares all documents. Equal fingerprints are one node from the start. Fingerprints are put into bands by
+set length, so that only sets of one or of neighbouring bands can be similar; a set is indexed in its own band and, if
+its length allows, in the band below. Two sets whose similarity reaches t share one of the n - ceil(t * n) + 1 first
+signatures of each in any common order; the order is by frequency, so sets meet at their rarest signatures. Frequencies
+are counted over all documents in 2^RANK_BITS buckets of the hash; signatures of one bucket are ordered by hash, so the
+order is common to all sets and nothing is missed. What meets goes the way of `jaccard.classes`: pairs whose lengths and
+sketches allow the similarity are verified exactly, signatures that many sets share are split into blocks, and linked
+nodes become classes through `components`.
 
 Defined cases: a missing text counts as empty; a missing id orders below all others; rows that repeat an id are ordered
 by text; words and texts of any length are read whole; an empty table gives an empty result; other columns are ignored.
@@ -15,7 +20,8 @@ by text; words and texts of any length are read whole; an empty table gives an e
 
 import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +30,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from patronage.llm import jaccard
 from patronage.llm.common import map_batches, type_of, whole_text
 
 #: Content words in a signature.
 CHAIN = 2
 FEW = 5
+#: Jaccard similarity, in hundredths, from which two documents are of one class.
+NEAR = 80
+#: Bits of the hash by which frequencies are counted.
+RANK_BITS = 18
 
 # Common words of English, German, French and Spanish.
 ANCHORS = frozenset(
@@ -161,3 +172,56 @@ def compare_with_edit(docs: DataFrame) -> DataFrame:
 
     schema = f"doc_id {type_of(docs, 'doc_id')}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return map_batches(with_next(docs).select("doc_id", "text", "next_text"), make, schema)
+
+
+def _bucket(found: np.ndarray) -> np.ndarray:
+    return (found >> np.uint64(64 - RANK_BITS)).astype(np.int64)
+
+
+def _frequencies(docs: DataFrame) -> np.ndarray:
+    """How many different fingerprints of a task, summed over tasks, hold signatures of each bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, met = np.zeros(1 << RANK_BITS, dtype=np.int64), set()
+        for batch in batches:
+            for text in batch["text"]:
+                found = signatures(text.as_py())
+                if (node := jaccard.node_of(found)) not in met:
+                    met.add(node)
+                    np.add.at(counts, _bucket(found), 1)
+        held = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_pydict({"bucket": pa.array(held, pa.int32()), "n": pa.array(counts[held], pa.int64())})
+
+    rows = docs.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    counts = np.zeros(1 << RANK_BITS, dtype=np.int64)
+    found = rows.toArrow()  # a row a bucket
+    counts[found["bucket"].to_numpy()] = found["n"].to_numpy()
+    return counts
+
+
+def band_keys(found: np.ndarray, frequency: np.ndarray, bands: jaccard.Bands) -> np.ndarray:
+    """Index keys of a fingerprint: its rarest signatures, in its own length band and, if that can hold similar sets, in
+    the band below."""
+    n = len(found)
+    if not n:
+        return np.zeros(0, dtype=np.uint64)
+    prefix = n - -(-n * bands.percent // 100) + 1
+    rarest = found[np.lexsort((found, frequency[_bucket(found)]))[:prefix]]
+    own = bands.of(n)
+    places = [k for k in (own, own - 1) if k == own or k >= 0 and n * bands.percent <= 100 * bands.high[k]]
+    with np.errstate(over="ignore"):
+        return np.concatenate([jaccard._mixed(rarest + np.uint64(k + 1) * np.uint64(0x9E3779B97F4A7C15)) for k in places])
+
+
+def near_classes(docs: DataFrame, percent: int = NEAR) -> DataFrame:
+    """doc_id, n_signatures and class_id of every row: the least id of the documents that links of similar fingerprints
+    reach from it. Documents with an empty fingerprint are alike; a missing id counts only where a class has no other.
+    Rows of one class also share `root`, which tells classes without an id apart."""
+    held = docs.sparkSession.sparkContext.broadcast(_frequencies(docs).astype(np.uint32))
+
+    def make_keys() -> Callable[[np.ndarray], np.ndarray]:
+        return partial(band_keys, frequency=held.value, bands=jaccard.Bands(percent))
+
+    rows = jaccard.classes(docs, signatures, make_keys, percent)
+    least = rows.groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    return rows.join(least, "root").select("doc_id", F.col("n_items").alias("n_signatures"), "class_id", "root")

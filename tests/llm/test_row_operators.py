@@ -82,6 +82,63 @@ def test_spotsigs_of_awkward_rows(awkward, empty):
     assert spotsigs.compare_with_edit(empty).count() == 0
 
 
+def near_classes_by_hand(rows, percent):
+    sets = [(doc_id, frozenset(spotsigs.signatures(text).tolist())) for doc_id, text in rows]
+    parent = list(range(len(sets)))
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    for k, (_, a) in enumerate(sets):
+        for j, (_, b) in enumerate(sets[:k]):
+            if a == b or 100 * len(a & b) >= percent * len(a | b):
+                parent[root(k)] = root(j)
+    least = {}
+    for k, (doc_id, _) in enumerate(sets):
+        known = least.get(root(k))
+        least[root(k)] = doc_id if known is None else known if doc_id is None else min(known, doc_id)
+    return Counter((doc_id, len(s), least[root(k)]) for k, (doc_id, s) in enumerate(sets))
+
+
+@pytest.mark.parametrize("percent", [44, 80])
+def test_near_classes_equal_brute_force(spark, percent):
+    """Near copies far apart in id order, equal rows, empty texts, rows without an id, and a group larger than FEW that
+    shares its rarest signatures without being one class."""
+    rng = random.Random(percent)
+    joints = ["the", "of", "and", "is", "a"]
+    sentence = lambda n: [w for k in range(n) for w in (rng.choice(joints), f"w{rng.randrange(400)}", f"w{rng.randrange(400)}")]
+    texts = []
+    for n in (2, 4, 8, 15, 30, 60, 120):
+        for _ in range(6):
+            base = sentence(n)
+            for _ in range(rng.choice([1, 2, 5])):
+                text = list(base)
+                for _ in range(rng.randrange(1 + n // 6)):
+                    text[rng.randrange(len(text))] = f"v{rng.randrange(1000)}"
+                texts.append(" ".join(text))
+    base = sentence(40)
+    for k in range(30):
+        text = list(base)
+        if k % 2:
+            text[1::9] = [f"z{j}" for j in range(len(text[1::9]))]
+        text[3 * k + 2] = f"own{k}"
+        texts.append(" ".join(text))
+    texts += [None, "", texts[0], texts[0], " \n"]
+    rng.shuffle(texts)
+    rows = list(enumerate(texts)) + [(None, texts[3]), (None, "only the one text of no id"), (7, texts[9])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = Counter((r.doc_id, r.n_signatures, r.class_id) for r in spotsigs.near_classes(docs, percent).collect())
+    assert found == near_classes_by_hand(rows, percent)
+
+
+def test_near_classes_of_awkward_rows(awkward, empty):
+    rows = spotsigs.near_classes(awkward).collect()
+    assert len(rows) == len(AWKWARD) and {r.class_id for r in rows if r.doc_id in (5, 6)} == {5}
+    assert spotsigs.near_classes(empty).count() == 0
+
+
 def base_by_hand(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
