@@ -1,8 +1,10 @@
 """Substring deduplication by content-defined chunks.
 
-A gear hash rolls over the text's bytes; a chunk ends behind a white space where the lowest tested bits of the hash of
-the last 16 bytes are 0, so cuts depend on nothing but the text around them and an insertion moves no cut further on.
-(Words of more than LONG_WORD bytes are also cut inside, where more bits are 0.) Each run of WINDOW chunks is one unit of variable length, with
+A gear hash rolls over the text's bytes; a chunk ends behind a white space where the hash of the last 16 bytes is the
+least among SPREAD successive words, the last of them where several are. So cuts depend on nothing but the text around
+them, an insertion moves no cut further on, every fourth word or so has one, and no SPREAD successive words are without:
+a passage of some 50 words always holds enough cuts of its own. (Words of more than LONG_WORD bytes are also cut inside,
+where the lowest tested bits are 0.) Each run of WINDOW chunks is one unit of variable length, with
 a digest. A unit found in several documents stays in the one with the least id; in the others its chunks are repeated
 text, and a stretch of repeated chunks with at least MIN_WORDS words is taken out. Stretches end at chunk cuts, so a few
 words at either end of a repeated passage stay.
@@ -28,8 +30,9 @@ from patronage.llm.common import map_batches, type_of, written
 
 WINDOW = 4
 MIN_WORDS = 20
-#: Bits tested behind a white space, and inside words of more than LONG_WORD bytes.
-SPACE_BITS = 2
+#: Successive words of which one has a cut behind it.
+SPREAD = 7
+#: Bits tested inside words of more than LONG_WORD bytes.
 OTHER_BITS = 9
 LONG_WORD = 64
 BLOCK_BYTES = 16_000_000
@@ -62,7 +65,12 @@ def cuts_of(raw: np.ndarray) -> np.ndarray:
     at = np.arange(len(raw))
     unspaced = at - np.maximum.accumulate(np.where(space, at, -1)) if len(raw) else at
     other = (unspaced > LONG_WORD) & (tested & np.uint32((1 << OTHER_BITS) - 1) == 0)
-    ends = (space & (tested & np.uint32((1 << SPACE_BITS) - 1) == 0)) | other
+    ends = other
+    behind = np.flatnonzero(space[:-1] & ~space[1:])  # the last white space behind each word
+    if len(behind) >= SPREAD:
+        hashed = (tested[behind] * np.uint32(0x9E3779B1))[::-1]
+        least = np.lib.stride_tricks.sliding_window_view(hashed, SPREAD).argmin(axis=1) + np.arange(len(hashed) - SPREAD + 1)
+        ends[behind[len(hashed) - 1 - least]] = True
     ends[:-1] &= (raw[1:] & 0xC0) != 0x80  # not inside a character
     if len(ends):
         ends[-1] = True

@@ -1,6 +1,7 @@
 """Operators that look across rows: against brute force, and awkward rows."""
 
 import os
+import random
 from collections import Counter, defaultdict
 
 import duckdb
@@ -164,6 +165,17 @@ def test_cuts_resist_insertions():
     assert len(set(cuts) - set(shifted)) <= chunks.WINDOW + 1
 
 
+def test_no_passage_of_fifty_words_is_missed():
+    rng = random.Random(3)
+    words = lambda n: " ".join("".join(rng.choices("abcdefghij", k=rng.randrange(4, 9))) for _ in range(n))
+    for n in [50] * 1500 + [51] * 1500:
+        passage = words(n)
+        known = chunks.units_of(f"{words(20)} {passage} {words(20)}".encode())[1]
+        other = f"{words(25)} {passage} {words(25)}".encode()
+        spans = chunks.stretches(other, known)
+        assert sum(len(other[a:b].split()) for a, b in spans) >= chunks.MIN_WORDS, passage
+
+
 def test_chunks_of_awkward_rows(awkward, empty):
     found = chunks.dedup(awkward)
     assert found.columns == awkward.columns
