@@ -36,6 +36,14 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def one_text_each(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The chosen ids, few enough to broadcast, with all their columns and one text each: of an id's rows the one with the
+    least text digest, so that the result is bounded by the choice."""
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    least = rows.groupBy(*chosen.columns).agg(F.min(F.struct(F.xxhash64("text").alias("digest"), "text")).alias("least"))
+    return least.select(*chosen.columns, "least.text")
+
+
 def id_hash(column: str = "doc_id") -> Column:
     """CRC-32 of the id written as text; a missing id counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")))

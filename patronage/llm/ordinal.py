@@ -10,7 +10,7 @@ byte trigrams of the lower-cased text, four-grams of character classes (case, di
 of repetition: shares, in steps, of words that equal their neighbour or have occurred before, of repeated lines, of
 upper-case letters and signs, and the size of the text.
 
-Fitted on a sample of about SAMPLE labelled documents, chosen by the hash of the id; the weights have a fixed size.
+Fitted on a sample of about SAMPLE labelled documents, chosen by the hash of the id, with one text an id; the weights have a fixed size.
 
 Defined cases: a missing text counts as empty and has the features of an empty text; an empty training set keeps every
 document with tail 1; with one grade only, tails are 1 up to that grade; repeated rows score alike; an empty table gives
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patronage.llm.common import map_batches, type_of
+from patronage.llm.common import map_batches, one_text_each, type_of
 
 SAMPLE = 4000
 GRADES = 3
@@ -150,7 +150,7 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = SAMP
     share = min(1.0, sample / max(known.count(), 1))
     place = F.crc32(F.concat(F.lit("sample:"), F.col("doc_id").cast("string")))
     chosen = known.filter(place < int((1 << 32) * share))  # about `sample` rows of two numbers
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "grade", "text")
+    texts = one_text_each(docs, chosen)
 
     def make() -> Callable[[pa.RecordBatch], dict]:
         def step(batch: pa.RecordBatch) -> dict:

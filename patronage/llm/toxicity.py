@@ -6,7 +6,7 @@ labelled toxic documents hold far more often than clean ones, with the log of th
 word and a neighbour that clean documents hold and toxic ones hardly do become exceptions; a hit inside one does not
 count. A logistic curve over the summed weight and the summed weight per word gives the score.
 
-Learned from a sample of about SAMPLE labelled documents, chosen by the hash of the id; the lexicon has at most TERMS
+Learned from a sample of about SAMPLE labelled documents, chosen by the hash of the id, with one text an id; the lexicon has at most TERMS
 words and EXCEPTIONS phrases. All of that is broadcast, so its size is bounded.
 
 Defined cases: a missing text counts as empty, an empty text scores as one without hits; without labels of both kinds
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patronage.llm.common import map_batches, type_of
+from patronage.llm.common import map_batches, one_text_each, type_of, written
 
 SAMPLE = 20_000
 TERMS = 500
@@ -190,7 +190,7 @@ def _weighed(docs: DataFrame, lexicon: dict[str, float], exceptions: list[str],
 def learn(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = SAMPLE, exceptions: tuple[str, ...] = ()) -> dict:
     """Lexicon, exception phrases and curve. usable says which ids may be learned from; exceptions adds known phrases."""
     chosen = _sampled(labels, usable, sample)
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text")
+    texts = written(one_text_each(docs, chosen).select("toxic", "text"), "toxicity-sample")
     counts = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(counts) < 2:
         return {"lexicon": {}, "exceptions": [], "curve": None}

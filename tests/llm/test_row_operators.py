@@ -139,6 +139,16 @@ def test_near_classes_of_awkward_rows(awkward, empty):
     assert spotsigs.near_classes(empty).count() == 0
 
 
+@pytest.mark.parametrize("learn", [ordinal.learn, toxicity.learn])
+def test_samples_hold_one_text_an_id(spark, learn):
+    """A labelled id on many rows weighs like any other, and its row with the least text digest is the one."""
+    rows = [(k, f"good words of {k}" if k % 2 else f"idiot junk {k}") for k in range(40)]
+    repeated = rows + [rows[3]] * 200
+    marks = spark.createDataFrame([(k, k % 2, 1 - k % 2) for k in range(40)], "doc_id long, quality int, toxic int")
+    one, other = (learn(spark.createDataFrame(r, "doc_id long, text string").repartition(3), marks, F.lit(True)) for r in (rows, repeated))
+    assert one.keys() == other.keys() and all(np.array_equal(one[k], other[k]) for k in one)
+
+
 def base_by_hand(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
