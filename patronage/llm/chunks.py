@@ -14,8 +14,8 @@ are known to be repeats, and only the first goes on to the shuffle by digest. So
 documents sends one row a block. Documents meet their repeated digests in one join by id.
 
 Defined cases: a missing text stays missing, an empty one empty; units that repeat within one document only are left
-alone; documents without an id are neither changed nor searched; rows that repeat an id are one document and are cut
-alike; texts and words of any length are read whole; an empty table gives an empty result; other columns are kept.
+alone; rows that repeat an id are one document and are cut alike, and so are rows without an id that have equal texts;
+rows without an id stand behind all others, in the order of a text digest (ids lie below 2^62); texts and words of any length are read whole; an empty table gives an empty result; other columns are kept.
 """
 
 from collections.abc import Callable, Iterator
@@ -23,7 +23,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patronage.llm.common import map_batches, type_of, written
@@ -112,6 +112,11 @@ def stretches(raw: bytes, repeated: np.ndarray, min_words: int = MIN_WORDS) -> l
     return [(int(bounds[a]), int(bounds[b + 1])) for a, b in zip(first, last, strict=True) if counted[bounds[b + 1]] - counted[bounds[a]] >= min_words]
 
 
+def _key(doc_id: Column, text: Column) -> Column:
+    """The id; for a row without one, a digest of its text from 2^62 on."""
+    return F.coalesce(doc_id.cast("long"), F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64(text), 2))
+
+
 def _digests(docs: DataFrame, block_bytes: int) -> DataFrame:
     """(digest, doc_id, known): documents and the digests in them, once each; known marks a repeat of another document
     of the same block."""
@@ -146,8 +151,7 @@ def _digests(docs: DataFrame, block_bytes: int) -> DataFrame:
         if units:
             yield closed()
 
-    known_ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
-    return known_ids.mapInArrow(run, "digest long, doc_id long, known boolean")
+    return docs.select(_key(F.col("doc_id"), F.col("text")).alias("doc_id"), "text").mapInArrow(run, "digest long, doc_id long, known boolean")
 
 
 def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,7 +190,7 @@ def dedup(docs: DataFrame, spans_as: str | None = None, min_words: int = MIN_WOR
     (start, end) in the old text's characters."""
     found = repeats(docs, block_bytes)
     columns = [c for c in docs.columns if c != "text"]
-    marked = docs.join(found, docs["doc_id"].cast("long") == found["of_id"], "left")
+    marked = docs.join(found, _key(docs["doc_id"], docs["text"]) == found["of_id"], "left")
     work = marked.select(*[docs[c] for c in columns], docs["text"], found["repeated"].alias("_repeated"))
 
     def make() -> Callable[[pa.RecordBatch], dict]:

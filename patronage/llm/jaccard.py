@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patronage.llm.common import map_batches, type_of, written
@@ -149,17 +149,18 @@ def _as_long(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-def sets_of(docs: DataFrame, items_of: Items) -> DataFrame:
-    """(doc_id, node, n_items) of every row."""
+def sets_of(docs: DataFrame, items_of: Items, also: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, node, n_items) of every row, and the columns of docs named in also."""
 
     def make() -> Callable[[pa.RecordBatch], dict]:
         def step(batch: pa.RecordBatch) -> dict:
             items = [items_of(text.as_py()) for text in batch["text"]]
-            return {"doc_id": batch["doc_id"], "node": [node_of(i) for i in items], "n_items": [len(i) for i in items]}
+            return {"doc_id": batch["doc_id"], "node": [node_of(i) for i in items], "n_items": [len(i) for i in items]} | {c: batch[c] for c in also}
 
         return step
 
-    return map_batches(docs.select("doc_id", "text"), make, f"doc_id {type_of(docs, 'doc_id')}, node long, n_items long")
+    kinds = "".join(f", {c} {type_of(docs, c)}" for c in also)
+    return map_batches(docs.select("doc_id", "text", *also), make, f"doc_id {type_of(docs, 'doc_id')}, node long, n_items long{kinds}")
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -413,10 +414,10 @@ def _rest(rows: DataFrame, items: DataFrame, percent: int) -> DataFrame:
     return sorted_rows.mapInArrow(run, "a long, b long").distinct()
 
 
-def classes(docs: DataFrame, items_of: Items, make_keys: MakeKeys, percent: int) -> DataFrame:
-    """doc_id, node, n_items and root of every row: rows of one root are linked by sets whose similarity reaches percent /
+def classes(docs: DataFrame, items_of: Items, make_keys: MakeKeys, percent: int, also: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, node, n_items, root and the columns named in also of every row: rows of one root are linked by sets whose similarity reaches percent /
     100. Any two such sets have to share an index key."""
-    members = written(sets_of(docs, items_of), "jaccard-sets")
+    members = written(sets_of(docs, items_of, also), "jaccard-sets")
     met = written(candidates(docs, items_of, make_keys), "jaccard-met")
     needed = met.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     items = written(_items_of(docs, members, needed, items_of, percent), "jaccard-items")
@@ -446,9 +447,27 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The documents whose id is their component's smallest, unchanged; documents with an empty set and rows without an
-    id all stay, and rows that repeat a kept id stay with it where their text is equal."""
-    classes = linked(docs, width, percent).select(F.col("doc_id").alias("of_id"), "node", "component_id", "n_shingles")
-    kept = classes.filter((F.col("of_id") == F.col("component_id")) | (F.col("n_shingles") == 0)).select("of_id").distinct()
-    gone = classes.filter(F.col("of_id").isNotNull()).join(kept, "of_id", "left_anti").select("of_id").distinct()
-    return docs.join(gone, docs["doc_id"] == gone["of_id"], "left_anti")
+    """One row of each component, unchanged: the one with the smallest id, a missing id behind all others; of rows that
+    repeat it the one with the least text digest, and one of those whose text is equal too. Documents with an empty set
+    all stay.
+
+    Rows are told apart by id and text digest. Of a kept key on several rows, each task keeps one row before the shuffle,
+    so that a text on a third of all rows sends one row a task."""
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("digest"))
+    rows = classes(keyed, partial(shingles, width=width), partial(_banded, percent), percent, also=("digest",)).filter("n_items > 0")
+    keys = rows.groupBy("root", F.col("doc_id").alias("of_id"), F.col("digest").alias("of_digest")).agg(F.count("*").alias("n"))
+    order = F.struct(F.col("of_id").isNull().alias("unknown"), "of_id", "of_digest")
+    best = keys.groupBy("root").agg(F.min(order).alias("best"))
+    marked = keys.join(best, "root").withColumn("is_best", order.eqNullSafe(F.col("best")))
+    treated = written(marked.filter("not is_best or n > 1").select("of_id", "of_digest", "is_best"), "jaccard-treated")
+    digest = F.xxhash64(docs["text"])
+
+    def at(found: DataFrame) -> Column:
+        return docs["doc_id"].eqNullSafe(found["of_id"]) & (digest == found["of_digest"])
+
+    alone = docs.join(treated, at(treated), "left_anti")
+    repeated = treated.filter("is_best")
+    if repeated.isEmpty():
+        return alone
+    every = docs.join(repeated, at(repeated), "left_semi").withColumn("_of_digest", F.xxhash64("text"))
+    return alone.unionByName(every.dropDuplicates(["doc_id", "_of_digest"]).drop("_of_digest"))

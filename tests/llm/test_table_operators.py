@@ -123,6 +123,17 @@ def test_join_of_awkward_rows(awkward, empty):
     assert jaccard.one_of_each(empty).count() == 0
 
 
+def test_one_row_of_each_component_stays(spark):
+    """Also where an id repeats with equal or near texts, and where ids are missing."""
+    text = " ".join(f"w{k}" for k in range(60))
+    near, other = text + " more", " ".join(f"v{k}" for k in range(60))
+    rows = [(1, text)] * 50 + [(1, near), (2, text), (None, text), (None, other), (None, other), (None, None), (3, ""), (3, ""), (4, "alone here"), (1, "another text of one")]
+    found = Counter(tuple(r) for r in jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect())
+    of_one = {k: n for k, n in found.items() if k in ((1, text), (1, near), (2, text), (None, text))}
+    assert sum(of_one.values()) == 1 and next(iter(of_one))[0] == 1
+    assert found - Counter(of_one) == Counter([(None, other), (None, None), (3, ""), (3, ""), (4, "alone here"), (1, "another text of one")])
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(k, k + 1) for k in range(14)] + [(100, k) for k in range(101, 140)] + [(139, 200), (7, 7)]
     found = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long").repartition(3)).collect()}
@@ -152,6 +163,13 @@ def test_repeated_passages_go_and_the_rest_stays(spark):
         assert [w for w in text.split() if "x" in w] == [w for w in cut.text.split() if "x" in w]
 
 
+def test_passages_are_found_in_rows_without_an_id(spark):
+    passage, rows = passages(spark)
+    docs = spark.createDataFrame([(1, rows[0][1]), (None, rows[1][1]), (None, rows[2][1])], "doc_id long, text string")
+    found = [(r.doc_id, sum(w in r.text.replace(",", "").split() for w in passage.split())) for r in chunks.dedup(docs).collect()]
+    assert len(found) == 3 and all(left == 60 if doc_id == 1 else left <= 30 for doc_id, left in found)
+
+
 def test_blocks_do_not_change_what_is_cut(spark):
     _, rows = passages(spark)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
