@@ -109,6 +109,7 @@ GRADES = " UNION ALL ".join(
     for a, b in (("nowgrade", "oldgrade"), ("99", "oldgrade"), ("nowgrade", "99"), ("99", "99"))
 )
 O["m12_grade_matrix"] = sql(f"SELECT * FROM ({GRADES}) WHERE rangetype = 5", "grades")
+O["m12_grade_matrix_all_periods"] = sql(f"SELECT * FROM ({GRADES})", "grades")
 O["m13_grade_matrix_report"] = sql(f"SELECT *, {STAT} FROM ({GRADES})", "grades")
 
 # Conversion

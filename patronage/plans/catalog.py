@@ -644,6 +644,11 @@ def m12_grade_matrix(m: Marts) -> DataFrame:
     return points.grade_matrix(m.t.member, m.t.grade_change, m.day, periods=[5])
 
 
+@query
+def m12_grade_matrix_all_periods(m: Marts) -> DataFrame:
+    return points.grade_matrix(m.t.member, m.t.grade_change, m.day)
+
+
 @query
 def m13_grade_matrix_report(m: Marts) -> DataFrame:
     return points.grade_matrix_report(m.t.member, m.t.grade_change, m.day)

@@ -78,3 +78,9 @@ def test_customers_grow_with_the_tables(spark):
 
     small, large = (Tables(spark, f"/root/testdata/{sf}").shop_customer.count() for sf in ("sf0.01", "sf0.1"))
     assert 5 <= large / small <= 20
+
+
+def test_grade_matrix_is_registered_over_all_periods(spark):
+    test_rows_match_sql(spark, "m12_grade_matrix_all_periods")
+    found = QUERIES["m12_grade_matrix_all_periods"](spark, FOLDER).select("rangetype").distinct().collect()
+    assert sorted(r[0] for r in found) == [1, 2, 3, 4, 5]
