@@ -2,7 +2,8 @@
 
 Folding lowers case, drops accents and invisible characters, and maps look-alike letters, digits and signs to one form,
 so that "1d10t", "IDIOT" and an "idiot" with foreign look-alikes are the same. The lexicon is learned: words that
-labelled toxic documents hold far more often than clean ones, with the log of that ratio as weight. Phrases of a lexicon
+labelled toxic documents hold far more often than clean ones, and too often for chance, with the log of that ratio as
+weight. Phrases of a lexicon
 word and a neighbour that clean documents hold and toxic ones hardly do become exceptions; a hit inside one does not
 count. A logistic curve over the summed weight and the summed weight per word gives the score.
 
@@ -29,8 +30,10 @@ from patronage.llm.common import map_batches, one_text_each, type_of, written
 SAMPLE = 20_000
 TERMS = 500
 EXCEPTIONS = 500
-#: Share of toxic sample documents that hold a term, at least; and how many times its share of clean ones.
-TERM_SHARE = 0.02
+#: Toxic sample documents that hold a term, at least; its log-likelihood ratio, at least (24 is passed by chance about
+#: once in a million words); and how many times its share of clean ones.
+TERM_DOCS = 3
+TERM_EVIDENCE = 24.0
 TERM_RATIO = 20.0
 #: Clean documents that hold an exception, at least.
 PHRASE_DOCS = 5
@@ -86,11 +89,14 @@ def _lexicon(texts: DataFrame, n_toxic: int, n_clean: int) -> dict[str, float]:
     words = map_batches(texts.select("toxic", "text"), make, "toxic int, key string")
     toxic, clean = F.sum("toxic"), F.sum(1 - F.col("toxic"))
     ratio = ((F.col("toxic") + 0.5) / (n_toxic + 1)) / ((F.col("clean") + 0.5) / (n_clean + 1))
+    held = F.col("toxic") + F.col("clean")
+    part = lambda n, of: F.when(n > 0, n * F.log(n * (n_toxic + n_clean) / (held * of))).otherwise(0.0)
+    evidence = 2 * (part(F.col("toxic"), n_toxic) + part(F.col("clean"), n_clean))
     rows = (
         words.groupBy("key")
         .agg(toxic.alias("toxic"), clean.alias("clean"))
         .withColumn("ratio", ratio)
-        .filter((F.col("toxic") >= max(3.0, TERM_SHARE * n_toxic)) & (F.col("ratio") >= TERM_RATIO) & (F.length("key") >= 3))
+        .filter((F.col("toxic") >= TERM_DOCS) & (evidence >= TERM_EVIDENCE) & (F.col("ratio") >= TERM_RATIO) & (F.length("key") >= 3))
         .orderBy(F.desc(F.col("toxic") * F.log("ratio")), "key")
         .limit(TERMS)
         .collect()

@@ -149,6 +149,14 @@ def test_samples_hold_one_text_an_id(spark, learn):
     assert one.keys() == other.keys() and all(np.array_equal(one[k], other[k]) for k in one)
 
 
+def test_rare_toxic_words_are_learned(spark):
+    """A word in 12 of 800 toxic documents and in no clean one is a term; one in two of them is not."""
+    rows = [(k, f"idiot text {'grumpkin' if k < 12 else 'hoverly' if k < 14 else 'plain'}" if k < 800 else "a plain text") for k in range(4000)]
+    marks = spark.createDataFrame([(k, 1, int(k < 800)) for k in range(4000)], "doc_id long, quality int, toxic int")
+    found = toxicity.learn(spark.createDataFrame(rows, "doc_id long, text string"), marks, F.lit(True))["lexicon"]
+    assert {toxicity.fold("idiot"), toxicity.fold("grumpkin")} <= found.keys() and toxicity.fold("hoverly") not in found
+
+
 def base_by_hand(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
