@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 import patronage.llm
 
@@ -17,6 +18,15 @@ cloudpickle.register_pickle_by_value(patronage.llm)
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Each byte as it counts in a normalised text: letters lower-cased, digits, bytes beyond ASCII, and spaces for the rest.
+_NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
+
+
+def normal_words(raw: bytes) -> list[bytes]:
+    """Words of a text in UTF-8: runs of ASCII letters, lower-cased, digits and characters beyond ASCII."""
+    return raw.translate(_NORMAL).split()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir; where that is unset, one below the warehouse, which is shared too."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/work"
@@ -57,7 +67,7 @@ def word_count(column: str = "text") -> Column:
     return F.size(pieces).cast("long") - empty_end - empty_start
 
 
-def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str | StructType) -> DataFrame:
     """Rows from each Arrow batch of df; make() runs once a task and gives the function from a batch to columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

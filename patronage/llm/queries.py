@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.llm import bpe, chunks, importance, jaccard, langid, mixing, ordinal, sharding, spotsigs, toxicity
+from patronage.llm import bpe, chunks, decontamination, importance, jaccard, langid, mixing, ordinal, resampling, sharding, spotsigs, toxicity, whitening
 from patronage.llm.common import id_hash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,116 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = chunks.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), spans_as="removed")
     span = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
     return cut.select("doc_id", "text", F.length("text").cast("long").alias("n_chars"), span.alias("n_removed"), "removed")
+
+
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors)
+    rows = whitening.whiten(vectors, model).select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened"))
+    explained = F.array(*map(F.lit, model.explained or [0.0]))
+    return rows.select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, F.col("place")).alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"),
+    )
+
+
+@query
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return resampling.draw(docs, resampling.learn(docs, table(spark, sf_dir, "benchmark")))
+
+
+ORACLES["op12_resampling"] = r"""
+WITH texts AS (
+  SELECT 'd' AS side, doc_id AS id, row_number() OVER () AS row_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+  UNION ALL
+  SELECT 't', NULL, NULL, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')
+  FROM benchmark
+), features AS (
+  SELECT side, row_id, unnest(words || list_transform(range(1, len(words)), lambda k: words[k] || ' ' || words[k + 1])) AS feature
+  FROM texts
+), grouped AS (
+  SELECT side, row_id, feature, count(*)::BIGINT AS n FROM features GROUP BY ALL
+), crc_table AS (
+  SELECT list(list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t
+  FROM range(256) AS r(b)
+), hexed AS (
+  SELECT feature, hex(encode(feature)) AS h FROM (SELECT DISTINCT feature FROM grouped)
+), digested AS (
+  SELECT feature, xor(list_reduce(
+      list_prepend(4294967295, list_transform(range(0, len(h) // 2), lambda k: ('0x' || substr(h, 2 * k + 1, 2))::BIGINT)),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM hexed, crc_table
+), counted AS (
+  SELECT bucket, (sum(n) FILTER (side = 'd'))::BIGINT AS s, (sum(n) FILTER (side = 't'))::BIGINT AS t
+  FROM grouped JOIN digested USING (feature) GROUP BY bucket
+), gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((sum(s) OVER ())::DOUBLE + 10000)
+    / ((coalesce(s, 0) + 1)::DOUBLE * (coalesce(sum(t) OVER (), 0)::DOUBLE + 10000))))::BIGINT AS gain
+  FROM counted
+), weighed AS (
+  SELECT row_id, sum(n)::BIGINT AS n_features, floor(sum(n * gain)::DOUBLE / sum(n)::DOUBLE)::BIGINT AS weight
+  FROM grouped JOIN digested USING (feature) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY row_id
+), scored AS (
+  SELECT id AS doc_id, len(words) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM texts LEFT JOIN weighed USING (row_id) WHERE side = 'd'
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place,
+    (25 * count(*) FILTER (n_words >= 20) OVER ()) // 100 AS taken
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= taken THEN place END AS rank FROM placed
+"""
+
+
+@query
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "row.doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+ORACLES["op13_decontamination"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), items AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(words[k : k + size - 1], ' ') AS gram
+  FROM (SELECT item_id, words, least(len(words), 10) AS size, unnest(range(1, len(words) - least(len(words), 10) + 2)) AS k FROM items WHERE len(words) > 0)
+), sizes AS (
+  SELECT DISTINCT size FROM windows
+), runs AS (
+  SELECT row_id, size, k, array_to_string(words[k : k + size - 1], ' ') AS gram
+  FROM (SELECT row_id, words, size, unnest(range(1, len(words) - size + 2)) AS k FROM docs, sizes)
+), hits AS (
+  SELECT row_id, runs.size, k, item_id FROM runs JOIN windows ON runs.gram = windows.gram AND runs.size = windows.size
+), covered AS (
+  SELECT row_id, count(DISTINCT word)::BIGINT AS n_hit FROM (SELECT row_id, unnest(range(k, k + size)) AS word FROM (SELECT DISTINCT row_id, size, k FROM hits)) GROUP BY row_id
+), named AS (
+  SELECT row_id, count(*)::BIGINT AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT row_id, item_id FROM hits) GROUP BY row_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (row_id) LEFT JOIN named USING (row_id)
+"""
