@@ -1,18 +1,12 @@
 import os
 import sys
-from datetime import datetime
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from patronage.session import build_session  # noqa: E402
-
-TRADE = (
-    "tenant string, plat_code string, uni_shop_id string, uni_id string, trade_id long, receive_payment double, "
-    "product_num int, created timestamp_ntz"
-)
-CUSTOMER = "tenant string, plat_code string, uni_shop_id string, uni_id string, modified timestamp_ntz"
+from rows import CUSTOMER, TRADE, at  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -25,10 +19,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def at(text):
-    return datetime.fromisoformat(text)
-
-
 @pytest.fixture
 def trades(spark):
     """Cleaned trades from (shop, customer, trade, amount, time); the shop names tenant and platform."""

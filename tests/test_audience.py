@@ -4,9 +4,9 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at
 from patronage.operators import audience, dashboard
 from patronage.sinks import manifest, writers
+from rows import at
 
 DAY = date(2019, 6, 30)
 ORDER = (

@@ -2,8 +2,8 @@ from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
-from conftest import at
 from patronage.functions import calendar as cal
+from rows import at
 
 
 def test_month_shift_keeps_the_last_day():

@@ -3,10 +3,10 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at
 from patronage.functions.buckets import monetary_bucket, point_bucket
 from patronage.functions.expressions import valid_timestamp
 from patronage.sources import cleaning
+from rows import at
 
 SCHEMA = (
     "plat_code string, shop_id string, uni_shop_id string, uni_id string, trade_id long, payment double, refund_fee string, "

@@ -2,12 +2,11 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from conftest import at
 from patronage.functions.calendar import month_ends
 from patronage.operators import rfm_wide
 from patronage.plans import nightly
 from patronage.sources import cleaning
-from test_rfm import same
+from rows import at, same
 
 SCHEMA = (
     "plat_code string, shop_id string, uni_shop_id string, uni_id string, trade_id long, payment double, refund_fee double, "

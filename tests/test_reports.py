@@ -2,9 +2,9 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from conftest import at
 from patronage.constants import CUSTOMER_KEYS
 from patronage.operators import assets, category, conversion, life_cycle, offline, points, rfm_wide, sales, segmentation
+from rows import at
 
 DAY = date(2019, 6, 30)
 

@@ -6,21 +6,15 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import TRADE, at
 from patronage.constants import CUSTOMER_KEYS, PLATFORM, TENANT
 from patronage.functions.calendar import month_ends
 from patronage.operators import rfm_daily, rfm_late, rfm_wide
 from patronage.sources.cleaning import unseen_trades
+from rows import TRADE, at, same
 
 DAY = date(2019, 6, 30)
 
 
-def same(a, b, cols=None):
-    cols = sorted(cols or a.columns)
-    rows = [sorted(map(str, (tuple(r) for r in df.select(*cols).collect()))) for df in (a, b)]
-    assert rows[0] == rows[1]
-
-
 def random_trades(spark, seed, n=250, last=DAY, first_id=0, shops=("P|1", "P|2", "Q|1")):
     rng = random.Random(seed)
     rows = []
