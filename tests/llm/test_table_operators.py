@@ -219,7 +219,7 @@ def test_pipeline_keeps_its_contract(spark):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", ["op5_sharding", "op7_quality_rules", "op8_mixing"])
