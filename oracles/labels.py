@@ -335,8 +335,10 @@ O["e7_item_audience"] = sql(
 O["e8_festival_members"] = sql(
     f"""SELECT t.tenant, m.plat_code, m.uni_shop_id, m.shop_id, m.member_id, m.grade, m.member_id AS uni_id, c_name AS full_name, '139' || m.member_id AS mobile, 'nick' || m.member_id AS plat_account
     FROM member m JOIN tenant_shop t ON t.uni_shop_id = m.uni_shop_id JOIN customer ON CAST(c_custkey AS VARCHAR) = m.member_id
-    WHERE {DAY} - CAST(s_suppkey % 30 AS INTEGER) <= {DAY} AND {DAY} + CAST(s_suppkey % 20 - 5 AS INTEGER) >= {DAY} AND c_custkey % 8 <> 0""",
-    "member", "tenant_shop",
+    WHERE {DAY} - CAST(s_suppkey % 30 AS INTEGER) <= {DAY} AND {DAY} + CAST(s_suppkey % 20 - 5 AS INTEGER) >= {DAY} AND c_custkey % 8 <> 0
+    AND EXISTS (SELECT 1 FROM customers k WHERE k.tenant = t.tenant AND k.uni_id = m.member_id)
+    AND EXISTS (SELECT 1 FROM customers k WHERE k.plat_code = m.plat_code AND k.uni_shop_id = m.uni_shop_id AND k.uni_id = m.member_id)""",
+    "member", "tenant_shop", "customers",
 )
 O["e9_publish_events"] = sql("SELECT tid AS key, dp_id, buyer_nick, payment FROM latest", "latest")
 O["e10_valid_timestamp"] = sql(

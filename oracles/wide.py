@@ -216,24 +216,30 @@ cte(
     "late_new",
 )
 O["w18_late_patch"] = sql(snapshot_rows("patched", False), "patched")
-# Upper levels: customers with a patched shop row below.
+# Upper levels out of the patched shop rows: sums, and of the first times the first two.
 cte(
-    "patched_keys",
-    """SELECT DISTINCT stat_date, l.type, tenant, CASE WHEN l.type >= 2 THEN plat_code END AS plat_code,
-       CASE WHEN l.type = 3 THEN uni_shop_id END AS uni_shop_id, uni_id FROM patched CROSS JOIN levels l""",
+    "patched_lv",
+    f"""SELECT levels.type, tenant, CASE WHEN levels.type >= 2 THEN plat_code END AS plat_code,
+       CASE WHEN levels.type = 3 THEN uni_shop_id END AS uni_shop_id, uni_id, plat_code AS p0, uni_shop_id AS s0, stat_date,
+       earliest_time, first_buy_time, first_payment, second_buy_time, {', '.join(MEASURES)}, year_first_time, year_last_time
+       FROM patched CROSS JOIN levels""",
     "patched",
     "levels",
 )
 cte(
-    "patched_earliest",
-    """SELECT stat_date, l.type, tenant, CASE WHEN l.type >= 2 THEN plat_code END AS plat_code,
-       CASE WHEN l.type = 3 THEN uni_shop_id END AS uni_shop_id, uni_id, min(earliest_time) AS earliest_time
-       FROM patched CROSS JOIN levels l GROUP BY 1, 2, 3, 4, 5, 6""",
-    "patched",
-    "levels",
+    "patched_first",
+    f"""SELECT *, row_number() OVER (PARTITION BY stat_date, {L}, uni_id ORDER BY first_buy_time NULLS LAST, p0, s0) AS rn FROM patched_lv""",
+    "patched_lv",
+)
+rolled = ", ".join(f"round(sum({m}), 2) AS {m}" if m.endswith("payment") else f"CAST(sum({m}) AS BIGINT) AS {m}" for m in MEASURES)
+cte(
+    "patched_levels",
+    f"""SELECT stat_date, {L}, uni_id, min(earliest_time) AS earliest_time, min(first_buy_time) AS first_buy_time,
+    max(first_payment) FILTER (rn = 1) AS first_payment,
+    least(max(second_buy_time) FILTER (rn = 1), max(first_buy_time) FILTER (rn = 2)) AS second_buy_time, {rolled},
+    min(year_first_time) AS year_first_time, max(year_last_time) AS year_last_time FROM patched_first GROUP BY stat_date, {L}, uni_id""",
+    "patched_first",
 )
-ALL_SAME = " AND ".join(f"w.{c} IS NOT DISTINCT FROM k.{c}" for c in ("stat_date", "type", "tenant", "plat_code", "uni_shop_id", "uni_id"))
-cte("patched_levels", f"SELECT w.* EXCLUDE (earliest_time), k.earliest_time FROM complete w JOIN patched_earliest k ON {ALL_SAME}", "complete", "patched_earliest")
 O["w19_late_patch_rollup"] = sql(snapshot_rows("patched_levels", True), "patched_levels")
 O["w20_month_end_rfm"] = sql(snapshot_rows("history", True), "history")
 O["w21_new_tenant_history"] = sql(

@@ -45,17 +45,21 @@ def assets_view(wide: DataFrame, tenant_shop: DataFrame) -> DataFrame:
     return with_shop_name(counts, tenant_shop).withColumn("end_month", is_month_end(F.col("stat_date")))
 
 
-def repurchase_counts(wide: DataFrame, keys: list[str]) -> DataFrame:
+def repurchase_columns() -> list[Column]:
     active, repeat = F.col("year_buy_times") >= 1, F.col("year_buy_times") >= 2
     new = new_in_year()
-    return wide.groupBy(*keys).agg(
+    return [
         count_if(active).alias("active"),
         count_if(repeat).alias("repurchase"),
         count_if(active & new).alias("active_new"),
         count_if(repeat & new).alias("new_repurchase"),
         count_if(active & ~new).alias("active_old"),
         count_if(repeat & ~new).alias("old_repurchase"),
-    )
+    ]
+
+
+def repurchase_counts(wide: DataFrame, keys: list[str]) -> DataFrame:
+    return wide.groupBy(*keys).agg(*repurchase_columns())
 
 
 def with_repurchase_rates(counts: DataFrame, undefined: float = UNDEFINED_RATE) -> DataFrame:
@@ -68,11 +72,13 @@ def repurchase_view(wide: DataFrame, tenant_shop: DataFrame) -> DataFrame:
     return with_shop_name(report, tenant_shop).withColumn("end_month", is_month_end(F.col("stat_date")))
 
 
-def retention_counts(wide: DataFrame, keys: list[str], undefined: float = UNDEFINED_RATE) -> DataFrame:
+def retention_columns() -> list[Column]:
     before, now = F.col("tyear_buy_times") >= 1, F.col("year_buy_times") >= 1
-    counts = wide.groupBy(*keys).agg(
-        count_if(before).alias("prev_year_num"), count_if(before & now).alias("last_year_num")
-    )
+    return [count_if(before).alias("prev_year_num"), count_if(before & now).alias("last_year_num")]
+
+
+def retention_counts(wide: DataFrame, keys: list[str], undefined: float = UNDEFINED_RATE) -> DataFrame:
+    counts = wide.groupBy(*keys).agg(*retention_columns())
     return counts.withColumn("rate", rate(F.col("last_year_num"), F.col("prev_year_num"), undefined))
 
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from patronage.constants import MONEY_DIGITS
 from patronage.functions.calendar import shift_months
-from patronage.functions.expressions import money_sum, number
-from patronage.operators.assets import repurchase_counts, retention_counts, with_repurchase_rates
+from patronage.functions.expressions import money_sum, number, rate
+from patronage.operators.assets import repurchase_columns, repurchase_counts, retention_columns, retention_counts, with_repurchase_rates
 from patronage.operators.segmentation import purchase_interval
 from patronage.sources.cleaning import trades_since
 
@@ -80,6 +80,18 @@ def complete_groups(top: DataFrame, n: int = 5) -> DataFrame:
     return top.join(full, "parent_category_id", "left_semi")
 
 
+def benchmark_groups(scp: DataFrame, share: float = 0.5, n: int = 5) -> DataFrame:
+    """Rows of `dominant_category_shops`, `top_n_shops` and `complete_groups` in turn, with windows over one relation: the
+    shop's share, the rank in the category, and the category's number of shops, none of them reading the rows again."""
+    shop = Window.partitionBy(*SHOP_KEYS)
+    top, whole = F.max("total_payment").over(shop), F.round(F.sum("total_payment").over(shop), MONEY_DIGITS)
+    dominated = scp.withColumns({"top_payment": top, "shop_payment": whole}).filter(F.col("top_payment") / F.col("shop_payment") >= share)
+    best = Window.partitionBy("parent_category_id").orderBy(F.col("total_payment").desc(), *SHOP_KEYS)
+    ranked = dominated.select(*scp.columns).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= n)
+    sized = ranked.withColumn("shop_num", F.count("*").over(Window.partitionBy("parent_category_id")))
+    return sized.filter(F.col("shop_num") == n).drop("shop_num")
+
+
 def shop_category_units(trades: DataFrame, items: DataFrame, product: DataFrame, category: DataFrame, day: date) -> DataFrame:
     """Items sold per shop and parent category in the last twelve months."""
     recent = trades.filter(last_year(day)).select(*TRADE)
@@ -127,6 +139,15 @@ def category_assets(repurchase: DataFrame, retention: DataFrame, day: date) -> D
     )
 
 
+def category_report(top: DataFrame, shop_wide: DataFrame, day: date) -> DataFrame:
+    """Rows of `category_assets` with one aggregation of the wide rows for repurchase and retention."""
+    counts = shop_wide.groupBy("tenant", *SHOP_KEYS).agg(*repurchase_columns(), *retention_columns())
+    rates = with_repurchase_rates(counts, 0).withColumn("retention_rate", rate(F.col("last_year_num"), F.col("prev_year_num"), 0))
+    names = {"rate": "active_customer_rate", "new_rate": "new_customer_rate", "old_rate": "old_customer_rate", "retention_rate": "retention_rate"}
+    means = _of_top(top, rates).groupBy("parent_category_id").agg(*[F.avg(c).alias(n) for c, n in names.items()])
+    return means.withColumn("stat_date", F.lit(day))
+
+
 def category_interval(top: DataFrame, shop_wide: DataFrame, day: date) -> DataFrame:
     """Mean number of customers per interval length over the category's shops."""
     counts = purchase_interval(shop_wide)

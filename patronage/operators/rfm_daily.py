@@ -19,7 +19,7 @@ from patronage.operators.rfm_wide import (
     window_metrics,
     zero_measures,
 )
-from patronage.sources.cleaning import TRADE_KEY, boundary_day_trades, latest_versions
+from patronage.sources.cleaning import CLEAN, TRADE_KEY, boundary_day_trades, latest_versions
 
 STATE_COLUMNS = [*WIDE_COLUMNS, "first_trade_id"]
 UNITS = ("payment", "buy_times", "buy_num")
@@ -193,10 +193,30 @@ def daily_rfm(
     """
     delivered = delta.select(*TRADE_KEY) if delivered is None else delivered
     redelivered = redelivered_customers(base, delta, delivered) if redelivered is None else redelivered
-    year_out = boundary_metrics(boundary_day_trades(base, day, 12))
-    tyear_out = boundary_metrics(boundary_day_trades(base, day, 24))
-    aged = age_rfm(previous, year_out, tyear_out, year_bounds(base, year_out, day), customers, day)
     added = delta.join(redelivered, CUSTOMER_KEYS, "left_anti")
-    latest = latest_versions(base, delta, delivered).join(redelivered, CUSTOMER_KEYS, "left_semi")
-    kept = aged.join(redelivered, CUSTOMER_KEYS, "left_anti")
-    return settle(customers, increment_rfm(added.unionByName(latest), day), kept, day)
+    return daily_step(customers, previous, base, base, latest_versions(base, delta, delivered), added, redelivered, day)
+
+
+def daily_step(
+    customers: DataFrame, previous: DataFrame, leaving: DataFrame, year: DataFrame, latest: DataFrame, added: DataFrame, rebuilt: DataFrame, day: date
+) -> DataFrame:
+    """The nightly step from parts of the stored trades: `leaving` has those that leave a window, `year` those of the
+    year, `latest` the latest versions of the rebuilt customers' trades; `added` are new trades of all others."""
+    year_out = boundary_metrics(boundary_day_trades(leaving, day, 12))
+    tyear_out = boundary_metrics(boundary_day_trades(leaving, day, 24))
+    aged = age_rfm(previous, year_out, tyear_out, year_bounds(year, year_out, day), customers, day)
+    own = latest.join(rebuilt, CUSTOMER_KEYS, "left_semi")
+    kept = aged.join(rebuilt, CUSTOMER_KEYS, "left_anti")
+    return settle(customers, increment_rfm(added.unionByName(own, allowMissingColumns=True), day), kept, day)
+
+
+def changed_versions(replaced: DataFrame, delta: DataFrame) -> DataFrame:
+    """Trades of only one side: old versions that differ from the new one or have none, and new ones likewise."""
+    sides = replaced.select(*CLEAN, F.lit(1).alias("old"), F.lit(0).alias("new")).unionByName(delta.select(*CLEAN, F.lit(0).alias("old"), F.lit(1).alias("new")))
+    return sides.groupBy(*CLEAN).agg(F.max("old").alias("old"), F.max("new").alias("new")).filter(F.col("old") + F.col("new") == 1)
+
+
+def holders(replaced: DataFrame, delta: DataFrame) -> DataFrame:
+    """Customers with an old or a new version of a trade that arrived again and differs."""
+    again = changed_versions(replaced, delta).join(replaced.select(*TRADE_KEY), TRADE_KEY, "left_semi")
+    return again.select(*CUSTOMER_KEYS).distinct()

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from patronage.constants import CUSTOMER_KEYS
 from patronage.functions.calendar import until, windows
 from patronage.functions.expressions import money_sum
-from patronage.operators.rfm_daily import STATE_COLUMNS, merged_columns
+from patronage.operators.rfm_daily import STATE_COLUMNS, changed_versions, merged_columns
 from patronage.operators.rfm_wide import (
     PERIODS,
     all_levels,
@@ -105,18 +105,27 @@ def touched_customers(base: DataFrame, delta: DataFrame, delivered: DataFrame, l
     return old.select(*CUSTOMER_KEYS).union(new.select(*CUSTOMER_KEYS)).distinct()
 
 
+def changed_customers(replaced: DataFrame, delta: DataFrame) -> DataFrame:
+    """Customers whose trades changed, and the earliest time at which they did: snapshots that end before it stay."""
+    return changed_versions(replaced, delta).groupBy(*CUSTOMER_KEYS).agg(F.min("created").alias("changed_from"))
+
+
 def rebuild_month_ends(
-    snapshots: DataFrame, trades: DataFrame, touched: DataFrame, customers: DataFrame, month_ends: list[date]
+    snapshots: DataFrame, trades: DataFrame, touched: DataFrame, customers: DataFrame, month_ends: list[date], of_slices: list[dict] | None = None
 ) -> DataFrame:
     """Snapshots with the rows of the touched customers derived again from their trades.
 
     Gives the same result however often it runs, and also covers trades whose amount or time
-    changed. Only the touched customers' history is read into the computation.
+    changed. Only the touched customers' history is read into the computation. `of_slices` limits the rebuilt rows to
+    pairs of a snapshot date and a tenant, those that `snapshots` holds.
     """
     keys = touched.select(*CUSTOMER_KEYS).distinct()
     own_trades = trades.join(keys, CUSTOMER_KEYS, "left_semi")
     own_customers = customers.join(keys, CUSTOMER_KEYS, "left_semi")
     rebuilt = month_end_rfm(own_customers, own_trades, month_ends)
+    if of_slices is not None:
+        wanted = snapshots.sparkSession.createDataFrame([(s["stat_date"], s["tenant"]) for s in of_slices], "stat_date date, tenant string")
+        rebuilt = rebuilt.join(wanted, ["stat_date", "tenant"], "left_semi")
     untouched = snapshots.join(keys, CUSTOMER_KEYS, "left_anti")
     return untouched.select(*STATE_COLUMNS).unionByName(rebuilt.select(*STATE_COLUMNS))
 

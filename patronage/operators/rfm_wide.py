@@ -5,7 +5,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from patronage.constants import CUSTOMER_KEYS, MONEY_DIGITS, PLATFORM
+from patronage.constants import CUSTOMER_KEYS, PLATFORM
 from patronage.functions.calendar import Windows, month_ends, until, windows
 from patronage.functions.expressions import money_sum
 from patronage.operators.levels import LEVELED_CUSTOMER, decoded, per_level
@@ -198,13 +198,6 @@ def _month_sums(payment: str, times: Column, num: str, first: str, last: str) ->
     ]
 
 
-def _collected(monthly: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key with at most one entry per month of three years and one for all older ones."""
-    return monthly.groupBy(*keys).agg(
-        F.collect_list(F.struct("month", "payment", "times", "num", "first", "last")).alias("months")
-    )
-
-
 def month_end_rfm(customers: DataFrame, trades: DataFrame, days: list[date]) -> DataFrame:
     """Shop-level wide rows of several month ends in one pass.
 
@@ -213,9 +206,7 @@ def month_end_rfm(customers: DataFrame, trades: DataFrame, days: list[date]) ->
     """
     known = customers.select(*CUSTOMER_KEYS, "modified")
     buys = first_second_purchase(trades, CUSTOMER_KEYS, max(days))
-    months = _collected(monthly_sums(trades, days), CUSTOMER_KEYS)
-    joined = known.join(buys, CUSTOMER_KEYS, "left").join(months, CUSTOMER_KEYS, "left")
-    return _snapshots(joined, [*CUSTOMER_KEYS], days).select(*WIDE_COLUMNS, "first_trade_id")
+    return _snapshots(known, buys, monthly_sums(trades, days), CUSTOMER_KEYS, days).select(*WIDE_COLUMNS, "first_trade_id")
 
 
 def month_end_levels(customers: DataFrame, trades: DataFrame, days: list[date]) -> DataFrame:
@@ -228,46 +219,47 @@ def month_end_levels(customers: DataFrame, trades: DataFrame, days: list[date])
     known = per_level(customers.select(*CUSTOMER_KEYS, "modified")).groupBy(*keys).agg(F.min("modified").alias("modified"))
     buys = per_level(first_second_purchase(trades, CUSTOMER_KEYS, max(days)))
     firsts = rollup_first_second(buys, keys, ["plat_code", "uni_shop_id"])
-    monthly = per_level(monthly_sums(trades, days)).repartition(*keys)
-    summed = monthly.groupBy(*keys, "month").agg(*_month_sums("payment", F.sum("times"), "num", "first", "last"))
-    joined = known.join(firsts, keys, "left").join(_collected(summed, keys), keys, "left")
-    return decoded(_snapshots(joined, keys, days)).select("type", *WIDE_COLUMNS)
+    monthly = per_level(monthly_sums(trades, days)).groupBy(*keys, "month")
+    summed = monthly.agg(*_month_sums("payment", F.sum("times"), "num", "first", "last"))
+    return decoded(_snapshots(known, firsts, summed, keys, days)).select("type", *WIDE_COLUMNS)
 
 
-def _snapshots(joined: DataFrame, keys: list[str], days: list[date]) -> DataFrame:
-    spans = [windows(d) for d in sorted(days)]
-    rows = joined.withColumn("snap", F.explode(F.array(*[_snapshot(w) for w in spans])))
-    seen = F.col("first_buy_time") < F.col("snap.end")
-    kept = ["first_buy_time", "first_payment", *(["first_trade_id"] if "first_trade_id" in joined.columns else [])]
-    spread = rows.select(
-        *keys,
-        "modified",
-        *[F.when(seen, F.col(c)).alias(c) for c in kept],
-        F.when(F.col("second_buy_time") < F.col("snap.end"), F.col("second_buy_time")).alias("second_buy_time"),
-        "snap.*",
-    )
-    return spread.withColumns({"earliest_time": earliest(F.col("first_buy_time"), F.col("modified")), **zero_measures()})
-
+def _snapshots(known: DataFrame, firsts: DataFrame, months: DataFrame, keys: list[str], days: list[date]) -> DataFrame:
+    """Wide rows of the known customers at each day, a month end.
 
-def _snapshot(w: Windows) -> Column:
-    """Measures of one snapshot out of the months of a customer."""
-    def within(period: str) -> Column:
-        return F.filter("months", lambda m: in_window(m["first"], w, period))
-
-    fields = [F.lit(w.stat_date).alias("stat_date"), F.lit(w.end).alias("end")]
-    for period in PERIODS:
-        rows = within(period)
-        fields += [
-            F.round(F.aggregate(rows, F.lit(0.0), lambda a, m: a + m["payment"]), MONEY_DIGITS).alias(f"{period}_payment"),
-            F.aggregate(rows, F.lit(0).cast("long"), lambda a, m: a + m["times"]).alias(f"{period}_buy_times"),
-            F.aggregate(rows, F.lit(0).cast("long"), lambda a, m: a + m["num"]).alias(f"{period}_buy_num"),
+    Customers, first purchases and months are laid together by customer in one shuffle. There each row is repeated for
+    the days it counts for, those that do not end before it, and one aggregation in place gives the windows' sums.
+    """
+    spans = [windows(d) for d in sorted(days)]
+    rows = known.withColumn("known", F.lit(True)).unionByName(firsts, allowMissingColumns=True).unionByName(months.drop("month"), allowMissingColumns=True)
+    since = F.coalesce("first_buy_time", "first")
+    snaps = [F.struct(*[F.lit(v).alias(n) for n, v in vars(w).items()]) for w in spans]
+    counts = [F.when(since.isNull() | (since < F.lit(w.end)), snap) for w, snap in zip(spans, snaps, strict=True)]
+    spread = rows.repartition(*keys).withColumn("snap", F.explode(F.array_compact(F.array(*counts)))).select("*", "snap.*").drop("snap")
+    kept = ["first_buy_time", "first_payment", *(["first_trade_id"] if "first_trade_id" in rows.columns else [])]
+    second = F.when(F.col("second_buy_time") < F.col("end"), F.col("second_buy_time"))
+    time, measures = F.col("first"), []
+    inside = {
+        "year": time >= F.col("year_start"),
+        "tyear": (time >= F.col("tyear_start")) & (time < F.col("year_start")),
+        "btyear": time < F.col("tyear_start"),
+    }
+    for period, hit in inside.items():
+        measures += [
+            money_sum(F.when(hit, F.col("payment"))).alias(f"{period}_payment"),
+            F.sum(F.when(hit, F.col("times"))).alias(f"{period}_buy_times"),
+            F.sum(F.when(hit, F.col("num"))).alias(f"{period}_buy_num"),
         ]
-    recent = within("year")
-    fields += [
-        F.array_min(F.transform(recent, lambda m: m["first"])).alias("year_first_time"),
-        F.array_max(F.transform(recent, lambda m: m["last"])).alias("year_last_time"),
-    ]
-    return F.struct(*fields)
+    wide = spread.groupBy(*keys, "stat_date").agg(
+        F.max("known").alias("known"),
+        F.min("modified").alias("modified"),
+        *[F.max(c).alias(c) for c in kept],
+        F.max(second).alias("second_buy_time"),
+        *measures,
+        F.min(F.when(inside["year"], time)).alias("year_first_time"),
+        F.max(F.when(inside["year"], F.col("last"))).alias("year_last_time"),
+    )
+    return wide.filter("known").withColumns({"earliest_time": earliest(F.col("first_buy_time"), F.col("modified")), **zero_measures()})
 
 
 def month_end_history(customers: DataFrame, trades: DataFrame, day: date, n: int = 13) -> DataFrame:

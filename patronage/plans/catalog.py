@@ -558,24 +558,23 @@ def b7_comparable_categories(m: Marts) -> DataFrame:
 
 @query
 def b8_category_repurchase(m: Marts) -> DataFrame:
-    return rounded(category.category_repurchase(m.full_top, m.shop_rows), "rate", "new_rate", "old_rate")
+    return rounded(category.category_repurchase(m.benchmark_shops, m.shop_rows), "rate", "new_rate", "old_rate")
 
 
 @query
 def b9_category_retention(m: Marts) -> DataFrame:
-    return rounded(category.category_retention(m.full_top, m.shop_rows), "retention_rate")
+    return rounded(category.category_retention(m.benchmark_shops, m.shop_rows), "retention_rate")
 
 
 @query
 def b10_category_assets(m: Marts) -> DataFrame:
-    repurchase = category.category_repurchase(m.full_top, m.shop_rows)
-    report = category.category_assets(repurchase, category.category_retention(m.full_top, m.shop_rows), m.day)
+    report = category.category_report(m.benchmark_shops, m.shop_rows, m.day)
     return rounded(report, "active_customer_rate", "new_customer_rate", "old_customer_rate", "retention_rate")
 
 
 @query
 def b11_category_interval(m: Marts) -> DataFrame:
-    return category.category_interval(m.full_top, m.shop_rows, m.day)
+    return category.category_interval(m.benchmark_shops, m.shop_rows, m.day)
 
 
 # Points, grades

@@ -10,6 +10,8 @@ from patronage.functions.calendar import shift_months, until, windows
 from patronage.functions.expressions import number
 
 TRADE_KEY = ["tenant", "plat_code", "uni_shop_id", "trade_id"]
+#: Columns of a clean trade that wide rows are made of.
+CLEAN = [*TRADE_KEY, "uni_id", "receive_payment", "product_num", "created"]
 
 
 def clean_trades(
@@ -28,6 +30,7 @@ def clean_trades(
     if presale:
         time = F.when(F.lower("trade_type") == "step", F.coalesce("pay_time", "created")).otherwise(time)
     kept = ["arrived"] if "arrived" in trades.columns else []
+    step = F.coalesce(F.lower("trade_type") == "step", F.lit(False)).cast("int")
     cleaned = trades.filter(usable).select(
         "plat_code",
         "shop_id",
@@ -38,6 +41,7 @@ def clean_trades(
         F.coalesce(F.col("product_num"), F.lit(1)).cast("int").alias("product_num"),
         time.alias("created"),
         F.col("created").alias("ordered"),
+        step.alias("presale"),
         *kept,
     )
     shops = tenant_shop.filter(F.col("tenant").isNotNull()).select("tenant", "plat_code", "shop_id")
@@ -93,10 +97,27 @@ def actions_since(actions: DataFrame, day: date, weeks: int = 12, action: str |
 
 
 def delivered_keys(delta: DataFrame, tenant_shop: DataFrame, day: date) -> DataFrame:
-    """Keys of all trades that arrived on the day, usable or not: their stored versions no longer hold."""
+    """Keys of all trades that arrived on the day, usable or not, as their stored versions no longer hold; with the month
+    they were placed in and whether they are pre-sale orders."""
     arrived = delta.filter((F.col("arrived") >= F.lit(day)) & until(F.col("arrived"), day))
     shops = tenant_shop.filter(F.col("tenant").isNotNull()).select("tenant", "plat_code", "shop_id")
-    return arrived.join(shops, ["plat_code", "shop_id"]).select(*TRADE_KEY).distinct()
+    step = F.coalesce(F.lower("trade_type") == "step", F.lit(False)).cast("int")
+    found = arrived.join(shops, ["plat_code", "shop_id"])
+    return found.select(*TRADE_KEY, F.date_format("created", "yyyy-MM").alias("placed"), step.alias("presale")).distinct()
+
+
+def located(trades: DataFrame) -> DataFrame:
+    """Clean trades with the month of purchase, by which they are stored."""
+    return trades.select(*CLEAN, "presale", F.date_format("created", "yyyy-MM").alias("part"))
+
+
+def months_of(start: date, end: date) -> list[dict[str, object]]:
+    """Stored months that hold the days from start to before end."""
+    months, month = [], start.replace(day=1)
+    while month < end:
+        months.append({"part": f"{month:%Y-%m}"})
+        month = shift_months(month, 1)
+    return months if start < end else []
 
 
 def latest_versions(base: DataFrame, delta: DataFrame, delivered: DataFrame | None = None) -> DataFrame:
