@@ -1,5 +1,5 @@
 """SQL counterparts of the named queries, for DuckDB over the raw tables."""
 
-from oracles import labels, members, reports, wide
+from oracles import chain, labels, members, reports, wide
 
-ORACLES: dict[str, str] = {**wide.O, **reports.O, **members.O, **labels.O}
+ORACLES: dict[str, str] = {**wide.O, **reports.O, **members.O, **labels.O, **chain.O}

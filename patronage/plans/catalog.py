@@ -27,11 +27,13 @@ from patronage.operators import (
     segmentation,
     social,
 )
+from patronage.plans import reports
 from patronage.plans.marts import Marts, snapshot_rows
 from patronage.session import work_folder
 from patronage.sinks import manifest, writers
+from patronage.sinks.versions import VersionedTable, days
 from patronage.sources import cleaning
-from patronage.sources.testtables import EVENT_METRICS
+from patronage.sources.testtables import EVENT_METRICS, LAST_RUN
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -173,6 +175,19 @@ def k5_publish_manifest(m: Marts) -> DataFrame:
     return manifest.publish_manifest(reports, m.day).drop("modified")
 
 
+@query
+def k5_publish_all_reports(m: Marts) -> DataFrame:
+    """The manifest of all reports, with the rows that each has for the day."""
+    t, built = m.t, {"category_shops": m.benchmark_shops, "offline_trades": m.offline}
+    inputs = {"wide": m.wide, "wide_today": m.wide, "shop_rows": m.shop_rows, "shop_today": m.shop_rows}
+    rows = {}
+    for report in reports.registry():
+        if report.published:
+            frame = report.build(*[inputs.get(n, built.get(n)) if n in inputs or n in built else getattr(t, n) for n in report.needs], m.day)
+            rows[report.name] = frame if "stat_date" in frame.columns else frame.withColumn("stat_date", F.lit(m.day))
+    return manifest.publish_manifest(rows, m.day).drop("modified")
+
+
 @query
 def k6_publish_from_registry(m: Marts) -> DataFrame:
     registry = m.t.item_category.select(
@@ -200,6 +215,20 @@ def k8_replace_in_serving_store(m: Marts) -> DataFrame:
     return snapshot_rows(m.spark.read.parquet(path))
 
 
+@query
+def k8_replace_slices(m: Marts) -> DataFrame:
+    """Slices by snapshot and tenant: one tenant's replaced, another's cleared and written again, a stray date cleared."""
+    table = VersionedTable(m.spark, work_folder(m.spark, "slices"), ("stat_date", "tenant"))
+    rows = m.shop_rows.drop("first_trade_id")
+    table.commit(rows, days([m.day]))
+    table.commit(table.read().withColumn("stat_date", F.lit(m.yesterday)), days([m.yesterday]))
+    table.commit(rows.filter(F.col("tenant") == "T1"), days([m.day], ["T1"]))
+    table.commit(rows.limit(0), days([m.day], ["T2"]))
+    table.commit(rows.filter(F.col("tenant") == "T2"), days([m.day], ["T2"]))
+    table.commit(rows.limit(0), days([m.yesterday]))
+    return snapshot_rows(table.read())
+
+
 @query
 def k9_merge_month_end_results(m: Marts) -> DataFrame:
     report = assets.assets_view(m.history, m.t.tenant_shop)
@@ -311,6 +340,13 @@ def w13_daily_rfm_latest_versions(m: Marts) -> DataFrame:
     return snapshot_rows(rows)
 
 
+@query
+def w13_final_of_parts(m: Marts) -> DataFrame:
+    """Changed, new and untouched customers put together, each a part of its own."""
+    changed, new = rfm_daily.merge_changed(m.increment, m.aged), rfm_daily.insert_new(m.increment, m.aged)
+    return rfm_daily.final_daily_rfm(m.t.customers_by(m.day), changed, new, m.aged, m.day).drop("first_trade_id")
+
+
 @query
 def w14_late_flags(m: Marts) -> DataFrame:
     flagged = rfm_late.late_flags(m.late_delta, m.ends)
@@ -337,6 +373,14 @@ def w18_late_patch(m: Marts) -> DataFrame:
     return snapshot_rows(m.patched)
 
 
+@query
+def w18_rebuild_month_ends(m: Marts) -> DataFrame:
+    """Month ends with the rows of the customers of late trades derived again, as the stored chain does."""
+    trades = m.arrived_by(LAST_RUN).unionByName(m.late_delta)
+    touched = rfm_late.touched_customers(m.arrived_by(LAST_RUN), m.late_delta, m.late_delta.select(*cleaning.TRADE_KEY), max(m.ends))
+    return snapshot_rows(rfm_late.rebuild_month_ends(m.snapshots, trades, touched, m.t.customers_by(m.day), m.ends))
+
+
 @query
 def w19_late_patch_rollup(m: Marts) -> DataFrame:
     return snapshot_rows(rfm_late.late_patch_rollup(m.patched))
