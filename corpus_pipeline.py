@@ -37,9 +37,14 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs)
 
 
+#: Characters of a block in the last stage: a quarter of the operator's own, as executors still hold memory of the stages
+#: before.
+BLOCK_CHARS = bpe.BLOCK_CHARS // 4
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every emitted document, with digests of the ids and of the text decoded from them."""
-    return bpe.round_trip(docs, bpe.read_tokenizer(public_tokenizers.path("byte_bpe_50k.json")), with_ids=True)
+    return bpe.round_trip(docs, bpe.read_tokenizer(public_tokenizers.path("byte_bpe_50k.json")), with_ids=True, block_chars=BLOCK_CHARS)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

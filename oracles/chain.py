@@ -1,4 +1,4 @@
-"""The stored chain: slices, rebuilt month ends and the manifest of all reports."""
+"""The stored chain: slices, rebuilt month ends and the manifest of all reports; variants of reports."""
 
 from oracles import labels, members, reports, wide
 from oracles.base import STAT, cte, snapshot_rows, sql
@@ -53,3 +53,9 @@ cte(
     "late_holders",
 )
 O["w18_rebuild_month_ends"] = sql(snapshot_rows("rebuilt", False), "rebuilt")
+
+# The year-anchored week of 30 June 2001 starts a day before its Monday week.
+for name in ("m11_point_grade_report", "m13_grade_matrix_report", "o12_consumption_report"):
+    O[f"{name}_anchored_week"] = HELD[name].replace("(2, DATE '2001-06-25')", "(2, DATE '2001-06-24')")
+for name in ("o6_member_sale_rate", "o8_member_growth", "o11_member_stock", "e8_festival_members"):
+    O[f"{name}_on_platforms"] = f"SELECT * FROM ({HELD[name]}) WHERE plat_code IN ('NATION_1', 'NATION_6', 'NATION_12', 'NATION_20')"

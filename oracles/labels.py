@@ -267,12 +267,13 @@ cte(
     max(payment) FILTER (a = 1) AS trade_last_amount, CAST(min(age) AS INTEGER) AS trade_last_interval, min(created) AS trade_first_time, max(payment) FILTER (b = 1) AS trade_first_amount,
     CAST(max(age) AS INTEGER) AS trade_first_interval, round(sum(payment), 2) / count(*) AS trade_avg_amount, sum(product_num) / count(*) AS trade_avg_item_num,
     CASE WHEN count(DISTINCT created) > 1 THEN (max(age) - min(age)) / (count(DISTINCT created) - 1) END AS trade_avg_buy_interval,
-    avg(date_diff('day', CAST(created AS DATE), CAST(end_time AS DATE))) AS trade_avg_confirm_interval, max(payment) AS trade_max_amount, round(sum(discount_fee), 2) AS trade_discount_fee
+    avg(date_diff('day', CAST(created AS DATE), CAST(end_time AS DATE))) AS trade_avg_confirm_interval, max(payment) AS trade_max_amount, round(sum(discount_fee), 2) AS trade_discount_fee,
+    coalesce(round(sum(discount_fee) FILTER (status = 'TRADE_FINISHED'), 2), 0) AS trade_order_discount_fee
     FROM event_base GROUP BY dp_id, buyer_nick, period""",
     "event_base",
 )
 METRICS = f"""trade_count, trade_tidcount, trade_amount, trade_item_num, trade_refund_count, trade_refund_amount, {ts('trade_last_time')}, trade_last_amount, trade_last_interval,
-    {ts('trade_first_time')}, trade_first_amount, trade_first_interval, trade_avg_amount, trade_avg_item_num, trade_avg_buy_interval, trade_avg_confirm_interval, trade_max_amount, trade_discount_fee"""
+    {ts('trade_first_time')}, trade_first_amount, trade_first_interval, trade_avg_amount, trade_avg_item_num, trade_avg_buy_interval, trade_avg_confirm_interval, trade_max_amount, trade_discount_fee, trade_order_discount_fee"""
 O["e2_enrich_audience"] = sql(
     f"""SELECT {AUD.replace('dp_id,', 't.dp_id,').replace('buyer_nick,', 't.buyer_nick,').replace('status,', 't.status,')}, m.status AS member_status, m.grade AS member_grade, period, {METRICS}
     FROM latest t LEFT JOIN top_member m ON m.dp_id = t.dp_id AND m.buyer_nick = t.buyer_nick JOIN rfm_event r ON r.dp_id = t.dp_id AND r.buyer_nick = t.buyer_nick WHERE period = 6""",

@@ -31,6 +31,12 @@ def valid_timestamp(col: Column) -> Column:
     )
 
 
+def with_valid_times(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Times that arrive as text, and are null where the text is no usable time."""
+    texts = [c for c in cols if c in df.columns and isinstance(df.schema[c].dataType, T.StringType)]
+    return df.withColumns({c: F.when(valid_timestamp(F.col(c)), F.try_to_timestamp(F.col(c))).cast("timestamp_ntz") for c in texts})
+
+
 def money_sum(col: Column) -> Column:
     """Sum of amounts in cents precision, so the result does not depend on the order of rows."""
     return F.round(F.sum(col), MONEY_DIGITS)
@@ -50,10 +56,6 @@ def rate(num: Column, den: Column, undefined: float = UNDEFINED_RATE) -> Column:
     return F.when(den == 0, F.lit(float(undefined))).otherwise(num.cast("double") / den.cast("double"))
 
 
-def zero_filled(cols: list[str]) -> dict[str, Column]:
-    return {c: F.coalesce(F.col(c), F.lit(0)) for c in cols}
-
-
 def rounded(df: DataFrame, *cols: str) -> DataFrame:
     """Six decimals for values whose last digits depend on the order of additions."""
     return df.withColumns({c: F.round(c, RATE_DIGITS) for c in cols})

@@ -1,6 +1,7 @@
 """Byte-level BPE over a table of distinct words.
 
-1. Tasks split their documents into words as the tokenizer does and close a block every BLOCK_CHARS characters. A block
+1. Tasks split their documents into words as the tokenizer does and close a block every BLOCK_CHARS characters, or where
+   its words and their sequence reach BLOCK_BYTES of memory. A block
    keeps each of its distinct words once, dealt into buckets by hash, and its documents as sequences of places in that
    word list, ranked by frequency. Blocks are written to the shared folder.
 2. Word lists are shuffled by bucket; a task meets all words of its bucket and encodes each distinct one once.
@@ -18,8 +19,9 @@ each; an empty table gives an empty result; other columns are ignored.
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Callable
-from itertools import accumulate
+from itertools import accumulate, islice
 from zlib import crc32
 
 import numpy as np
@@ -34,6 +36,10 @@ from tokenizers import Tokenizer
 from patronage.llm.common import type_of, written
 
 BLOCK_CHARS = 32_000_000
+#: Estimated memory of a block's words and sequence at which it is closed, whatever its characters.
+BLOCK_BYTES = 96_000_000
+#: Ranks packed or unpacked at a time.
+_SLICE = 1 << 20
 #: Distinct words a task remembers before it starts anew.
 REMEMBERED = 1_000_000
 
@@ -102,13 +108,16 @@ def _unpacked(data: bytes) -> np.ndarray:
 def _packed_ranks(ranks: np.ndarray) -> bytes:
     """Ranks by frequency in one to five bytes: one below 160, two or three with the page in the first byte, else the
     whole number behind 255. First, second and further bytes are compressed apart."""
-    r = ranks.astype(np.int64)
-    two, three, whole = (r >= _ONE) & (r < _TWO), (r >= _TWO) & (r < _THREE), r >= _THREE
-    head = np.where(two, _ONE + ((r - _ONE) >> 8), np.where(three, 224 + ((r - _TWO) >> 16), np.where(whole, 255, r)))
-    low, far = ((r[two] - _ONE) & 255).astype(np.uint8), ((r[three] - _TWO) & 65535).astype("<u2")
-    planes = [head.astype(np.uint8), low, far & 255, far >> 8]
-    packed = [zstandard.ZstdCompressor(level=3).compress(p.astype(np.uint8).tobytes()) for p in planes]
-    packed.append(zstandard.ZstdCompressor(level=3).compress(r[whole].astype("<u4").tobytes()))
+    planes: list[list[bytes]] = [[], [], [], [], []]
+    for at in range(0, len(ranks), _SLICE):
+        r = ranks[at : at + _SLICE].astype(np.int64)
+        two, three, whole = (r >= _ONE) & (r < _TWO), (r >= _TWO) & (r < _THREE), r >= _THREE
+        head = np.where(two, _ONE + ((r - _ONE) >> 8), np.where(three, 224 + ((r - _TWO) >> 16), np.where(whole, 255, r)))
+        low, far = (r[two] - _ONE) & 255, (r[three] - _TWO) & 65535
+        for plane, numbers in zip(planes, (head, low, far & 255, far >> 8), strict=False):
+            plane.append(numbers.astype(np.uint8).tobytes())
+        planes[4].append(r[whole].astype("<u4").tobytes())
+    packed = [zstandard.ZstdCompressor(level=3).compress(b"".join(p)) for p in planes]
     sizes = np.array([len(p) for p in packed], dtype="<u4")
     return sizes.tobytes() + b"".join(packed)
 
@@ -116,12 +125,12 @@ def _packed_ranks(ranks: np.ndarray) -> bytes:
 def _unpacked_ranks(data: bytes) -> np.ndarray:
     cuts = np.cumsum([20, *np.frombuffer(data, dtype="<u4", count=5)])
     parts = [zstandard.ZstdDecompressor().decompress(data[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
-    head, low, far, page = (np.frombuffer(p, dtype=np.uint8).astype(np.int64) for p in parts[:4])
-    r = head.copy()
-    two, three, whole = (head >= _ONE) & (head < 224), (head >= 224) & (head < 255), head == 255
-    r[two] = _ONE + ((head[two] - _ONE) << 8) + low
-    r[three] = _TWO + ((head[three] - 224) << 16) + (page << 8) + far
-    r[whole] = np.frombuffer(parts[4], dtype="<u4")
+    head, low, far, page = (np.frombuffer(p, dtype=np.uint8) for p in parts[:4])
+    r = head.astype(np.uint32)
+    two, three = (head >= _ONE) & (head < 224), (head >= 224) & (head < 255)
+    r[two] = _ONE + ((r[two] - _ONE) << 8) + low
+    r[three] = _TWO + ((r[three] - 224) << 16) + (page.astype(np.uint32) << 8) + far
+    r[head == 255] = np.frombuffer(parts[4], dtype="<u4")
     return r
 
 
@@ -145,21 +154,29 @@ class _Block:
         self.number, self.chars = number, 0
         self.ids: list = []
         self.counts: list[int] = []
-        self.places: list[np.ndarray] = []
+        self.places = array("I")
         self.known: dict[str, int] = {}
+        self.letters = 0
 
     def add(self, doc_id: object, words: list[str], chars: int) -> None:
         known = self.known
         self.ids.append(doc_id)
         self.counts.append(len(words))
-        self.places.append(np.array([known.setdefault(w, len(known)) for w in words], dtype=np.uint32))
+        before = len(known)
+        self.places.extend([known.setdefault(w, len(known)) for w in words])
+        if len(known) > before:
+            self.letters += sum(map(len, islice(reversed(known), len(known) - before)))
         self.chars += chars
 
+    def is_full(self, block_chars: int) -> bool:
+        """A word costs its letters and some 200 bytes in the dictionary and the lists that row() makes of it."""
+        return self.chars >= block_chars or 12 * len(self.places) + 200 * len(self.known) + 2 * self.letters >= BLOCK_BYTES
+
     def row(self, buckets: int) -> dict:
         """Words are ranked by frequency, which packs their sequence best; the list goes bucket by bucket, by rank."""
-        places = np.concatenate([np.zeros(0, dtype=np.uint32), *self.places])
+        places = np.frombuffer(self.places, dtype=np.uint32)
         ranked = np.argsort(-np.bincount(places, minlength=len(self.known)), kind="stable")
-        rank = np.empty(len(ranked), dtype=np.int64)
+        rank = np.empty(len(ranked), dtype=np.uint32)
         rank[ranked] = np.arange(len(ranked))
         words = list(self.known)
         words = [words[k] for k in ranked]
@@ -194,7 +211,7 @@ def blocks_of(docs: DataFrame, definition: str, buckets: int, block_chars: int =
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
                 text = text.as_py() or ""
                 block.add(doc_id, splitter.split(text), len(text))
-                if block.chars >= block_chars:
+                if block.is_full(block_chars):
                     yield pa.RecordBatch.from_pylist([block.row(buckets)], arrow_kind)
                     block = _Block(block.number + 1)
         if block.ids:

@@ -294,9 +294,13 @@ def _differing(a: bytes, b: bytes) -> int:
 
 
 def _items_of(docs: DataFrame, members: DataFrame, needed: DataFrame, items_of: Items, percent: int) -> DataFrame:
-    """(node, n, sketch, items) of the needed nodes, from the text of one document of each."""
-    wanted = members.join(needed, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("from_id"))
-    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("from_id"))).select("node", "text")
+    """(node, n, sketch, items) of the needed nodes, from the text of one document of each, told apart by id and text
+    digest: rows of one id, or without one, meet their own node alone."""
+    one = F.min(F.struct("doc_id", "_digest")).alias("one")
+    wanted = members.join(needed, "node", "left_semi").groupBy("node").agg(one).select("node", "one.*")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("_digest"))
+    same = rows["doc_id"].eqNullSafe(wanted["doc_id"]) & (rows["_digest"] == wanted["_digest"])
+    texts = rows.join(wanted, same).select("node", "text")
 
     def make() -> Callable[[pa.RecordBatch], dict]:
         def step(batch: pa.RecordBatch) -> dict:
@@ -358,6 +362,18 @@ def _hub_pairs(large: DataFrame) -> DataFrame:
     return met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
 
 
+def _second_hub_pairs(rows: DataFrame) -> DataFrame:
+    """(a, b): the nodes of each open key with its second hub, the node with the most open keys outside the component of
+    the first such node. Pairs within a component are left out."""
+    degrees = rows.join(rows.groupBy("node").agg(F.count("*").alias("degree")), "node")
+    best = F.max(F.struct("degree", "node", "root")).alias("best")
+    first = degrees.groupBy("key").agg(best).select("key", F.col("best.root").alias("first_root"))
+    outside = degrees.join(first, "key").filter(F.col("root") != F.col("first_root"))
+    hubs = outside.groupBy("key").agg(best).select("key", F.col("best.node").alias("hub"), F.col("best.root").alias("hub_root"))
+    met = rows.join(hubs, "key").filter(F.col("root") != F.col("hub_root"))
+    return met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+
+
 def _near_in_block(group: list[tuple], percent: int) -> list[tuple[int, int]]:
     """Pairs of different components, one of side 0 and one of side 1 (or both of one block), whose sizes and sketches
     allow the similarity. Rows are (side, node, root, n, sketch)."""
@@ -417,7 +433,8 @@ def _rest(rows: DataFrame, items: DataFrame, percent: int) -> DataFrame:
 def classes(docs: DataFrame, items_of: Items, make_keys: MakeKeys, percent: int, also: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, node, n_items, root and the columns named in also of every row: rows of one root are linked by sets whose similarity reaches percent /
     100. Any two such sets have to share an index key."""
-    members = written(sets_of(docs, items_of, also), "jaccard-sets")
+    keyed = docs.withColumn("_digest", F.xxhash64("text"))
+    members = written(sets_of(keyed, items_of, (*also, "_digest")), "jaccard-sets")
     met = written(candidates(docs, items_of, make_keys), "jaccard-met")
     needed = met.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     items = written(_items_of(docs, members, needed, items_of, percent), "jaccard-items")
@@ -426,10 +443,15 @@ def classes(docs: DataFrame, items_of: Items, make_keys: MakeKeys, percent: int,
     links = written(verified(few.union(_hub_pairs(large)).distinct(), items, percent), "jaccard-links")
     roots = components(links)
     rows = written(_open(large, roots), "jaccard-open")
-    if not rows.isEmpty():
-        more = written(verified(_rest(rows, items, percent), items, percent), "jaccard-rest")
+    # A second hub joins most of what the first left apart, before blocks compare the rest pair by pair.
+    for pairs, name in ((_second_hub_pairs, "jaccard-second"), (partial(_rest, items=items, percent=percent), "jaccard-rest")):
+        if rows.isEmpty():
+            break
+        more = written(verified(pairs(rows).distinct(), items, percent), name)
         if not more.isEmpty():
-            roots = components(links.union(more))
+            links = links.union(more)
+            roots = components(links)
+            rows = written(_open(rows.select("key", "node"), roots), "jaccard-open") if name == "jaccard-second" else rows
     return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from patronage.constants import FINISHED_STATUS
 from patronage.functions.calendar import until
-from patronage.functions.expressions import null_if_token
+from patronage.functions.expressions import null_if_token, with_valid_times
+from patronage.operators.offline import on_platforms
 
 # Exclusion modes of item re-purchase.
 KEEP_ALL, SAME_SHOP, SAME_CATEGORY, SAME_ITEM = "0", "1", "2", "3"
@@ -17,7 +18,9 @@ FULL_PERIOD = 6
 
 
 def recent_orders(orders: DataFrame, day: date, days: int = HORIZON) -> DataFrame:
-    """Open partition and closed months of the last days; finished or paid orders only."""
+    """Open partition and closed months of the last days; finished or paid orders only. Times that arrive as text count
+    where they are usable times."""
+    orders = with_valid_times(orders, ["created", "pay_time", "end_time"])
     first = day - timedelta(days=days)
     in_part = (F.col("part") == "active") | (F.col("part") >= f"{first:%Y-%m}")
     usable = (F.col("status") == FINISHED_STATUS) | F.col("pay_time").isNotNull()
@@ -134,11 +137,18 @@ def dedup_audience(rows: DataFrame) -> DataFrame:
 
 
 def festival_members(
-    config: DataFrame, members: DataFrame, relation: DataFrame, tenant_shop: DataFrame, contacts: DataFrame, accounts: DataFrame, day: date
+    config: DataFrame,
+    members: DataFrame,
+    relation: DataFrame,
+    tenant_shop: DataFrame,
+    contacts: DataFrame,
+    accounts: DataFrame,
+    day: date,
+    platforms: tuple[str, ...] | None = None,
 ) -> DataFrame:
-    """Members of shops whose care window holds the day, with contact and account."""
+    """Members of shops whose care window holds the day, with contact and account; of some platforms where named."""
     shops = config.filter((F.col("care_from") <= F.lit(day)) & (F.col("care_to") >= F.lit(day))).select("shop_id").distinct()
-    known = members.filter(F.col("card_plan_id").isNotNull() & F.col("member_id").isNotNull())
+    known = on_platforms(members, platforms).filter(F.col("card_plan_id").isNotNull() & F.col("member_id").isNotNull())
     caring = tenant_shop.select("tenant", "plat_code", "shop_id", "uni_shop_id").join(shops, "shop_id")
     rows = known.select("card_plan_id", "uni_shop_id", "member_id", "grade").join(caring, "uni_shop_id")
     linked = rows.join(relation.select("card_plan_id", "member_id", "uni_id"), ["card_plan_id", "member_id"])

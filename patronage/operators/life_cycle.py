@@ -3,11 +3,11 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from patronage.constants import ALL_MEMBERS, LEVEL_KEYS, NON_MEMBER, SHOP, TOTAL
+from patronage.constants import ALL_MEMBERS, LEVEL_KEYS, NON_MEMBER, PLATFORM, SHOP, TENANT, TOTAL
 from patronage.functions.calendar import is_month_end
 from patronage.functions.expressions import count_if
 from patronage.operators.assets import bought_by, new_in_year
-from patronage.operators.levels import LEVELED, LEVELED_CUSTOMER, coded, decoded, per_level
+from patronage.operators.levels import LEVELED, LEVELED_CUSTOMER, NONE, coded, decoded, per_level
 
 KEYS = ["stat_date", *LEVEL_KEYS]
 CLASSES = ("prospective", "active_new", "phurce_new", "active_old", "phurce_old", "silent", "loss")
@@ -53,18 +53,27 @@ def customers_with_cards(wide: DataFrame, card_shop: DataFrame, members: DataFra
     """One row per customer and level with class and the list of memberships.
 
     Shop rows are those of shops with a plan. Above the shop level a customer keeps the memberships
-    seen in the shops below. A customer has a handful of cards, so the list stays short.
+    seen in the shops below. A customer has a handful of cards, so the list stays short. The wide rows
+    are read once: shop rows find their plans and cards, and hand the cards on to the levels above.
     """
-    classed = wide.withColumn("class", life_cycle_class()).select(*KEYS, "uni_id", "class")
-    planned = plan_shops(card_shop).select("uni_shop_id").distinct().withColumn("has_plan", F.lit(True))
-    rows = classed.join(planned, "uni_shop_id", "left").filter((F.col("type") != SHOP) | F.col("has_plan"))
-    own = coded(rows).select(*LEVELED_CUSTOMER, "stat_date", "class", F.lit(None).cast(CARD).alias("card"))
-    held = per_level(memberships(wide, card_shop, members, relation))
-    card = F.struct("card_plan_id", "member_id", "grade").cast(CARD)
-    cards = held.select(*LEVELED_CUSTOMER, "stat_date", F.lit(None).cast("string").alias("class"), card.alias("card"))
-    grouped = own.unionByName(cards).groupBy(*LEVELED_CUSTOMER, "stat_date").agg(
-        F.max("class").alias("class"), F.collect_set("card").alias("cards")
-    )
+    is_shop = F.col("type") == SHOP
+    rows = wide.withColumn("class", life_cycle_class()).select(*KEYS, "uni_id", "class")
+    plans = plan_shops(card_shop).select(F.col("uni_shop_id").alias("plan_shop"), "card_plan_id")
+    # Rows above the shop level have no shop to look up; the customer stands in, so that they don't share one empty key.
+    shop = F.when(is_shop, F.col("uni_shop_id")).otherwise(F.concat(F.lit("\u0001"), "uni_id"))
+    placed = rows.join(plans, shop == F.col("plan_shop"), "left").filter(~is_shop | F.col("card_plan_id").isNotNull())
+    held = placed.join(member_grades(members, relation), ["uni_id", "card_plan_id"], "left")
+    card = F.when(F.col("joined") <= F.col("stat_date"), F.struct("card_plan_id", "member_id", "grade").cast(CARD))
+
+    def at(level: Column, plat: Column, shop_: Column, own: Column) -> Column:
+        return F.struct(level.alias("type"), plat.alias("level_plat"), shop_.alias("level_shop"), own.alias("class"))
+
+    none, no_class = F.lit(NONE), F.lit(None).cast("string")
+    itself = at(F.col("type"), F.col("level_plat"), F.col("level_shop"), F.col("class"))
+    above = [at(F.lit(PLATFORM), F.col("level_plat"), none, no_class), at(F.lit(TENANT), none, none, no_class)]
+    entries = F.when(is_shop & F.col("card").isNotNull(), F.array(itself, *above)).otherwise(F.array(itself))
+    found = coded(held.withColumn("card", card)).withColumn("entry", F.explode(entries)).select("uni_id", "tenant", "stat_date", "card", "entry.*")
+    grouped = found.groupBy(*LEVELED_CUSTOMER, "stat_date").agg(F.max("class").alias("class"), F.collect_set("card").alias("cards"))
     return decoded(grouped.filter(F.col("class").isNotNull()))
 
 

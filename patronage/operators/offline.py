@@ -1,4 +1,7 @@
-"""Sales and members of physical stores over the last thirty days."""
+"""Sales and members of physical stores over the last thirty days.
+
+Weeks start on Monday, or with `anchored_week` on the year-anchored weekday.
+"""
 
 from datetime import date
 
@@ -27,18 +30,19 @@ def offline_trades(
     relation: DataFrame,
     day: date,
     platforms: tuple[str, ...] | None = None,
+    anchored_week: bool = False,
 ) -> DataFrame:
     """Valid trades of all reporting periods with plan, member and period flags.
 
     The scan starts at the earlier of the month start and thirty days back.
     """
-    first = min(period_starts(day).values())
+    first = min(period_starts(day, anchored_week=anchored_week).values())
     recent = trades_since(on_platforms(trades, platforms), day, days=(day - first).days + 1)
     plans = card_shop.select("card_plan_id", "plat_code", "shop_id")
     members = relation.select("card_plan_id", "member_id", "uni_id")
     cleaned = clean_trades(recent, tenant_shop)
     planned = cleaned.join(plans, ["plat_code", "shop_id"]).join(members, ["card_plan_id", "uni_id"], "left")
-    return period_flags(planned, "created", day)
+    return period_flags(planned, "created", day, anchored_week=anchored_week)
 
 
 def member_trades(offline: DataFrame, members: DataFrame, any_shop: bool = False) -> DataFrame:
@@ -66,18 +70,18 @@ def _rolled(rows: DataFrame, prefix: str = "") -> list[Column]:
     ]
 
 
-def sales_by_period(offline: DataFrame, day: date) -> DataFrame:
+def sales_by_period(offline: DataFrame, day: date, anchored_week: bool = False) -> DataFrame:
     """Payment and orders per plan, shop and period. Trades of a shop's buyers without card count too."""
-    return explode_periods(offline, "created", day, name=PERIOD).groupBy(*SHOP, PERIOD).agg(*_totals())
+    return explode_periods(offline, "created", day, anchored_week=anchored_week, name=PERIOD).groupBy(*SHOP, PERIOD).agg(*_totals())
 
 
 def platform_sales(shop_sales: DataFrame) -> DataFrame:
     return shop_sales.groupBy(*PLAT, PERIOD).agg(*_rolled(shop_sales))
 
 
-def member_sales_by_period(mt: DataFrame, day: date) -> DataFrame:
+def member_sales_by_period(mt: DataFrame, day: date, anchored_week: bool = False) -> DataFrame:
     """Member part of the sales per shop."""
-    return explode_periods(mt, "created", day, name=PERIOD).groupBy(*SHOP, PERIOD).agg(*_totals("m"))
+    return explode_periods(mt, "created", day, anchored_week=anchored_week, name=PERIOD).groupBy(*SHOP, PERIOD).agg(*_totals("m"))
 
 
 def member_platform_sales(shop_sales: DataFrame) -> DataFrame:
@@ -91,9 +95,9 @@ def with_grade_total(cells: DataFrame, keys: list[str], sums: list[Column]) -> D
     return grouped.withColumn("grade", F.when(F.col("all") == 1, TOTAL).otherwise(grade)).drop("all")
 
 
-def grade_sales_by_period(mt: DataFrame, day: date) -> DataFrame:
+def grade_sales_by_period(mt: DataFrame, day: date, anchored_week: bool = False) -> DataFrame:
     """Member sales per grade with a total row."""
-    cells = explode_periods(mt, "created", day, name=PERIOD).groupBy(*SHOP, PERIOD, "grade").agg(*_totals("m"))
+    cells = explode_periods(mt, "created", day, anchored_week=anchored_week, name=PERIOD).groupBy(*SHOP, PERIOD, "grade").agg(*_totals("m"))
     return with_grade_total(cells, [*SHOP, PERIOD], _rolled(cells, "m"))
 
 
@@ -142,22 +146,24 @@ def shop_sale_rate(shop_sales: DataFrame, grade_sales: DataFrame, tenant_shop: D
     )
 
 
-def member_growth(members: DataFrame, tenant_shop: DataFrame, day: date, platforms: tuple[str, ...] | None = None) -> DataFrame:
+def member_growth(
+    members: DataFrame, tenant_shop: DataFrame, day: date, platforms: tuple[str, ...] | None = None, anchored_week: bool = False
+) -> DataFrame:
     """Members of each shop and how many joined in each period."""
     known = on_platforms(members, platforms).filter(until(F.col("created"), day))
-    flagged = period_flags(known, "created", day, yearly=True)
+    flagged = period_flags(known, "created", day, anchored_week=anchored_week, yearly=True)
     flags = ["yesterday", "this_week", "this_month", "this_year", "last_7_days", "last_30_days", "last_year"]
     counts = flagged.groupBy(*SHOP).agg(F.count("member_id").alias("members"), *[F.sum(f).alias(f) for f in flags])
     names = tenant_shop.select("plat_code", "shop_id", "shop_name").distinct()
     return counts.join(names, ["plat_code", "shop_id"], "left").drop("shop_id").withColumn("stat_date", F.lit(day))
 
 
-def _consumption(rows: DataFrame, keys: list[str], day: date) -> DataFrame:
+def _consumption(rows: DataFrame, keys: list[str], day: date, anchored_week: bool = False) -> DataFrame:
     """Members, payment and visits (member, shop and day) per grade, with a total row.
 
     Visits are grouped before members are counted, so no distinct set is held per shop.
     """
-    visits = explode_periods(rows, "created", day, name=PERIOD).groupBy(
+    visits = explode_periods(rows, "created", day, anchored_week=anchored_week, name=PERIOD).groupBy(
         *keys, PERIOD, "grade", "member_id", F.to_date("created").alias("visit_day")
     ).agg(money_sum(F.col("receive_payment")).alias("paid"))
     per_member = visits.groupBy(*keys, PERIOD, "grade", "member_id").agg(
@@ -176,16 +182,16 @@ def _consumption(rows: DataFrame, keys: list[str], day: date) -> DataFrame:
     )
 
 
-def open_shop_consumption(mt: DataFrame, day: date) -> DataFrame:
+def open_shop_consumption(mt: DataFrame, day: date, anchored_week: bool = False) -> DataFrame:
     """Spending of members in the shop that opened their card."""
     own = mt.filter((F.col("shop_id") == F.col("open_shop_id")) & (F.col("plat_code") == F.col("open_plat")))
-    return _consumption(own, SHOP, day)
+    return _consumption(own, SHOP, day, anchored_week)
 
 
-def all_shop_consumption(mt: DataFrame, day: date) -> DataFrame:
+def all_shop_consumption(mt: DataFrame, day: date, anchored_week: bool = False) -> DataFrame:
     """Spending of members in all shops, reported for the shop that opened their card."""
     opened = mt.withColumns({"plat_code": F.col("open_plat")})
-    return _consumption(opened, ["card_plan_id", "plat_code", "open_shop_id"], day)
+    return _consumption(opened, ["card_plan_id", "plat_code", "open_shop_id"], day, anchored_week)
 
 
 def member_stock(members: DataFrame, tenant_shop: DataFrame, day: date, platforms: tuple[str, ...] | None = None) -> DataFrame:

@@ -1,4 +1,7 @@
-"""Member points and grades per membership plan and reporting period."""
+"""Member points and grades per membership plan and reporting period.
+
+Weeks start on Monday, or with `anchored_week` on the year-anchored weekday.
+"""
 
 from datetime import date
 
@@ -33,35 +36,35 @@ def point_stock(points: DataFrame, day: date) -> DataFrame:
     return valid_points(points, day).groupBy("card_plan_id").agg(F.sum("point").alias("points"))
 
 
-def point_change_members(changes: DataFrame, day: date, inclusive: bool = True) -> DataFrame:
+def point_change_members(changes: DataFrame, day: date, inclusive: bool = True, anchored_week: bool = False) -> DataFrame:
     """Distinct members with a change per plan and period."""
-    hits = explode_periods(changes, "change_time", day, inclusive)
+    hits = explode_periods(changes, "change_time", day, inclusive, anchored_week)
     return hits.groupBy(*CELL).agg(F.countDistinct("member_id").alias("members"))
 
 
-def point_flow(changes: DataFrame, day: date, inclusive: bool = True) -> DataFrame:
+def point_flow(changes: DataFrame, day: date, inclusive: bool = True, anchored_week: bool = False) -> DataFrame:
     """Points issued and consumed per plan and period."""
     value = F.col("change_value")
-    return explode_periods(changes, "change_time", day, inclusive).groupBy(*CELL).agg(
+    return explode_periods(changes, "change_time", day, inclusive, anchored_week).groupBy(*CELL).agg(
         F.coalesce(F.sum(F.when(value >= 0, value)), F.lit(0)).alias("send_points"),
         F.abs(F.coalesce(F.sum(F.when(value < 0, value)), F.lit(0))).alias("consume_points"),
     )
 
 
-def overdue_points(points: DataFrame, day: date, inclusive: bool = True) -> DataFrame:
+def overdue_points(points: DataFrame, day: date, inclusive: bool = True, anchored_week: bool = False) -> DataFrame:
     """Points that expired per plan and period."""
     expired = points.filter(F.col("valid") == 0)
-    return explode_periods(expired, "overdue_date", day, inclusive).groupBy(*CELL).agg(F.sum("point").alias("overdue_points"))
+    return explode_periods(expired, "overdue_date", day, inclusive, anchored_week).groupBy(*CELL).agg(F.sum("point").alias("overdue_points"))
 
 
-def new_members(members: DataFrame, day: date, inclusive: bool = True) -> DataFrame:
+def new_members(members: DataFrame, day: date, inclusive: bool = True, anchored_week: bool = False) -> DataFrame:
     """Members that joined per plan and period."""
-    return explode_periods(members, "created", day, inclusive).groupBy(*CELL).agg(F.count("member_id").alias("newmembers"))
+    return explode_periods(members, "created", day, inclusive, anchored_week).groupBy(*CELL).agg(F.count("member_id").alias("newmembers"))
 
 
-def grade_moves(grade_log: DataFrame, day: date, inclusive: bool = True) -> DataFrame:
+def grade_moves(grade_log: DataFrame, day: date, inclusive: bool = True, anchored_week: bool = False) -> DataFrame:
     """Members whose latest move in the period went up or down."""
-    moves = explode_periods(grade_log.filter(F.col("change_type").isin("UP", "DOWN")), "change_time", day, inclusive)
+    moves = explode_periods(grade_log.filter(F.col("change_type").isin("UP", "DOWN")), "change_time", day, inclusive, anchored_week)
     latest = moves.groupBy(*CELL, "member_id").agg(
         F.max_by("change_type", F.struct("change_time", "change_id")).alias("change_type")
     )
@@ -76,15 +79,15 @@ def plan_period_scaffold(members: DataFrame) -> DataFrame:
 
 
 def point_grade_report(
-    members: DataFrame, changes: DataFrame, points: DataFrame, grade_log: DataFrame, day: date, inclusive: bool = True
+    members: DataFrame, changes: DataFrame, points: DataFrame, grade_log: DataFrame, day: date, inclusive: bool = True, anchored_week: bool = False
 ) -> DataFrame:
     stock = point_stock(points, day).withColumnRenamed("points", "effect_points")
     parts = [
-        point_change_members(changes, day, inclusive).withColumnRenamed("members", "point_change_nums"),
-        point_flow(changes, day, inclusive),
-        overdue_points(points, day, inclusive),
-        new_members(members, day, inclusive),
-        grade_moves(grade_log, day, inclusive),
+        point_change_members(changes, day, inclusive, anchored_week).withColumnRenamed("members", "point_change_nums"),
+        point_flow(changes, day, inclusive, anchored_week),
+        overdue_points(points, day, inclusive, anchored_week),
+        new_members(members, day, inclusive, anchored_week),
+        grade_moves(grade_log, day, inclusive, anchored_week),
     ]
     report = plan_period_scaffold(members).join(stock, "card_plan_id", "left")
     for part in parts:
@@ -106,13 +109,13 @@ def first_grades(grade_log: DataFrame, starts: dict[int, date], day: date) -> Da
 
 
 def grade_matrix(
-    members: DataFrame, grade_log: DataFrame, day: date, inclusive: bool = True, periods: list[int] | None = None
+    members: DataFrame, grade_log: DataFrame, day: date, inclusive: bool = True, periods: list[int] | None = None, anchored_week: bool = False
 ) -> DataFrame:
     """Members by grade now and grade before the period, with totals on both axes.
 
     Members that joined within the period were non-members before it. All periods come from one join.
     """
-    starts = {p: s for p, s in period_starts(day, inclusive).items() if not periods or p in periods}
+    starts = {p: s for p, s in period_starts(day, inclusive, anchored_week).items() if not periods or p in periods}
     known = members.filter(until(F.col("created"), day)).select("card_plan_id", "member_id", "grade", "created")
     joined = known.join(first_grades(grade_log, starts, day), ["card_plan_id", "member_id"], "left")
 
@@ -137,5 +140,5 @@ def grade_matrix(
     )
 
 
-def grade_matrix_report(members: DataFrame, grade_log: DataFrame, day: date, inclusive: bool = True) -> DataFrame:
-    return grade_matrix(members, grade_log, day, inclusive).withColumn("stat_date", F.lit(day))
+def grade_matrix_report(members: DataFrame, grade_log: DataFrame, day: date, inclusive: bool = True, anchored_week: bool = False) -> DataFrame:
+    return grade_matrix(members, grade_log, day, inclusive, anchored_week=anchored_week).withColumn("stat_date", F.lit(day))

@@ -169,9 +169,13 @@ def rollup_rfm(lower: DataFrame, level: int) -> DataFrame:
 
 
 def all_levels(shop: DataFrame) -> DataFrame:
-    """Wide rows of the three levels, told apart by `type`, in one pass over the shop rows."""
+    """Wide rows of the three levels, told apart by `type`, in one pass over the shop rows.
+
+    Shop rows are brought together by customer before they are repeated for the levels, so the shuffle
+    moves each once. A customer has at most one row per shop and snapshot, so no customer is a hot key.
+    """
     keys = [*LEVELED_CUSTOMER, "stat_date"]
-    leveled = per_level(shop.select(*WIDE_COLUMNS))
+    leveled = per_level(shop.select(*WIDE_COLUMNS).repartition("uni_id"))
     rolled = _ranked(leveled, keys, ["plat_code", "uni_shop_id"]).groupBy(*keys).agg(*_measures(), *_first_second())
     return decoded(rolled).select("type", *WIDE_COLUMNS)
 

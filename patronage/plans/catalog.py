@@ -682,6 +682,12 @@ def m11_point_grade_report(m: Marts) -> DataFrame:
     return points.point_grade_report(m.t.member, m.t.point_change, m.t.effective_point, m.t.grade_change, m.day)
 
 
+@query
+def m11_point_grade_report_anchored_week(m: Marts) -> DataFrame:
+    t = m.t
+    return points.point_grade_report(t.member, t.point_change, t.effective_point, t.grade_change, m.day, anchored_week=True)
+
+
 @query
 def m12_grade_matrix(m: Marts) -> DataFrame:
     return points.grade_matrix(m.t.member, m.t.grade_change, m.day, periods=[5])
@@ -692,6 +698,11 @@ def m12_grade_matrix_all_periods(m: Marts) -> DataFrame:
     return points.grade_matrix(m.t.member, m.t.grade_change, m.day)
 
 
+@query
+def m13_grade_matrix_report_anchored_week(m: Marts) -> DataFrame:
+    return points.grade_matrix_report(m.t.member, m.t.grade_change, m.day, anchored_week=True)
+
+
 @query
 def m13_grade_matrix_report(m: Marts) -> DataFrame:
     return points.grade_matrix_report(m.t.member, m.t.grade_change, m.day)
@@ -837,6 +848,37 @@ def o12_consumption_report(m: Marts) -> DataFrame:
     return offline.consumption_report(stock, own, everywhere, m.day)
 
 
+@query
+def o12_consumption_report_anchored_week(m: Marts) -> DataFrame:
+    t = m.t
+    trades = offline.offline_trades(t.trade, t.tenant_shop, t.card_shop, t.customer_member, m.day, anchored_week=True)
+    mt = offline.member_trades(trades, t.member, any_shop=True)
+    own, everywhere = offline.open_shop_consumption(mt, m.day, anchored_week=True), offline.all_shop_consumption(mt, m.day, anchored_week=True)
+    return offline.consumption_report(offline.member_stock(t.member, t.tenant_shop, m.day), own, everywhere, m.day)
+
+
+#: Platforms of the reports that leave out the others.
+SOME_PLATFORMS = ("NATION_1", "NATION_6", "NATION_12", "NATION_20")
+
+
+@query
+def o6_member_sale_rate_on_platforms(m: Marts) -> DataFrame:
+    t = m.t
+    trades = offline.offline_trades(t.trade, t.tenant_shop, t.card_shop, t.customer_member, m.day, platforms=SOME_PLATFORMS)
+    mt = offline.member_trades(trades, t.member, any_shop=True)
+    return offline.member_sale_rate(offline.sales_by_period(trades, m.day), offline.grade_sales_by_period(mt, m.day), m.day)
+
+
+@query
+def o8_member_growth_on_platforms(m: Marts) -> DataFrame:
+    return offline.member_growth(m.t.member, m.t.tenant_shop, m.day, platforms=SOME_PLATFORMS)
+
+
+@query
+def o11_member_stock_on_platforms(m: Marts) -> DataFrame:
+    return offline.member_stock(m.t.member, m.t.tenant_shop, m.day, platforms=SOME_PLATFORMS)
+
+
 # Social labels
 
 
@@ -1039,6 +1081,14 @@ def e8_festival_members(m: Marts) -> DataFrame:
     return audience.festival_members(t.festival_config, t.member, t.customer_member, t.tenant_shop, t.customer_contact, t.customer_account, m.day)
 
 
+@query
+def e8_festival_members_on_platforms(m: Marts) -> DataFrame:
+    t = m.t
+    return audience.festival_members(
+        t.festival_config, t.member, t.customer_member, t.tenant_shop, t.customer_contact, t.customer_account, m.day, platforms=SOME_PLATFORMS
+    )
+
+
 @query
 def e9_publish_events(m: Marts) -> DataFrame:
     path = work_folder(m.spark, "events")

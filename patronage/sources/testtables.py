@@ -33,6 +33,7 @@ EVENT_METRICS = [
     "trade_avg_confirm_interval",
     "trade_max_amount",
     "trade_discount_fee",
+    "trade_order_discount_fee",
 ]
 
 # Days of the six event periods; the last one is open.
@@ -430,7 +431,7 @@ class Tables:
 
     @cached_property
     def rfm_event(self) -> DataFrame:
-        """Eighteen trade metrics per shop, buyer and period."""
+        """Nineteen trade metrics per shop, buyer and period."""
         day = F.lit(COMMERCE_DAY)
         age = F.datediff(day, F.col("created"))
         codes = F.array_compact(F.array(*[F.when(F.lit(True) if days is None else age < days, F.lit(code)) for code, days in EVENT_PERIODS.items()]))
@@ -453,6 +454,7 @@ class Tables:
             F.avg(confirm).alias("trade_avg_confirm_interval"),
             F.max("payment").alias("trade_max_amount"),
             F.round(F.sum("discount_fee"), 2).alias("trade_discount_fee"),
+            F.round(F.sum(F.when(F.col("status") == "TRADE_FINISHED", F.col("discount_fee")).otherwise(0.0)), 2).alias("trade_order_discount_fee"),
         )
         span = F.col("trade_first_interval") - F.col("trade_last_interval")
         return metrics.withColumns(

@@ -8,6 +8,7 @@ import duckdb
 import public_tokenizers
 import pytest
 from cases import AWKWARD, near_copies
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -123,6 +124,25 @@ def test_join_of_awkward_rows(awkward, empty):
     assert jaccard.one_of_each(empty).count() == 0
 
 
+@pytest.mark.parametrize("n", [40, 160])
+def test_rows_without_an_id_are_shingled_once_a_set(spark, n):
+    """They meet their own set by text digest; meeting by id alone would shingle each once for every set."""
+    texts = [" ".join(f"w{k}x{j}" for j in range(30)) for k in range(n)]
+    docs = spark.createDataFrame([(None, t) for t in texts] + [(None, t + " more") for t in texts], "doc_id long, text string").repartition(3)
+    read = spark.sparkContext.accumulator(0)
+
+    def items_of(text):
+        read.add(1)
+        return jaccard.shingles(text, 2)
+
+    members = written(jaccard.sets_of(docs.withColumn("_digest", F.xxhash64("text")), items_of, ("_digest",)), "sets")
+    before = read.value
+    items = jaccard._items_of(docs, members, members.select("node").distinct(), items_of, 90)
+    assert written(items, "items").count() == 2 * n and read.value - before == 2 * n
+    rows = jaccard.classes(docs, items_of, lambda: jaccard._banded(90), 90).groupBy("root").count().collect()
+    assert sorted(r["count"] for r in rows) == [2] * n
+
+
 def test_one_row_of_each_component_stays(spark):
     """Also where an id repeats with equal or near texts, and where ids are missing."""
     text = " ".join(f"w{k}" for k in range(60))

@@ -123,3 +123,10 @@ def test_manifest_counts_rows(spark):
     df = spark.createDataFrame([(DAY, 1), (date(2019, 1, 1), 2)], "stat_date date, v int")
     rows = manifest.publish_manifest({"one": df, "none": df.limit(0)}, DAY).collect()
     assert {(r.table_name, r.available, r.row_num) for r in rows} == {("one", "1", 1), ("none", "1", 0)}
+
+
+def test_times_that_arrive_as_text_count_where_they_are_usable(spark):
+    rows = [("a", "WAIT", "2019-06-01 10:00:00", "2019-06-02 10:00:00", None), ("b", "WAIT", "2019-06-01 10:00:00", "NULL", "0000-00-00 00:00:00"), ("c", "TRADE_FINISHED", "2019-06-01 10:00:00", "", "2019-06-03 00:00:00"), ("d", "TRADE_FINISHED", "soon", None, None)]
+    orders = spark.createDataFrame([(*r, "active") for r in rows], "tid string, status string, created string, pay_time string, end_time string, part string")
+    found = {r.tid: (r.created, r.pay_time, r.end_time) for r in audience.recent_orders(orders, DAY).collect()}
+    assert found == {"a": (at("2019-06-01 10:00:00"), at("2019-06-02 10:00:00"), None), "c": (at("2019-06-01 10:00:00"), None, at("2019-06-03"))}
