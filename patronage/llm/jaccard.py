@@ -52,6 +52,8 @@ FEW = 8
 BLOCK = 1000
 #: Index keys that a task packs together.
 BLOCK_KEYS = 2_000_000
+#: Members of sets for each bucket of index keys.
+BUCKET_MEMBERS = 4_000_000
 #: Sketch bits for each member in which similar sets may differ.
 BITS_EACH = 8
 
@@ -244,12 +246,13 @@ def _met_at(keys: np.ndarray, nodes: np.ndarray) -> tuple[list[int | None], list
     return large, np.concatenate(a).tolist(), np.concatenate(b).tolist()
 
 
-def candidates(docs: DataFrame, items_of: Items, make_keys: MakeKeys) -> DataFrame:
+def candidates(docs: DataFrame, items_of: Items, make_keys: MakeKeys, members: int) -> DataFrame:
     """(large, a, b): node pairs that meet at a key, and the nodes of keys with more than FEW of them.
 
-    A bucket holds its keys of all blocks at once, sixteen bytes each; there are as many buckets as shuffle partitions.
+    A bucket holds its keys of all blocks at once, sixteen bytes each. Their number goes with the `members` of all sets,
+    about a key each, so buckets keep their size as the documents grow.
     """
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-members // BUCKET_MEMBERS))
     rows = _indexed(docs, items_of, make_keys, buckets).repartition("bucket").sortWithinPartitions("bucket")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -431,11 +434,12 @@ def _rest(rows: DataFrame, items: DataFrame, percent: int) -> DataFrame:
 
 
 def classes(docs: DataFrame, items_of: Items, make_keys: MakeKeys, percent: int, also: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, node, n_items, root and the columns named in also of every row: rows of one root are linked by sets whose similarity reaches percent /
-    100. Any two such sets have to share an index key."""
+    """doc_id, node, n_items, root and the columns named in also of every row: rows of one root are linked by sets whose
+    similarity reaches percent / 100. Any two such sets have to share an index key."""
     keyed = docs.withColumn("_digest", F.xxhash64("text"))
     members = written(sets_of(keyed, items_of, (*also, "_digest")), "jaccard-sets")
-    met = written(candidates(docs, items_of, make_keys), "jaccard-met")
+    total = members.agg(F.coalesce(F.sum("n_items"), F.lit(0))).collect()[0][0]
+    met = written(candidates(docs, items_of, make_keys, total), "jaccard-met")
     needed = met.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     items = written(_items_of(docs, members, needed, items_of, percent), "jaccard-items")
     few = met.filter("large is null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
