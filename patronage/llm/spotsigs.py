@@ -1,9 +1,11 @@
 """SpotSigs fingerprints: chains of content words behind common-word anchors.
 
 Every anchor word of a text starts a signature: the anchor and the next CHAIN words that are no anchors. The fingerprint
-is the set of 64-bit hashes of all signatures, written as sorted hexadecimal numbers. In a text with fewer than FEW
-signatures every word also acts as an anchor, with the words that follow it; a text without words has one signature for
-all its characters, and an empty text none. Likeness is the Jaccard similarity of two sets, 1 for two empty ones.
+is the set of 64-bit hashes of all signatures, written as sorted hexadecimal numbers. Where none of the GAP words before
+a word is common, as before the first common word or in a language without listed words, the word itself is an anchor;
+so the rule is one for texts of all sizes, and an edit changes only signatures near it. A text without any signature, of
+a few words, has one for all its words, one without words for all its characters, and an empty text none. Likeness is
+the Jaccard similarity of two sets, 1 for two empty ones.
 
 `near_classes` compares all documents. Equal fingerprints are one node from the start. Fingerprints are put into bands by
 set length, so that only sets of one or of neighbouring bands can be similar; a set is indexed in its own band and, if
@@ -35,7 +37,8 @@ from patronage.llm.common import map_batches, type_of, whole_text
 
 #: Content words in a signature.
 CHAIN = 2
-FEW = 5
+#: Words without a common one among them behind which every word is an anchor.
+GAP = 8
 #: Jaccard similarity, in hundredths, from which two documents are of one class.
 NEAR = 80
 #: Bits of the hash by which frequencies are counted.
@@ -63,17 +66,15 @@ def signatures(text: str | None, anchors: frozenset[str] = ANCHORS, chain: int =
         return np.zeros(0, dtype=np.uint64)
     words = _WORDS.findall(text.lower())
     content = [w for w in words if w not in anchors]
-    found, at, last = set(), 0, len(content) - chain
+    found, at, last, since = set(), 0, len(content) - chain, GAP
     for word in words:
-        if word in anchors:
-            if at <= last:
-                found.add(" ".join((word, *content[at : at + chain])))
-        else:
-            at += 1
-    if len(found) < FEW:
-        found.update(" ".join(words[k : k + chain + 1]) for k in range(len(words)))
+        common = word in anchors
+        at += not common
+        if (common or since >= GAP) and at <= last:
+            found.add(" ".join((word, *content[at : at + chain])))
+        since = 0 if common else since + 1
     if not found:
-        found = {text}
+        found = {" ".join(words) or text}
     digest = xxhash.xxh64_intdigest
     return np.sort(np.fromiter((digest(s) for s in found), dtype=np.uint64, count=len(found)))
 
@@ -93,41 +94,42 @@ def likeness(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
     return common / (len(a) + len(b) - common)
 
 
-def _place(bounds: np.ndarray) -> Callable[[Column], Column]:
-    """How many bounds lie at or below an id; a missing id lies below all."""
-
-    @F.udf("int", useArrow=True)
-    def place(doc_id):
-        return 0 if doc_id is None else int(np.searchsorted(bounds, doc_id, side="right"))
-
-    return place
+def _place(bounds: list, key: Column) -> Column:
+    """How many bounds lie at or below a key, by halving."""
+    if not bounds:
+        return F.lit(0)
+    half = len(bounds) // 2
+    bound = F.struct(bounds[half][0].alias("doc_id"), F.lit(bounds[half][1]).alias("tie"))
+    above = _place(bounds[half + 1 :], key) + F.lit(half + 1) if bounds[half + 1 :] else F.lit(half + 1)
+    return F.when(key < bound, _place(bounds[:half], key)).otherwise(above)
 
 
 def with_next(docs: DataFrame) -> DataFrame:
     """(bucket, doc_id, text, next_text) with the text of the next lower id, and of the highest behind the lowest.
 
-    Ids are cut into ranges at the quantiles of a sample, a few ranges for each shuffle partition. Each range also gets
-    the highest row of the range below, so that every row finds its successor inside its range; texts move once.
+    Rows are cut into ranges of id and text digest at the quantiles of a sample, a few ranges for each shuffle partition,
+    so that an id (or none) on many texts is cut too. Each range also gets the highest row of the range below, so that
+    every row finds its successor inside its range; texts move once.
     """
-    spark = docs.sparkSession
+    spark, kind = docs.sparkSession, type_of(docs, "doc_id")
     rows = docs.select("doc_id", whole_text().alias("text")).withColumn("tie", F.xxhash64("text"))
+    # Of one id the least digest is the first on the way down. A missing id lies below all, as in the order of structs.
+    key = F.struct("doc_id", F.bitwise_not("tie").alias("tie"))
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ids = docs.select("doc_id").filter(F.col("doc_id").isNotNull())
-    share = min(1.0, 20 * ranges / max(ids.count(), 1))
-    sample = np.sort(np.array([r[0] for r in ids.sample(share, 1).collect()], dtype=np.int64))  # about 20 ids a range
-    bounds = np.unique(sample[np.linspace(0, len(sample) - 1, ranges + 1).astype(int)[1:-1]]) if len(sample) else sample
-    highest = {
-        r["bucket"]: r["top"]
-        for r in docs.select("doc_id", _place(bounds)(F.col("doc_id")).alias("bucket")).groupBy("bucket").agg(F.max("doc_id").alias("top")).collect()
-    }  # a row a range
+    share = min(1.0, 20 * ranges / max(docs.count(), 1))
+    sample = rows.sample(share, 1).select(key.alias("key")).select("key.*").distinct().collect()  # about 20 keys a range
+    sample.sort(key=lambda r: (r.doc_id is not None, r.doc_id if r.doc_id is not None else 0, r.tie))
+    picked = sorted({len(sample) * k // ranges for k in range(1, ranges)}) if sample else []
+    place = _place([(F.lit(sample[k].doc_id).cast(kind), sample[k].tie) for k in picked], key)
+    highest = {r["bucket"]: r["top"] for r in rows.groupBy(place.alias("bucket")).agg(F.max(key).alias("top")).collect()}  # a row a range
     order = sorted(highest)
     above = dict(zip(order, order[1:] + order[:1], strict=True))
     guests = spark.createDataFrame(
-        [(k, highest[k], above[k]) for k in order], f"bucket int, top {type_of(docs, 'doc_id')}, guest_of int"
+        [(k, highest[k], above[k]) for k in order], f"bucket int, top struct<doc_id: {kind}, tie: long>, guest_of int"
     )
-    placed = rows.withColumn("bucket", _place(bounds)(F.col("doc_id")))
+    placed = rows.withColumn("bucket", place)
     tops = F.broadcast(guests)  # a row a range
-    joined = placed.join(tops, "bucket").withColumn("is_top", F.col("doc_id").eqNullSafe(F.col("top")))
+    joined = placed.join(tops, "bucket").withColumn("is_top", key.eqNullSafe(F.col("top")))
     places = F.when(F.col("is_top"), F.array(F.struct(F.col("bucket").alias("at"), F.lit(0).alias("guest")), F.struct(F.col("guest_of").alias("at"), F.lit(1).alias("guest")))).otherwise(
         F.array(F.struct(F.col("bucket").alias("at"), F.lit(0).alias("guest")))
     )

@@ -9,6 +9,7 @@ from zlib import crc32
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from cases import AWKWARD
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -49,6 +50,28 @@ def test_ranks_survive_packing():
     assert (bpe._unpacked_ranks(bpe._packed_ranks(ranks)) == ranks).all()
 
 
+def chains_by_hand(text):
+    """Signatures of a text as strings: each anchor with the next two words that are none."""
+    words = re.findall(r"[^\W_]+", text.lower())
+    out = set()
+    for k, word in enumerate(words):
+        plain = not any(w in spotsigs.ANCHORS for w in words[max(0, k - spotsigs.GAP) : k])
+        far = plain and (k >= spotsigs.GAP or not any(w in spotsigs.ANCHORS for w in words[:k]))
+        behind = [w for w in words[k + 1 :] if w not in spotsigs.ANCHORS][:2]
+        if (word in spotsigs.ANCHORS or far) and len(behind) == 2:
+            out.add(" ".join([word, *behind]))
+    return out or ({" ".join(words) or text} if text else set())
+
+
+def test_spotsigs_signatures_equal_plain_chains():
+    rng = random.Random(11)
+    for _ in range(400):
+        share = rng.choice([0, 0.02, 0.1, 0.4, 1])
+        text = " ".join(rng.choice(["the", "of", "una", "der"]) if rng.random() < share else f"W{rng.randrange(60)}," for _ in range(rng.choice([0, 1, 2, 3, 8, 9, 20, 80])))
+        hashed = sorted(xxhash.xxh64_intdigest(s) for s in chains_by_hand(text))
+        assert spotsigs.signatures(text).tolist() == hashed
+
+
 def spotsigs_by_hand(rows):
     rows = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0)))
     for (doc_id, text), (_, following) in zip(rows, rows[1:] + rows[:1], strict=True):
@@ -68,9 +91,25 @@ def test_spotsigs_equal_a_plain_version(spark):
     assert {tuple(r) for r in spotsigs.compare_with_edit(docs).collect()} == set(spotsigs_by_hand(rows))
 
 
+def test_spotsigs_of_text_ids_and_one_id_on_many_texts(spark):
+    rows = [(f"id{k % 7:02}" if k % 3 else None, f"the text of number {k} and a few more words {k * k}") for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string").repartition(6)
+    found = spotsigs.with_next(docs).collect()
+    assert Counter((r.doc_id, r.text) for r in found) == Counter(rows)
+    following = {r.text: r.next_text for r in found}
+    at, seen = rows[0][1], []
+    for _ in rows:  # one ring through all texts
+        seen.append(at)
+        at = following[at]
+    assert at == seen[0] and len(set(seen)) == len(rows)
+    ids = dict((t, d) for d, t in rows)
+    steps = [(ids[a], ids[b]) for a, b in zip(seen, seen[1:] + seen[:1], strict=True)]
+    assert sum((a or "") < (b or "") for a, b in steps) == 1  # up only once, from the last to the first
+
+
 def test_spotsigs_signatures_are_anchored_chains():
     one, other = spotsigs.signatures("The quick fox of dark woods ran, and a hare at the pond slept. It was late by the sea."), spotsigs.signatures("the QUICK fox of dark woods ran and a hare at the pond slept it was late by the sea")
-    assert (one == other).all() and len(one) >= spotsigs.FEW
+    assert (one == other).all() and len(one) >= 5
     assert spotsigs.likeness(one, one[:0]) == 0 and spotsigs.likeness(one[:0], one[:0]) == 1
     assert spotsigs.likeness(one, one[:2], least=0.9) == 0
 
@@ -213,6 +252,25 @@ def test_folding_and_exceptions():
     assert matcher.weigh("")[0] == 0.0
 
 
+def test_few_labels_teach_terms(spark):
+    """A word in all of seven toxic documents and no clean one is a term; the floor rises with the words tested."""
+    rows = [(k, f"xy grumpkin said {k}" if k < 7 else f"a plain text of {k}") for k in range(130)]
+    marks = spark.createDataFrame([(k, 1, int(k < 7)) for k in range(130)], "doc_id long, quality int, toxic int")
+    found = toxicity.learn(spark.createDataFrame(rows, "doc_id long, text string"), marks, F.lit(True))["lexicon"]
+    assert {"xy", toxicity.fold("grumpkin")} <= found.keys()
+    assert 23 < toxicity.evidence_floor(1_000_000) < 25 and 11 < toxicity.evidence_floor(2000) < 13
+
+
+def test_exceptions_of_a_long_text_equal_a_plain_filter():
+    rng = random.Random(4)
+    for _ in range(200):
+        spans = sorted(((a := rng.randrange(60), a + rng.randrange(9)) for _ in range(rng.randrange(8))), key=lambda s: s[1])
+        hits = [(a := rng.randrange(60), a + rng.randrange(5), 1.0) for _ in range(20)]
+        assert toxicity._outside(hits, spans) == [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b in spans)]
+    matcher = toxicity.Matcher({"trash": 2.0}, ["trash", "trash can"])
+    assert matcher.weigh("trash trash can " * 30_000)[0] == 0.0
+
+
 def test_toxicity_finds_held_out_rows(spark):
     docs, marks = spark.read.parquet(f"{FOLDER}/documents.parquet"), spark.read.parquet(f"{FOLDER}/labels.parquet")
     model = toxicity.learn(docs, marks, id_hash() % 3 != 1)
