@@ -7,8 +7,10 @@ weight. Phrases of a lexicon
 word and a neighbour that clean documents hold and toxic ones hardly do become exceptions; a hit inside one does not
 count. A logistic curve over the summed weight and the summed weight per word gives the score.
 
-Learned from a sample of about SAMPLE labelled documents, chosen by the hash of the id, with one text an id; the lexicon has at most TERMS
-words and EXCEPTIONS phrases. All of that is broadcast, so its size is bounded.
+Learned from a sample of about SAMPLE labelled documents, chosen by the hash of the id, with one text an id. Lexicon and
+exceptions hold all words and phrases of that sample that pass; so the sample bounds them and what is broadcast. A word
+needs a log-likelihood ratio that not one of the sample's distinct words would reach by chance, so that few labels can
+teach terms too and many teach no accidents.
 
 Defined cases: a missing text counts as empty, an empty text scores as one without hits; without labels of both kinds
 the lexicon is empty and every score is 0; words of any length and whole texts are read; repeated rows score alike; an
@@ -17,7 +19,10 @@ empty table gives an empty result; other columns are ignored.
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Callable
+from itertools import accumulate
+from math import erfc, sqrt
 
 import ahocorasick
 import numpy as np
@@ -28,13 +33,11 @@ from pyspark.sql import functions as F
 from patronage.llm.common import map_batches, one_text_each, type_of, written
 
 SAMPLE = 20_000
-TERMS = 500
-EXCEPTIONS = 500
-#: Toxic sample documents that hold a term, at least; its log-likelihood ratio, at least (24 is passed by chance about
-#: once in a million words); and how many times its share of clean ones.
+#: Toxic sample documents that hold a term, at least, and how many times its share of clean ones.
 TERM_DOCS = 3
-TERM_EVIDENCE = 24.0
 TERM_RATIO = 20.0
+#: Summed weight beyond which a text is no more toxic for it; the weight per word still counts.
+MOST_WEIGHT = 40.0
 #: Clean documents that hold an exception, at least.
 PHRASE_DOCS = 5
 THRESHOLD = 0.7
@@ -82,6 +85,15 @@ def _spread(values: list[list], ids: pa.Array, *columns: list) -> dict:
     return {"toxic": ids.take(pa.array(at)), "key": pa.array([k for v in values for k in v], pa.string())}
 
 
+def evidence_floor(tested: int) -> float:
+    """The log-likelihood ratio that one of so many words passes by chance (chi-square of one degree of freedom)."""
+    low, high = 0.0, 100.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if erfc(sqrt(middle / 2)) * max(tested, 1) > 1 else (low, middle)
+    return high
+
+
 def _lexicon(texts: DataFrame, n_toxic: int, n_clean: int) -> dict[str, float]:
     def make() -> Callable[[pa.RecordBatch], dict]:
         return lambda batch: _spread([sorted(set(_WORDS.findall(fold(t.as_py() or "")))) for t in batch["text"]], batch["toxic"])
@@ -92,16 +104,10 @@ def _lexicon(texts: DataFrame, n_toxic: int, n_clean: int) -> dict[str, float]:
     held = F.col("toxic") + F.col("clean")
     part = lambda n, of: F.when(n > 0, n * F.log(n * (n_toxic + n_clean) / (held * of))).otherwise(0.0)
     evidence = 2 * (part(F.col("toxic"), n_toxic) + part(F.col("clean"), n_clean))
-    rows = (
-        words.groupBy("key")
-        .agg(toxic.alias("toxic"), clean.alias("clean"))
-        .withColumn("ratio", ratio)
-        .filter((F.col("toxic") >= TERM_DOCS) & (evidence >= TERM_EVIDENCE) & (F.col("ratio") >= TERM_RATIO) & (F.length("key") >= 3))
-        .orderBy(F.desc(F.col("toxic") * F.log("ratio")), "key")
-        .limit(TERMS)
-        .collect()
-    )
-    return {r["key"]: float(np.log(r["ratio"])) for r in rows}
+    counts = written(words.groupBy("key").agg(toxic.alias("toxic"), clean.alias("clean")), "toxicity-words")
+    floor = evidence_floor(counts.count())
+    rows = counts.withColumn("ratio", ratio).filter((F.col("toxic") >= TERM_DOCS) & (evidence >= floor) & (F.col("ratio") >= TERM_RATIO)).collect()
+    return {r["key"]: float(np.log(r["ratio"])) for r in sorted(rows)}
 
 
 def _exceptions(texts: DataFrame, lexicon: dict[str, float]) -> list[str]:
@@ -120,22 +126,34 @@ def _exceptions(texts: DataFrame, lexicon: dict[str, float]) -> list[str]:
         .groupBy("key")
         .agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"))
         .filter((F.col("clean") >= PHRASE_DOCS) & (F.col("clean") >= 10 * F.col("toxic")))
-        .orderBy(F.desc("clean"), "key")
-        .limit(EXCEPTIONS)
         .collect()
     )
-    return [r["key"] for r in rows]
+    return sorted(r["key"] for r in rows)
+
+
+def _outside(hits: list[tuple[int, int, float]], excepted: list[tuple[int, int]]) -> list[tuple[int, int, float]]:
+    """Hits that lie in no exception. Exceptions come in order of their ends, as the automaton finds them; of those that
+    end at a hit's end or later, the earliest start decides."""
+    ends = [b for _, b in excepted]
+    starts = list(accumulate((a for a, _ in reversed(excepted)), min))[::-1]
+    out = []
+    for hit in hits:
+        k = bisect_left(ends, hit[1])
+        if k == len(ends) or starts[k] > hit[0]:
+            out.append(hit)
+    return out
 
 
 class Matcher:
-    """Weight of the lexicon's hits in a text, less those inside exception phrases."""
+    """Weight of the lexicon's hits in a text, less those inside exception phrases. A term that is itself an exception
+    weighs nothing."""
 
     def __init__(self, lexicon: dict[str, float], exceptions: list[str]):
         self.automaton = ahocorasick.Automaton()
-        for phrase in exceptions:
-            self.automaton.add_word(phrase, (len(phrase), None))
         for term, weight in lexicon.items():
             self.automaton.add_word(term, (len(term), weight))
+        for phrase in exceptions:
+            self.automaton.add_word(phrase, (len(phrase), None))
         if len(self.automaton):
             self.automaton.make_automaton()
 
@@ -155,13 +173,11 @@ class Matcher:
                 excepted.append((start, end))
             else:
                 hits.append((start, end, weight))
-        if excepted:
-            hits = [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b in excepted)]
-        return sum(w for _, _, w in hits), n_words
+        return sum(w for _, _, w in (_outside(hits, excepted) if excepted else hits)), n_words
 
 
 def _inputs(weight: np.ndarray, n_words: np.ndarray) -> np.ndarray:
-    return np.stack([np.ones_like(weight), np.minimum(weight, 40) / 10, 100 * weight / np.maximum(n_words, 50) / 10], axis=1)
+    return np.stack([np.ones_like(weight), np.minimum(weight, MOST_WEIGHT) / 10, 100 * weight / np.maximum(n_words, 50) / 10], axis=1)
 
 
 def _fit(x: np.ndarray, y: np.ndarray, steps: int = 60, ridge: float = 0.02) -> np.ndarray:
@@ -215,5 +231,5 @@ def score(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> DataFra
     else:
         bias, by_sum, by_share = model["curve"]
         share = 10 * F.col("weight") / F.greatest("n_words", F.lit(50))
-        value = 1 / (1 + F.exp(-(bias + by_sum * F.least("weight", F.lit(40.0)) / 10 + by_share * share)))
+        value = 1 / (1 + F.exp(-(bias + by_sum * F.least("weight", F.lit(MOST_WEIGHT)) / 10 + by_share * share)))
     return weighed.select("doc_id", value.alias("score"), (value >= threshold).cast("int").alias("predicted"))
