@@ -1,5 +1,6 @@
 """Helpers that several text operators share."""
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -79,5 +80,12 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dic
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return freed memory to the system. Workers live on between tasks, and what they hold counts for their executor."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def type_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()

@@ -40,7 +40,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patronage.llm.common import map_batches, type_of, written
+from patronage.llm.common import give_back, map_batches, type_of, written
 from patronage.llm.components import components
 
 #: A text's set, and a task's maker of the function from a set to its index keys.
@@ -51,7 +51,7 @@ MakeKeys = Callable[[], Callable[[np.ndarray], np.ndarray]]
 FEW = 8
 BLOCK = 1000
 #: Index keys that a task packs together.
-BLOCK_KEYS = 2_000_000
+BLOCK_KEYS = 1_000_000
 #: Members of sets for each bucket of index keys.
 BUCKET_MEMBERS = 4_000_000
 #: Sketch bits for each member in which similar sets may differ.
@@ -217,6 +217,8 @@ def _indexed(docs: DataFrame, items_of: Items, make_keys: MakeKeys, buckets: int
                     n_keys = 0
         if keys:
             yield closed()
+        met.clear()
+        give_back()
 
     return docs.select("text").mapInArrow(run, "bucket int, nodes binary, keys binary, at binary")
 
@@ -273,6 +275,7 @@ def candidates(docs: DataFrame, items_of: Items, make_keys: MakeKeys, members: i
                 nodes.append(np.frombuffer(held, dtype=np.int64)[_unpacked(places).astype(np.int64)])
         if keys:
             yield closed()
+        give_back()
 
     return rows.mapInArrow(run, "large long, a long, b long")
 
