@@ -33,14 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from patronage.llm.common import type_of, written
+from patronage.llm.common import give_back, type_of, written
 
 BLOCK_CHARS = 32_000_000
 #: Estimated memory of a block's words and sequence at which it is closed, whatever its characters.
-BLOCK_BYTES = 96_000_000
+BLOCK_BYTES = 224_000_000
 #: Ranks packed or unpacked at a time.
 _SLICE = 1 << 20
-#: Distinct words a task remembers before it starts anew.
+#: Distinct words of a bucket that a task remembers before it starts anew.
 REMEMBERED = 1_000_000
 
 #: The tokenizer's split for the scripts where this module's characters classes surely agree with the tokenizer's.
@@ -216,6 +216,8 @@ def blocks_of(docs: DataFrame, definition: str, buckets: int, block_chars: int =
                     block = _Block(block.number + 1)
         if block.ids:
             yield pa.RecordBatch.from_pylist([block.row(buckets)], arrow_kind)
+        del block
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
@@ -227,18 +229,21 @@ def _arrow_type(docs: DataFrame) -> pa.DataType:
 
 
 def encode_words(parts: DataFrame, definition: str) -> DataFrame:
-    """(block, bucket, lengths, ids) for rows of (block, bucket, words) that lie together by bucket."""
+    """(block, bucket, lengths, ids) for rows of (block, bucket, words) that follow each other by bucket. No word stands
+    in two buckets, so a task forgets a bucket's words behind it."""
     schema = "block long, bucket int, lengths binary, ids binary"
 
     def run(batches):
         tokenizer = Tokenizer.from_str(definition)
         known: dict[str, list[int]] = {}
+        at = None
         for batch in batches:
             lengths, ids = [], []
-            for packed in batch["words"]:
+            for bucket, packed in zip(batch["bucket"].to_pylist(), batch["words"], strict=True):
                 words = _unpack_words(packed.as_py())
-                if len(known) > REMEMBERED:
+                if bucket != at or len(known) > REMEMBERED:
                     known.clear()
+                at = bucket
                 fresh = [w for w in words if w not in known]
                 for word, found in zip(fresh, tokenizer.encode_batch(fresh, add_special_tokens=False), strict=True):
                     known[word] = found.ids
@@ -246,6 +251,8 @@ def encode_words(parts: DataFrame, definition: str) -> DataFrame:
                 lengths.append(_packed(np.fromiter(map(len, found), dtype=np.uint32, count=len(found))))
                 ids.append(_packed(np.array([k for f in found for k in f], dtype=np.uint32)))
             yield pa.RecordBatch.from_pydict({"block": batch["block"], "bucket": batch["bucket"], "lengths": pa.array(lengths, pa.binary()), "ids": pa.array(ids, pa.binary())})
+        known.clear()
+        give_back()
 
     return parts.mapInArrow(run, schema)
 
@@ -280,13 +287,16 @@ def _joined(docs: DataFrame, definition: str, columns: str, make: Callable[[], C
     spark = docs.sparkSession
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = written(blocks_of(docs, definition, buckets, block_chars), "bpe-blocks")
-    parts = blocks.select("block", F.posexplode("parts").alias("bucket", "words")).repartition("bucket")
+    parts = blocks.select("block", F.posexplode("parts").alias("bucket", "words")).repartition("bucket").sortWithinPartitions("bucket")
     encoded = encode_words(parts, definition)
     id_type = _arrow_type(docs)
 
     def join(block: pa.Table, found: pa.Table) -> pa.Table:
         ids, tokens = _sequences(block, found)
-        return pa.table({"doc_id": pa.array(ids, id_type)} | make()(tokens))
+        out = pa.table({"doc_id": pa.array(ids, id_type)} | make()(tokens))
+        del tokens
+        give_back()
+        return out
 
     left = blocks.select("block", "ids", "counts", "sequence", "buckets").groupBy("block")
     return left.cogroup(encoded.groupBy("block")).applyInArrow(join, f"doc_id {type_of(docs, 'doc_id')}, {columns}")
