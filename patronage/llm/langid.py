@@ -3,11 +3,13 @@
 A word that the word table knows scores its log frequency in each language. An unseen word is read from its start: the
 longest known n-gram at a place is taken (GRAM_SIZES from long to short), its log frequencies are added less a penalty
 for each order given up, and reading goes on behind it; a letter that no table knows adds the floor. Word scores are
-averaged, and the softmax of that average, weighted by the number of words up to EVIDENCE, gives the score.
+averaged, and the softmax of that average, weighted by the square root of the number of words, gives the score: words of
+one text are no independent draws, so certainty grows slower than their number, and at every length by the same law.
 
 Tables are learned from a sample of labelled documents: about DOCS_PER_LANGUAGE of each language, chosen by the hash of
-the id, with WORDS_PER_LANGUAGE words and GRAMS_PER_LANGUAGE n-grams of each order. Languages are taken to be as few as
-the languages of the world, so tables have a bounded size; they are broadcast to the tasks that score.
+the id. They hold every word and n-gram of the sample, as sorted digests with the languages that have them, so their
+size follows the sample and not the number of languages times keys. Languages are taken to be as few as the languages
+of the world; the tables are broadcast to the tasks that score.
 
 Defined cases: a missing text, or one without a letter, gets UNKNOWN and score 0, as does every text when nothing was
 learned; equal scores go to the first language by name; repeated rows are scored alike; an empty table gives an empty
@@ -15,27 +17,26 @@ result; other columns are ignored.
 """
 
 import re
-from collections.abc import Callable
-from math import log
+from array import array
+from collections.abc import Callable, Iterable, Mapping
+from math import log, sqrt
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from patronage.llm.common import id_hash, map_batches, type_of, whole_text
 
 UNKNOWN = "und"
 DOCS_PER_LANGUAGE = 3000
-WORDS_PER_LANGUAGE = 20_000
-GRAMS_PER_LANGUAGE = 5_000
 GRAM_SIZES = (4, 3, 2, 1)
 #: Taken off for each order that is given up.
 BACKOFF = 0.9
-EVIDENCE = 20
-#: Distinct words whose scores a task remembers before it starts anew.
-REMEMBERED = 400_000
+#: Scores (words times languages) that a task remembers, and words, before it starts anew.
+REMEMBERED_SCORES = 16_000_000
+REMEMBERED_WORDS = 400_000
 
 _RUNS = re.compile(r"[^\W\d_]+")
 
@@ -55,11 +56,6 @@ def _sized(size: int) -> Callable[[Column], Column]:
     return lambda gram: F.struct(F.lit(size).alias("size"), gram.alias("gram"))
 
 
-def _most_frequent(counts: DataFrame, key: str, keep: int, *by: str) -> DataFrame:
-    order = W.partitionBy("lang", *by).orderBy(F.desc("n"), key)
-    return counts.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= keep).drop("place")
-
-
 def learn(docs: DataFrame, usable: Column) -> dict:
     """Tables of log frequencies: words, and n-grams of each size, over the languages in order of name."""
     words = (
@@ -77,36 +73,69 @@ def learn(docs: DataFrame, usable: Column) -> dict:
         .groupBy("lang", "size", "gram")
         .agg(F.sum("n").alias("n"))
     )
-    kept_words = _most_frequent(words, "word", WORDS_PER_LANGUAGE).select("lang", F.lit(0).alias("size"), F.col("word").alias("key"), "n")
-    kept_grams = _most_frequent(grams, "gram", GRAMS_PER_LANGUAGE, "size").select("lang", "size", F.col("gram").alias("key"), "n")
-    rows = kept_words.unionByName(kept_grams).collect()  # bounded by the three limits above
-    languages = sorted({r["lang"] for r in rows})
-    return {"languages": languages, "tables": _tables(rows, languages)}
-
-
-def _tables(rows: list, languages: list[str]) -> dict[int, dict[str, np.ndarray]]:
-    """For each size (0: words) a table from key to log frequencies; half a count for a language that lacks the key."""
+    keys = words.select("lang", F.lit(0).alias("size"), F.col("word").alias("key"), "n").unionByName(
+        grams.select("lang", "size", F.col("gram").alias("key"), "n")
+    )
+    found = keys.toArrow()  # bounded by the sample
+    languages = sorted(found["lang"].unique().to_pylist())
+    return {"languages": languages, "tables": _tables((r for part in found.to_batches() for r in part.to_pylist()), languages)}
+
+
+class Table:
+    """Log frequencies of keys by language: sorted key digests, and for each the languages that have the key.
+
+    A language that lacks a key counts it half a time. Digests have 64 bits: among some million keys two are equal with
+    a chance below one in a million.
+    """
+
+    def __init__(self, keys: array, places: array, counts: array, languages: int):
+        digests, place = np.array(keys, dtype=np.uint64), np.array(places, dtype=np.uint32)
+        order = np.lexsort((place, digests))
+        digests, self.place = digests[order], place[order]
+        n = np.array(counts, dtype=np.float64)[order] + 0.5
+        self.digests, first = np.unique(digests, return_index=True)
+        self.bounds = np.append(first, len(digests))
+        lacking = 0.5 * (len(self.digests) - np.bincount(self.place, minlength=languages))
+        total = np.log(np.maximum(np.bincount(self.place, weights=n, minlength=languages) + lacking, 0.5))  # 0.5: no key
+        self.lacking = (log(0.5) - total).astype(np.float32)
+        self.logs = (np.log(n) - total[self.place]).astype(np.float32)
+
+    def get(self, key: str) -> np.ndarray | None:
+        digest = np.uint64(_digest(key))
+        at = self.digests.searchsorted(digest)
+        if at == len(self.digests) or self.digests[at] != digest:
+            return None
+        start, end = self.bounds[at], self.bounds[at + 1]
+        scores = self.lacking.copy()
+        scores[self.place[start:end]] = self.logs[start:end]
+        return scores
+
+
+def _digest(key: str) -> int:
+    return xxhash.xxh64_intdigest(key.encode("utf-8", "surrogatepass"))
+
+
+def _tables(rows: Iterable[Mapping], languages: list[str]) -> dict[int, Table]:
+    """For each size (0: words) the table of its keys."""
     place = {lang: k for k, lang in enumerate(languages)}
-    counts: dict[int, dict[str, np.ndarray]] = {}
+    columns: dict[int, tuple[array, array, array]] = {}
     for r in rows:
-        table = counts.setdefault(r["size"], {})
-        if r["key"] not in table:
-            table[r["key"]] = np.full(len(languages), 0.5)
-        table[r["key"]][place[r["lang"]]] += r["n"]
-    out = {}
-    for size, table in counts.items():
-        total = np.log(sum(table.values()))
-        out[size] = {key: (np.log(n) - total).astype(np.float32) for key, n in table.items()}
-    return out
+        keys, places, counts = columns.setdefault(r["size"], (array("Q"), array("L"), array("Q")))
+        keys.append(_digest(r["key"]))
+        places.append(place[r["lang"]])
+        counts.append(r["n"])
+    return {size: Table(*lists, len(languages)) for size, lists in columns.items()}
 
 
 class Scorer:
     """Scores words by the tables; remembers the scores of the words it met."""
 
     def __init__(self, model: dict):
-        self.words = model["tables"].get(0, {})
-        self.grams = {size: model["tables"].get(size, {}) for size in GRAM_SIZES}
         n = len(model["languages"])
+        none = Table(array("Q"), array("L"), array("Q"), n)
+        self.words = model["tables"].get(0, none)
+        self.grams = {size: model["tables"].get(size, none) for size in GRAM_SIZES}
+        self.remembered = min(REMEMBERED_WORDS, REMEMBERED_SCORES // max(n, 1))
         self.floor = np.full(n, log(1e-7), dtype=np.float32)
         self.forget()
 
@@ -119,7 +148,7 @@ class Scorer:
         pieces = 0
         while at < end:
             for given_up, size in enumerate(GRAM_SIZES):
-                if (found := self.grams[size].get(word[at : at + size])) is not None and at + size <= end:
+                if at + size <= end and (found := self.grams[size].get(word[at : at + size])) is not None:
                     total = total + found
                     if given_up:
                         total -= BACKOFF * given_up
@@ -147,7 +176,7 @@ def _predicted(text: str | None, model: dict, scorer: Scorer) -> tuple[str, floa
     words = _RUNS.findall(text.lower()) if text else []
     if not words or not model["languages"] or not any(c.isalpha() for w in words for c in w):
         return UNKNOWN, 0.0
-    mean = scorer.mean(words) * min(len(words), EVIDENCE)
+    mean = scorer.mean(words) * sqrt(len(words))
     odds = np.exp(mean - mean.max())
     best = int(mean.argmax())
     return model["languages"][best], float(odds[best] / odds.sum())
@@ -163,7 +192,7 @@ def identify(docs: DataFrame, model: dict) -> DataFrame:
         def step(batch: pa.RecordBatch) -> dict:
             langs, scores = [], []
             for text in batch["text"]:
-                if len(scorer.place) > REMEMBERED:
+                if len(scorer.place) > scorer.remembered:
                     scorer.forget()
                 lang, score = _predicted(text.as_py(), held.value, scorer)
                 langs.append(lang)

@@ -1,6 +1,7 @@
 """Operators that judge or encode each row: against plain versions, and awkward rows."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -9,6 +10,7 @@ from zlib import crc32
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import xxhash
 from cases import AWKWARD
 from pyspark.sql import functions as F
@@ -321,6 +323,63 @@ def test_language_of_held_out_rows(spark):
     assert sum(r.lang == r.lang_pred for r in rows) >= 0.98 * len(rows)
 
 
+def plain_language(texts, sample):
+    """Language and score of every text, from counts kept in plain dictionaries, one language at a time."""
+    counts = {}
+    for lang, text in sample:
+        for word in regex.findall(r"\p{L}+", (text or "").lower()):
+            keys = [(0, word)] + [(k, word[i : i + k]) for k in (1, 2, 3, 4) for i in range(len(word) - k + 1)]
+            counts.setdefault(lang, Counter()).update(keys)
+    known = set().union(*counts.values()) if counts else set()
+    sizes = Counter(size for size, _ in known)
+    totals = {(lang, k): sum(n for (size, _), n in c.items() if size == k) + sizes[k] / 2 for lang, c in counts.items() for k in range(5)}
+
+    def score_of(lang, word):
+        def part(key):
+            return math.log((counts[lang][key] + 0.5) / totals[lang, key[0]])
+
+        if (0, word) in known:
+            return part((0, word))
+        at, parts = 0, []
+        while at < len(word):
+            size = next((k for k in (4, 3, 2, 1) if at + k <= len(word) and (k, word[at : at + k]) in known), None)
+            parts.append(math.log(1e-7) if size is None else part((size, word[at : at + size])) - 0.9 * (4 - size))
+            at += size or 1
+        return sum(parts) / len(parts)
+
+    out = []
+    for text in texts:
+        words = re.findall(r"[^\W\d_]+", (text or "").lower())
+        if not counts or not any(c.isalpha() for w in words for c in w):
+            out.append(("und", 0.0))
+            continue
+        means = {lang: sum(score_of(lang, w) for w in words) / len(words) * len(words) ** 0.5 for lang in sorted(counts)}
+        best = max(means, key=means.get)
+        out.append((best, 1 / sum(math.exp(m - means[best]) for m in means.values())))
+    return out
+
+
+def test_language_equals_the_plain_version(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    held_out = langid.in_fold(5, 0)
+    rows = langid.identify(docs, langid.learn(docs, ~held_out)).withColumn("held_out", held_out).collect()
+    raw = {r.doc_id: (r.lang, r.text) for r in docs.collect()}
+    plain = plain_language([raw[r.doc_id][1] for r in rows], [raw[r.doc_id] for r in rows if not r.held_out and raw[r.doc_id][0] is not None])
+    assert len(rows) == len(raw) and [r.lang_pred for r in rows] == [lang for lang, _ in plain]
+    assert [r.score for r in rows] == pytest.approx([score for _, score in plain], abs=1e-3)
+
+
+def test_language_learns_every_word_of_many_languages(spark):
+    # 300 languages of 40 words of their own, each seen once: no word is too rare and no language one too many.
+    texts = {f"l{k:03d}": " ".join("".join(chr(97 + int(c)) for c in f"{k * 40 + i:07d}") for i in range(40)) for k in range(300)}
+    docs = spark.createDataFrame([(k, t, lang) for k, (lang, t) in enumerate(texts.items())], "doc_id long, text string, lang string")
+    model = langid.learn(docs, F.lit(True))
+    assert len(model["languages"]) == 300 and len(model["tables"][0].digests) == 12_000 == len(model["tables"][0].place)
+    parts = docs.withColumn("text", F.explode(F.split("text", " ")))
+    rows = langid.identify(parts.withColumnsRenamed({"doc_id": "id", "lang": "doc_id"}), model).collect()
+    assert len(rows) == 12_000 and all(r.lang_pred == r.doc_id for r in rows)
+
+
 def test_language_backs_off_to_n_grams():
     counts = [("de", 0, "und", 5), ("en", 0, "and", 5), ("de", 3, "sch", 4), ("en", 3, "ing", 4), ("de", 1, "s", 2), ("en", 1, "i", 3)]
     model = {"languages": ["de", "en"], "tables": langid._tables([dict(zip(("lang", "size", "key", "n"), c, strict=True)) for c in counts], ["de", "en"])}
