@@ -81,24 +81,34 @@ def learn(docs: DataFrame, usable: Column) -> dict:
     return {"languages": languages, "tables": _tables((r for part in found.to_batches() for r in part.to_pylist()), languages)}
 
 
-class Table:
+def _packed(keys: array, places: array, counts: array, languages: int) -> dict[str, np.ndarray]:
     """Log frequencies of keys by language: sorted key digests, and for each the languages that have the key.
 
     A language that lacks a key counts it half a time. Digests have 64 bits: among some million keys two are equal with
-    a chance below one in a million.
+    a chance below one in a million. Plain arrays, so that workers need no class of this module to read the broadcast.
     """
+    digests, place = np.array(keys, dtype=np.uint64), np.array(places, dtype=np.uint32)
+    order = np.lexsort((place, digests))
+    digests, place = digests[order], place[order]
+    n = np.array(counts, dtype=np.float64)[order] + 0.5
+    single, first = np.unique(digests, return_index=True)
+    lacking = 0.5 * (len(single) - np.bincount(place, minlength=languages))
+    total = np.log(np.maximum(np.bincount(place, weights=n, minlength=languages) + lacking, 0.5))  # 0.5: no key
+    return {
+        "digests": single,
+        "bounds": np.append(first, len(digests)),
+        "place": place,
+        "logs": (np.log(n) - total[place]).astype(np.float32),
+        "lacking": (log(0.5) - total).astype(np.float32),
+    }
+
+
+class Table:
+    """Looks keys up in packed log frequencies."""
 
-    def __init__(self, keys: array, places: array, counts: array, languages: int):
-        digests, place = np.array(keys, dtype=np.uint64), np.array(places, dtype=np.uint32)
-        order = np.lexsort((place, digests))
-        digests, self.place = digests[order], place[order]
-        n = np.array(counts, dtype=np.float64)[order] + 0.5
-        self.digests, first = np.unique(digests, return_index=True)
-        self.bounds = np.append(first, len(digests))
-        lacking = 0.5 * (len(self.digests) - np.bincount(self.place, minlength=languages))
-        total = np.log(np.maximum(np.bincount(self.place, weights=n, minlength=languages) + lacking, 0.5))  # 0.5: no key
-        self.lacking = (log(0.5) - total).astype(np.float32)
-        self.logs = (np.log(n) - total[self.place]).astype(np.float32)
+    def __init__(self, packed: dict[str, np.ndarray]):
+        self.digests, self.bounds, self.place = packed["digests"], packed["bounds"], packed["place"]
+        self.logs, self.lacking = packed["logs"], packed["lacking"]
 
     def get(self, key: str) -> np.ndarray | None:
         digest = np.uint64(_digest(key))
@@ -115,8 +125,8 @@ def _digest(key: str) -> int:
     return xxhash.xxh64_intdigest(key.encode("utf-8", "surrogatepass"))
 
 
-def _tables(rows: Iterable[Mapping], languages: list[str]) -> dict[int, Table]:
-    """For each size (0: words) the table of its keys."""
+def _tables(rows: Iterable[Mapping], languages: list[str]) -> dict[int, dict[str, np.ndarray]]:
+    """For each size (0: words) the packed table of its keys."""
     place = {lang: k for k, lang in enumerate(languages)}
     columns: dict[int, tuple[array, array, array]] = {}
     for r in rows:
@@ -124,7 +134,7 @@ def _tables(rows: Iterable[Mapping], languages: list[str]) -> dict[int, Table]:
         keys.append(_digest(r["key"]))
         places.append(place[r["lang"]])
         counts.append(r["n"])
-    return {size: Table(*lists, len(languages)) for size, lists in columns.items()}
+    return {size: _packed(*lists, len(languages)) for size, lists in columns.items()}
 
 
 class Scorer:
@@ -132,9 +142,9 @@ class Scorer:
 
     def __init__(self, model: dict):
         n = len(model["languages"])
-        none = Table(array("Q"), array("L"), array("Q"), n)
-        self.words = model["tables"].get(0, none)
-        self.grams = {size: model["tables"].get(size, none) for size in GRAM_SIZES}
+        none = _packed(array("Q"), array("L"), array("Q"), n)
+        self.words = Table(model["tables"].get(0, none))
+        self.grams = {size: Table(model["tables"].get(size, none)) for size in GRAM_SIZES}
         self.remembered = min(REMEMBERED_WORDS, REMEMBERED_SCORES // max(n, 1))
         self.floor = np.full(n, log(1e-7), dtype=np.float32)
         self.forget()

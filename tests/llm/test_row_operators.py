@@ -374,7 +374,7 @@ def test_language_learns_every_word_of_many_languages(spark):
     texts = {f"l{k:03d}": " ".join("".join(chr(97 + int(c)) for c in f"{k * 40 + i:07d}") for i in range(40)) for k in range(300)}
     docs = spark.createDataFrame([(k, t, lang) for k, (lang, t) in enumerate(texts.items())], "doc_id long, text string, lang string")
     model = langid.learn(docs, F.lit(True))
-    assert len(model["languages"]) == 300 and len(model["tables"][0].digests) == 12_000 == len(model["tables"][0].place)
+    assert len(model["languages"]) == 300 and len(model["tables"][0]["digests"]) == 12_000 == len(model["tables"][0]["place"])
     parts = docs.withColumn("text", F.explode(F.split("text", " ")))
     rows = langid.identify(parts.withColumnsRenamed({"doc_id": "id", "lang": "doc_id"}), model).collect()
     assert len(rows) == 12_000 and all(r.lang_pred == r.doc_id for r in rows)
