@@ -84,3 +84,29 @@ def test_grade_matrix_is_registered_over_all_periods(spark):
     test_rows_match_sql(spark, "m12_grade_matrix_all_periods")
     found = QUERIES["m12_grade_matrix_all_periods"](spark, FOLDER).select("rangetype").distinct().collect()
     assert sorted(r[0] for r in found) == [1, 2, 3, 4, 5]
+
+
+@needs_data
+def test_every_member_of_a_caring_shop_is_reached(spark):
+    """The SQL without contacts and accounts: each member is a customer of the shop that opened the card."""
+    test_rows_match_sql(spark, "e8_festival_members")
+    assert "EXISTS" not in contract.oracle_sql()["e8_festival_members"]
+
+
+def test_card_holders_have_an_account_without_a_trade(spark, tmp_path):
+    """A member of the nation's first shop, whose only trades and prospect shop are elsewhere."""
+    from patronage.sources.testtables import Tables
+
+    rows = {
+        "nation": ([(1, "N", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+        "supplier": ([(1, "S1", 1), (2, "S2", 1)], "s_suppkey long, s_name string, s_nationkey int"),
+        "customer": ([(1, "C1", 1)], "c_custkey long, c_name string, c_nationkey int"),
+        "orders": ([], "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string, o_orderdate timestamp_ntz, o_totalprice double"),
+        "lineitem": ([], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_returnflag string, l_shipdate timestamp_ntz"),
+    }
+    for name, (values, schema) in rows.items():
+        spark.createDataFrame(values, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    t = Tables(spark, str(tmp_path))
+    assert [r.uni_shop_id for r in t.shop_customer.collect()] == ["N|2"]
+    assert sorted(r.uni_shop_id for r in t.customer_account.collect()) == ["N|1", "N|2"]
+    assert [(r.tenant, r.uni_id) for r in t.customer_contact.collect()] == [("T0", "1")]
