@@ -110,3 +110,11 @@ def test_card_holders_have_an_account_without_a_trade(spark, tmp_path):
     assert [r.uni_shop_id for r in t.shop_customer.collect()] == ["N|2"]
     assert sorted(r.uni_shop_id for r in t.customer_account.collect()) == ["N|1", "N|2"]
     assert [(r.tenant, r.uni_id) for r in t.customer_contact.collect()] == [("T0", "1")]
+
+
+@needs_data
+@pytest.mark.parametrize("name", ["k5_publish_all_reports", "w13_final_of_parts"])
+def test_shared_stages_are_read_from_storage(spark, name):
+    """Without stored stages each reader of the wide rows, or of the aged ones, would scan the raw lines again."""
+    plan = plan_of(QUERIES[name](spark, FOLDER))
+    assert plan.count("lineitem.parquet") <= 2
