@@ -5,11 +5,11 @@ and one of the whole corpus, give each bucket a log ratio; a document's ratio is
 is kept if it passes the base rules and its ratio reaches the threshold, which is set once: the ratio that all but a
 small share of the trusted documents reach.
 
-Corpus counts cover every n-gram of every document. The trusted side is a sample of about TRUSTED labelled ids, chosen
-by the hash of the id and few enough to broadcast. Only the fixed number of bucket weights passes the driver.
+Counts cover every n-gram of every document, and of every document that is labelled good. Texts move at most once, to
+meet the labels; ratios are made where the documents lie and meet the labels as a number an id. Only the fixed number of
+bucket weights and two ratios pass the driver.
 
-Everything is DataFrame functions on arrays within a row, so a text of any length stays in its row and nothing but
-bucket counts is shuffled. Repeated windows are found by sorting 64-bit hashes of which the lower bits, as many as the
+Everything is DataFrame functions on arrays within a row, so a text of any length stays in its row. Repeated windows are found by sorting 64-bit hashes of which the lower bits, as many as the
 text's length needs, hold the place; equal neighbours are compared by their full hashes.
 
 Defined cases: a missing text has no words; a text with fewer than MIN_WORDS words fails the base rules; without trusted
@@ -17,15 +17,14 @@ documents all weights are 0 and the base rules alone decide; repeated rows are j
 empty result; other columns are ignored.
 """
 
-from math import log
+from math import ceil, floor, log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patronage.llm.common import whole_text
+from patronage.llm.common import whole_text, written
 
 BITS = 14
-TRUSTED = 20_000
 #: Share of trusted documents that may fall below the threshold.
 BELOW = 0.0005
 MIN_WORDS = 50
@@ -105,19 +104,16 @@ def _grams(hashes: Column, bits: int) -> Column:
     return F.when(F.size(hashes) >= 2, F.concat(single, pairs)).otherwise(single)
 
 
-def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:
-    """About `most` ids that are labelled good, few enough to broadcast."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """The ids that are labelled good."""
     good = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull())
-    good = good.select(F.col("doc_id").alias("trusted_id")).distinct()
-    place = F.crc32(F.concat(F.lit("sample:"), F.col("trusted_id").cast("string")))
-    share = min(1.0, most / max(good.count(), 1))
-    return good.filter(place < int((1 << 32) * share))
+    return good.select(F.col("doc_id").alias("trusted_id")).distinct()
 
 
 def bucket_weights(docs: DataFrame, trusted: DataFrame, bits: int = BITS) -> list[float]:
     """Log ratio of trusted to raw probability of each bucket, each smoothed by one count for a bucket."""
     docs = docs.select("doc_id", "text")
-    marked = docs.join(F.broadcast(trusted), docs["doc_id"] == trusted["trusted_id"], "left").select(
+    marked = docs.join(trusted, docs["doc_id"] == trusted["trusted_id"], "left").select(
         hashes_of(words_of(whole_text())).alias("hashes"), F.col("trusted_id").isNotNull().cast("long").alias("is_trusted")
     )
     # The outer form, as the plain one adds a filter on the array's size that builds the array a second time.
@@ -147,15 +143,27 @@ def _ratio(hashes: Column, weights: list[float], bits: int) -> Column:
     return F.when(n >= 2, (single + pairs) / (2 * n - 1)).when(n == 1, single).otherwise(0.0)
 
 
-def learn(docs: DataFrame, labels: DataFrame, most: int = TRUSTED, bits: int = BITS, below: float = BELOW) -> dict:
+def _reached(ratios: DataFrame, below: float) -> float | None:
+    """The ratio at the share `below` of the rows in rising order, between two rows in proportion. Besides the few smallest,
+    as many as the share asks for, no task holds any."""
+    last = ratios.count() - 1
+    if last < 0:
+        return None
+    place = last * below
+    smallest = ratios.orderBy("ratio").limit(ceil(place) + 1)
+    high, *rest = [r["ratio"] for r in smallest.orderBy(F.desc("ratio")).limit(2).collect()]
+    low = rest[0] if place > floor(place) else high
+    return low + (high - low) * (place - floor(place))
+
+
+def learn(docs: DataFrame, labels: DataFrame, bits: int = BITS, below: float = BELOW) -> dict:
     """Bucket weights and the threshold that all but `below` of the trusted documents reach."""
-    trusted = trusted_ids(labels, most)
+    trusted = trusted_ids(labels)
     weights = bucket_weights(docs, trusted, bits)
-    docs = docs.select("doc_id", "text")
-    good = docs.join(F.broadcast(trusted), docs["doc_id"] == trusted["trusted_id"])
-    split = good.select(hashes_of(words_of(whole_text())).alias("hashes"))
-    least = split.select(_ratio(F.col("hashes"), weights, bits).alias("ratio"), F.size("hashes").alias("n")).filter(F.col("n") >= MIN_WORDS)
-    cut = least.agg(F.percentile("ratio", F.lit(below))).first()[0]
+    split = docs.select("doc_id", hashes_of(words_of(whole_text())).alias("hashes")).filter("doc_id IS NOT NULL")
+    every = split.filter(F.size("hashes") >= MIN_WORDS).select("doc_id", _ratio(F.col("hashes"), weights, bits).alias("ratio"))
+    ratios = written(every.join(trusted, every["doc_id"] == trusted["trusted_id"]).select("ratio"), "op7-ratios")
+    cut = _reached(ratios, below)
     return {"weights": weights, "threshold": float("-inf") if cut is None else cut, "bits": bits}
 
 

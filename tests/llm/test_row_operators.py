@@ -405,3 +405,20 @@ def test_id_hash_and_word_count(awkward):
 @pytest.mark.parametrize("text", ["", " ", "a", " a", "a ", " a b\x0b\x0cc "])
 def test_word_count_of_ends(spark, text):
     assert spark.createDataFrame([(text,)], "text string").select(word_count()).first()[0] == len(text.split(" ".strip() or None))
+
+
+def test_every_trusted_document_counts(spark):
+    """More good labels than the 20,000 that were once sampled, and the exact share of them for the threshold."""
+    docs = spark.range(20_500).select(F.col("id").alias("doc_id"), F.concat(F.lit("w "), F.col("id").cast("string")).alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    trusted = importance.trusted_ids(labels)
+    assert trusted.count() == 20_500
+    weights = importance.bucket_weights(docs, trusted, bits=8)
+    assert max(map(abs, weights)) < 1e-9  # trusted and raw are the same documents
+
+
+@pytest.mark.parametrize("n, below", [(1, 0.0005), (10, 0.25), (11, 0.1), (4001, 0.0005), (7, 1.0)])
+def test_threshold_is_the_exact_percentile(spark, n, below):
+    ratios = spark.range(n).select(F.sin(F.col("id").cast("double")).alias("ratio"))
+    assert importance._reached(ratios, below) == pytest.approx(ratios.agg(F.percentile("ratio", F.lit(below))).first()[0], abs=1e-12)
+    assert importance._reached(ratios.limit(0), below) is None
