@@ -83,7 +83,7 @@ def write_history(store: Store, customers: DataFrame, day: date, tenants: list[s
 
 
 def write_levels(store: Store, scope: Scope) -> None:
-    store.table("wide").commit(rfm_wide.all_levels(store.read("shop_rfm", scope)), scope)
+    store.table("wide").commit(rfm_wide.whole_levels(store.read("shop_rfm", scope)), scope)
 
 
 def land(store: Store, raw: DataFrame, day: date) -> DataFrame:

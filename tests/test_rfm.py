@@ -144,3 +144,44 @@ def test_late_trade_before_between_and_long_ago(trades, customers):
     assert (rows["a"].first_buy_time, rows["a"].first_payment, rows["a"].second_buy_time) == (at("2019-01-01"), 7, at("2019-01-05"))
     assert (rows["b"].first_payment, rows["b"].second_buy_time) == (10, at("2019-02-01"))
     assert (rows["c"].first_buy_time, rows["c"].btyear_payment, rows["c"].second_buy_time) == (at("2015-01-01"), 7, at("2019-01-05"))
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_snapshots_meet_late_rows_where_they_lie(spark, trades, customers):
+    """Only the late rows move: no shuffle or sort by customer and snapshot."""
+    known = customers([("P|1", "c"), ("P|2", "c")])
+    snapshots = rfm_wide.month_end_rfm(known, trades([("P|1", "c", 1, 5, "2020-01-05")]), month_ends(DAY))
+    late = spark.createDataFrame(snapshots.limit(1).collect(), snapshots.schema)
+    patched = rfm_late.late_patch(snapshots, late, late.limit(0))
+    plan = plan_of(patched)
+    assert "SortMergeJoin" not in plan.split("ShuffledHashJoin")[0]
+    assert not [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "stat_date" in line]
+
+
+def test_late_rows_of_one_customer_and_several_month_ends(spark, trades, customers):
+    """A late customer without a stored row, one with a row at some month ends only, and one without late trades."""
+    ends = month_ends(DAY, 3)
+    known = customers([("P|1", "a"), ("P|1", "b"), ("P|2", "a")])
+    base = trades([("P|1", "a", 1, 5, "2019-01-05"), ("P|2", "a", 2, 7, "2019-02-05")])
+    delta = trades([("P|1", "a", 3, 2, "2018-01-05"), ("P|1", "b", 4, 3, "2019-03-05"), ("P|1", "a", 5, 1, "2019-04-05")])
+    snapshots = rfm_wide.month_end_rfm(known, base, ends).filter((F.col("uni_id") != "b") | (F.col("stat_date") == F.lit(ends[0])))
+    patched = rfm_late.patch_month_ends(snapshots, delta, known, ends)
+    assert patched.count() == 9 == patched.select(*rfm_late.SNAPSHOT_KEYS).distinct().count()
+    same(patched, rfm_wide.month_end_rfm(known, base.union(delta), ends))
+
+
+def test_keys_of_month_ends_make_no_sums(trades, customers):
+    days = month_ends(DAY)
+    rows = rfm_wide.month_end_rfm(customers([("P|1", "c")]), trades([("P|1", "c", 1, 5, "2020-01-05")]), days)
+    assert "lambdafunction" not in plan_of(rows.select("uni_id", "stat_date"))
+
+
+def test_whole_levels_are_made_by_one_sort(spark, trades, customers):
+    rows = [("P|1", "c", 1, 5, "2020-01-05"), ("P|2", "c", 2, 7, "2020-01-05"), ("Q|1", "c", 3, 1.1, "2019-02-05"), ("P|1", "c", 4, 2.2, "2020-02-05")]
+    shop = rfm_wide.shop_rfm(customers([(s, c) for s in ("P|1", "P|2", "Q|1") for c in "cd"]), trades(rows), DAY)
+    same(rfm_wide.whole_levels(shop), rfm_wide.all_levels(shop))
+    stored = spark.createDataFrame(shop.collect(), shop.schema)
+    assert "HashAggregate" not in plan_of(rfm_wide.whole_levels(stored))
