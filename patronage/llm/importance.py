@@ -110,12 +110,18 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return good.select(F.col("doc_id").alias("trusted_id")).distinct()
 
 
-def bucket_weights(docs: DataFrame, trusted: DataFrame, bits: int = BITS) -> list[float]:
-    """Log ratio of trusted to raw probability of each bucket, each smoothed by one count for a bucket."""
+def marked_texts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """Word hashes of every text and 1 where it is trusted. Both sides are sorted at all sizes: the ids grow with the documents
+    and are never held whole."""
     docs = docs.select("doc_id", "text")
-    marked = docs.join(trusted, docs["doc_id"] == trusted["trusted_id"], "left").select(
+    return docs.join(trusted.hint("merge"), docs["doc_id"] == trusted["trusted_id"], "left").select(
         hashes_of(words_of(whole_text())).alias("hashes"), F.col("trusted_id").isNotNull().cast("long").alias("is_trusted")
     )
+
+
+def bucket_weights(docs: DataFrame, trusted: DataFrame, bits: int = BITS) -> list[float]:
+    """Log ratio of trusted to raw probability of each bucket, each smoothed by one count for a bucket."""
+    marked = marked_texts(docs, trusted)
     # The outer form, as the plain one adds a filter on the array's size that builds the array a second time.
     grams = marked.select(F.explode_outer(_grams(F.col("hashes"), bits)).alias("bucket"), "is_trusted")
     counts = grams.filter("bucket is not null").groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("is_trusted").alias("good")).collect()  # a row a bucket
@@ -162,7 +168,7 @@ def learn(docs: DataFrame, labels: DataFrame, bits: int = BITS, below: float = B
     weights = bucket_weights(docs, trusted, bits)
     split = docs.select("doc_id", hashes_of(words_of(whole_text())).alias("hashes")).filter("doc_id IS NOT NULL")
     every = split.filter(F.size("hashes") >= MIN_WORDS).select("doc_id", _ratio(F.col("hashes"), weights, bits).alias("ratio"))
-    ratios = written(every.join(trusted, every["doc_id"] == trusted["trusted_id"]).select("ratio"), "op7-ratios")
+    ratios = written(every.join(trusted.hint("merge"), every["doc_id"] == trusted["trusted_id"]).select("ratio"), "op7-ratios")
     cut = _reached(ratios, below)
     return {"weights": weights, "threshold": float("-inf") if cut is None else cut, "bits": bits}
 

@@ -422,3 +422,10 @@ def test_threshold_is_the_exact_percentile(spark, n, below):
     ratios = spark.range(n).select(F.sin(F.col("id").cast("double")).alias("ratio"))
     assert importance._reached(ratios, below) == pytest.approx(ratios.agg(F.percentile("ratio", F.lit(below))).first()[0], abs=1e-12)
     assert importance._reached(ratios.limit(0), below) is None
+
+
+def test_op7_trusted_ids_are_never_held_whole(spark):
+    docs = spark.createDataFrame([("a", "x y"), ("b", None)], "doc_id string, text string")
+    marked = importance.marked_texts(docs, spark.createDataFrame([("a",)], "trusted_id string"))
+    assert "Broadcast" not in marked._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["is_trusted"] for r in marked.collect()) == [0, 1]
