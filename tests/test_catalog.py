@@ -1,6 +1,7 @@
 """Contract and plans of the named queries."""
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -118,3 +119,22 @@ def test_shared_stages_are_read_from_storage(spark, name):
     """Without stored stages each reader of the wide rows, or of the aged ones, would scan the raw lines again."""
     plan = plan_of(QUERIES[name](spark, FOLDER))
     assert plan.count("lineitem.parquet") <= 2
+
+
+def exchanges(df) -> list[str]:
+    return [line for line in plan_of(df).splitlines() if "Exchange hashpartitioning" in line]
+
+
+@needs_data
+@pytest.mark.parametrize("name", ["m19_life_cycle_totals", "m20_life_cycle_report", "v6_sales_structure_year", "w13_daily_rfm_latest_versions"])
+def test_order_lines_are_put_together_once(spark, name):
+    """The plan starts from stored trades and shops, and no trade moves to look up its shop; levels are made behind the shuffle."""
+    df = contract.queries()[name](spark, FOLDER)
+    assert "l_orderkey" not in plan_of(df)
+    assert not [line for line in exchanges(df) if re.search(r"hashpartitioning\((shop_id#|plat_code#\d+, [a-z])|level_shop", line)]
+
+
+@needs_data
+def test_nightly_step_moves_no_stored_trade_to_meet_the_delta(spark):
+    moved = [line for line in exchanges(contract.queries()["w13_daily_rfm_latest_versions"](spark, FOLDER)) if "trade_id" in line]
+    assert all("uni_id" in line for line in moved)  # the trades of the boundary days

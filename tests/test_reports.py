@@ -169,3 +169,39 @@ def test_store_shares(spark):
     stock = offline.member_stock(base, shops, DAY)
     empty = offline.consumption_report(stock, offline.open_shop_consumption(mt.limit(0), DAY), offline.all_shop_consumption(mt.limit(0), DAY), DAY)
     assert {(r.payment_rate, r.date_type) for r in empty.collect()} == {(-1.0, None)}
+
+
+def test_first_purchases_meet_periods_without_a_join(trades, customers):
+    df = trades(ROWS + [("P|2", "stranger", 9, 5, "2019-02-01")])
+    wide = wide_of(trades, customers, ROWS)
+    marked = sales.with_kind(sales.customer_period_rollup(sales.customer_period(df, "year")), wide, "year")
+    kinds = {(r.type, r.uni_shop_id, r.uni_id, r.date_col): r.kind for r in marked.collect()}
+    assert kinds[(3, "P|1", "a", "2019")] == "new" and kinds[(1, None, "a", "2019")] == "returning"
+    assert kinds[(1, None, "stranger", "2019")] is None and kinds[(3, "P|2", "stranger", "2019")] is None
+    assert len(kinds) == marked.count() == 3 * 6
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "hashpartitioning(uni_id" in plan and "level_shop" not in "".join(l for l in plan.splitlines() if "Exchange" in l)
+
+
+def test_cards_are_those_of_the_shops_below(spark, trades, customers):
+    wide, shops, base, relation = cards_input(spark, trades, customers)
+    held = life_cycle.customers_with_cards(wide, shops, base, relation)
+    found = {(r.type, r.plat_code, r.uni_shop_id, r.uni_id): {(c.card_plan_id, c.member_id, c.grade) for c in r.cards} for r in held.collect()}
+    assert len(found) == held.count()
+    cp, other = ("CP", "a", 1), ("OTHER", "a2", 3)
+    assert found[(3, "P", "P|1", "a")] == {cp, other} and found[(3, "P", "P|2", "a")] == {cp}
+    assert found[(2, "P", None, "a")] == found[(1, None, None, "a")] == {cp, other}
+    # Only the shop P|1 takes the other plan, and b is known there and on Q; the card of Q's own plan is of Q and above only.
+    assert found[(2, "Q", None, "b")] == {("ONLY_Q", "b", 2)} and found[(2, "P", None, "b")] == set()
+    assert found[(1, None, None, "b")] == {("ONLY_Q", "b", 2)}
+    assert found[(1, None, None, "d")] == set()  # joined behind the snapshot
+    assert (3, "Q", "Q|2", "e") not in found and found[(2, "Q", None, "e")] == set()  # a shop without a plan
+
+
+def cards_input(spark, trades, customers):
+    wide = wide_of(trades, customers, ROWS + [("Q|2", "e", 8, 5, "2019-01-01")])
+    shops = spark.createDataFrame([*PLANS, ("ONLY_Q", "Q", "1")], "card_plan_id string, plat_code string, shop_id string")
+    rows = [("CP", "a", 1, "2018-01-01"), ("OTHER", "a2", 3, "2018-01-01"), ("ONLY_Q", "b", 2, "2018-01-01"), ("CP", "d", 1, "2019-07-01"), ("CP", "e", 1, "2018-01-01")]
+    base = spark.createDataFrame([(p, m, "P", "P|1", "1", g, at(t)) for p, m, g, t in rows], "card_plan_id string, member_id string, plat_code string, uni_shop_id string, shop_id string, grade int, created timestamp_ntz")
+    relation = spark.createDataFrame([(p, m, m[0]) for p, m, _, _ in rows], "card_plan_id string, member_id string, uni_id string")
+    return wide, shops, base, relation

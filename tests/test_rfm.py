@@ -185,3 +185,19 @@ def test_whole_levels_are_made_by_one_sort(spark, trades, customers):
     same(rfm_wide.whole_levels(shop), rfm_wide.all_levels(shop))
     stored = spark.createDataFrame(shop.collect(), shop.schema)
     assert "HashAggregate" not in plan_of(rfm_wide.whole_levels(stored))
+
+
+def test_first_time_needs_no_ranking_and_no_sort(spark, trades, customers):
+    shop = rfm_wide.shop_rfm(customers([("P|1", "a"), ("P|1", "b")]), trades([("P|1", "a", 1, 5, "2019-01-01"), ("P|9", "a", 2, 5, "2018-01-01")]), DAY)
+    some = shop.select("uni_id", "first_buy_time", "year_buy_times")
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert not any(op in plan for op in ("Window", "Sort", "Join"))
+    assert {tuple(r) for r in some.collect()} == {("a", at("2019-01-01"), 1), ("b", None, 0)}
+
+
+def test_trades_without_a_key_belong_to_nobody(spark, customers):
+    """A customer without tenant is kept and gets no trades, as null keys are not equal."""
+    df = spark.createDataFrame([(None, "P", "P|1", "a", 1, 5.0, 1, at("2019-01-01"))], TRADE)
+    known = customers([("P|1", "a")]).withColumn("tenant", F.lit(None).cast("string"))
+    (row,) = rfm_wide.shop_rfm(known, df, DAY).collect()
+    assert (row.first_buy_time, row.year_buy_times, row.year_payment) == (None, 0, 0.0)
