@@ -18,6 +18,8 @@ cloudpickle.register_pickle_by_value(patronage.llm)
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Bytes of an Arrow batch where memory is short.
+BATCH_BYTES = 4_000_000
 
 #: Each byte as it counts in a normalised text: letters lower-cased, digits, bytes beyond ASCII, and spaces for the rest.
 _NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -76,10 +78,17 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dic
         for batch in batches:
             if batch.num_rows:
                 yield pa.RecordBatch.from_pydict(step(batch))
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def in_small_batches(spark: SparkSession) -> None:
+    """From now on Arrow batches of this session hold about BATCH_BYTES instead of 64 MB: an executor has a batch of each
+    task twice, in the JVM, where buffers double as they fill, and in the Python worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def give_back() -> None:
     """Return freed memory to the system. Workers live on between tasks, and what they hold counts for their executor."""
     pa.default_memory_pool().release_unused()

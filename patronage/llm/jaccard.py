@@ -53,7 +53,7 @@ BLOCK = 1000
 #: Index keys that a task packs together.
 BLOCK_KEYS = 1_000_000
 #: Members of sets for each bucket of index keys.
-BUCKET_MEMBERS = 4_000_000
+BUCKET_MEMBERS = 2_000_000
 #: Sketch bits for each member in which similar sets may differ.
 BITS_EACH = 8
 
@@ -151,17 +151,24 @@ def _as_long(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-def sets_of(docs: DataFrame, items_of: Items, also: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, node, n_items) of every row, and the columns of docs named in also."""
+def sets_of(docs: DataFrame, items_of: Items, also: tuple[str, ...] = (), percent: int | None = None) -> DataFrame:
+    """(doc_id, node, n_items) of every row, the columns of docs named in also and, where a percent is given, the sketch."""
 
     def make() -> Callable[[pa.RecordBatch], dict]:
         def step(batch: pa.RecordBatch) -> dict:
-            items = [items_of(text.as_py()) for text in batch["text"]]
-            return {"doc_id": batch["doc_id"], "node": [node_of(i) for i in items], "n_items": [len(i) for i in items]} | {c: batch[c] for c in also}
+            nodes, sizes, sketches = [], [], []
+            for text in batch["text"]:  # one set at a time: a batch's sets are larger than its texts
+                items = items_of(text.as_py())
+                nodes.append(node_of(items))
+                sizes.append(len(items))
+                if percent is not None:
+                    sketches.append(_sketch(items, percent))
+            sketched = {} if percent is None else {"sketch": pa.array(sketches, pa.binary())}
+            return {"doc_id": batch["doc_id"], "node": nodes, "n_items": sizes} | {c: batch[c] for c in also} | sketched
 
         return step
 
-    kinds = "".join(f", {c} {type_of(docs, c)}" for c in also)
+    kinds = "".join(f", {c} {type_of(docs, c)}" for c in also) + (", sketch binary" if percent is not None else "")
     return map_batches(docs.select("doc_id", "text", *also), make, f"doc_id {type_of(docs, 'doc_id')}, node long, n_items long{kinds}")
 
 
@@ -188,10 +195,12 @@ def _indexed(docs: DataFrame, items_of: Items, make_keys: MakeKeys, buckets: int
 
         def closed() -> pa.RecordBatch:
             every = np.concatenate(keys)
-            at = np.repeat(np.arange(len(keys), dtype=np.uint64), [len(k) for k in keys])
-            bucket = every % np.uint64(buckets)
+            at = np.repeat(np.arange(len(keys), dtype=np.uint32), [len(k) for k in keys])
+            keys.clear()
+            bucket = (every % np.uint64(buckets)).astype(np.uint32)
             order = np.lexsort((every, bucket))
             every, at, bucket = every[order], at[order], bucket[order]
+            del order
             held, out = np.array(nodes, dtype=np.int64).view(np.uint64), []
             for a, b in zip(*(lambda c: (c[:-1], c[1:]))(np.searchsorted(bucket, np.arange(buckets + 1))), strict=True):
                 if a < b:
@@ -199,7 +208,6 @@ def _indexed(docs: DataFrame, items_of: Items, make_keys: MakeKeys, buckets: int
                     steps = np.diff(every[a:b], prepend=np.uint64(0))
                     out.append((int(bucket[a]), held[own.astype(np.int64)].tobytes(), _packed(steps), _packed(place)))
             nodes.clear()
-            keys.clear()
             kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
             return pa.RecordBatch.from_pydict({c: pa.array([o[k] for o in out], kinds[k]) for k, c in enumerate(("bucket", "nodes", "keys", "at"))})
 
@@ -226,6 +234,11 @@ def _indexed(docs: DataFrame, items_of: Items, make_keys: MakeKeys, buckets: int
 def _met_at(keys: np.ndarray, nodes: np.ndarray) -> tuple[list[int | None], list[int], list[int]]:
     """Candidates (large, a, b) among (key, node): the pairs of small keys, and the nodes of larger ones as (key, node,
     node)."""
+    order = np.argsort(keys)
+    keys, met = keys[order], np.zeros(len(keys) + 1, dtype=bool)
+    met[1:-1] = keys[1:] == keys[:-1]
+    met = met[1:] | met[:-1]  # most keys have one node only and go before anything else is copied
+    keys, nodes = keys[met], nodes[order[met]]
     order = np.lexsort((nodes, keys))
     keys, nodes = keys[order], nodes[order]
     new = np.ones(len(keys), dtype=bool)
@@ -261,9 +274,10 @@ def candidates(docs: DataFrame, items_of: Items, make_keys: MakeKeys, members: i
         at, keys, nodes = None, [], []
 
         def closed() -> pa.RecordBatch:
-            found = _met_at(np.concatenate(keys), np.concatenate(nodes))
+            every, of = np.concatenate(keys), np.concatenate(nodes)
             keys.clear()
             nodes.clear()
+            found = _met_at(every, of)
             return pa.RecordBatch.from_pydict({c: pa.array(f, pa.int64()) for c, f in zip(("large", "a", "b"), found, strict=True)})
 
         for batch in batches:
@@ -328,10 +342,15 @@ def _items_of(docs: DataFrame, members: DataFrame, needed: DataFrame, items_of:
     return map_batches(texts, make, "node long, n long, sketch binary, items array<long>").dropDuplicates(["node"])
 
 
-def _may_be_near(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+def _sketches(members: DataFrame, needed: DataFrame) -> DataFrame:
+    """(node, n, sketch) of the needed nodes."""
+    return members.join(needed, "node", "left_semi").select("node", F.col("n_items").alias("n"), "sketch").dropDuplicates(["node"])
+
+
+def _may_be_near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sizes and sketches allow the similarity; sketches are far smaller than sets."""
-    of_a = items.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("of_a"))
-    of_b = items.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("of_b"))
+    of_a = sketches.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("of_a"))
+    of_b = sketches.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("of_b"))
     sketched = pairs.join(of_b, "b").join(of_a, "a").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,7 +364,6 @@ def _may_be_near(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
 
 def verified(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose similarity reaches percent / 100, by exact counts."""
-    pairs = _may_be_near(pairs, items, percent)
     of_a = items.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("items").alias("of_a"))
     of_b = items.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("items").alias("of_b"))
     both = pairs.join(of_b, "b").join(of_a, "a").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
@@ -400,7 +418,7 @@ def _near_in_block(group: list[tuple], percent: int) -> list[tuple[int, int]]:
     return out
 
 
-def _rest(rows: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+def _rest(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that meet at a larger key and whose sketches allow the similarity."""
     counts = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
@@ -411,7 +429,7 @@ def _rest(rows: DataFrame, items: DataFrame, percent: int) -> DataFrame:
         .withColumn("own", own)
         .withColumn("pair", pair)
         .select("key", "pair.i", "pair.j", ((F.col("own") != F.col("pair.i"))).cast("int").alias("side"), "node", "root")
-        .join(items.select("node", "n", "sketch"), "node")
+        .join(sketches, "node")
     )
     columns = ["key", "i", "j", "side", "node", "root", "n", "sketch"]
     sorted_rows = dealt.select(*columns).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
@@ -438,28 +456,40 @@ def _rest(rows: DataFrame, items: DataFrame, percent: int) -> DataFrame:
 
 def classes(docs: DataFrame, items_of: Items, make_keys: MakeKeys, percent: int, also: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, node, n_items, root and the columns named in also of every row: rows of one root are linked by sets whose
-    similarity reaches percent / 100. Any two such sets have to share an index key."""
+    similarity reaches percent / 100. Any two such sets have to share an index key.
+
+    Candidates meet as sketches, which are stored with the members. Only sets of pairs that these allow are made again from
+    their texts and moved."""
     keyed = docs.withColumn("_digest", F.xxhash64("text"))
-    members = written(sets_of(keyed, items_of, (*also, "_digest")), "jaccard-sets")
+    members = written(sets_of(keyed, items_of, (*also, "_digest"), percent), "jaccard-sets")
     total = members.agg(F.coalesce(F.sum("n_items"), F.lit(0))).collect()[0][0]
     met = written(candidates(docs, items_of, make_keys, total), "jaccard-met")
     needed = met.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    items = written(_items_of(docs, members, needed, items_of, percent), "jaccard-items")
+    sketches = written(_sketches(members, needed), "jaccard-sketches")
+
+    def exact(pairs: DataFrame, name: str) -> DataFrame:
+        near = written(_may_be_near(pairs.distinct(), sketches, percent), "jaccard-near")
+        if near.isEmpty():
+            return near
+        of_near = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        items = written(_items_of(docs, members, of_near, items_of, percent).select("node", "n", "items"), "jaccard-items")
+        return written(verified(near, items, percent), name)
+
     few = met.filter("large is null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     large = written(met.filter("large is not null").select(F.col("large").alias("key"), F.col("a").alias("node")).distinct(), "jaccard-large")
-    links = written(verified(few.union(_hub_pairs(large)).distinct(), items, percent), "jaccard-links")
+    links = exact(few.union(_hub_pairs(large)), "jaccard-links")
     roots = components(links)
     rows = written(_open(large, roots), "jaccard-open")
     # A second hub joins most of what the first left apart, before blocks compare the rest pair by pair.
-    for pairs, name in ((_second_hub_pairs, "jaccard-second"), (partial(_rest, items=items, percent=percent), "jaccard-rest")):
+    for pairs, name in ((_second_hub_pairs, "jaccard-second"), (partial(_rest, sketches=sketches, percent=percent), "jaccard-rest")):
         if rows.isEmpty():
             break
-        more = written(verified(pairs(rows).distinct(), items, percent), name)
+        more = exact(pairs(rows), name)
         if not more.isEmpty():
             links = links.union(more)
             roots = components(links)
             rows = written(_open(rows.select("key", "node"), roots), "jaccard-open") if name == "jaccard-second" else rows
-    return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return members.drop("sketch").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
 def _banded(percent: int) -> Callable[[np.ndarray], np.ndarray]:

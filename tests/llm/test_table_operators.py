@@ -3,9 +3,12 @@
 import os
 import random
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import duckdb
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from cases import AWKWARD, near_copies
 from pyspark.sql import functions as F
@@ -13,7 +16,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from patronage.llm import chunks, jaccard, mixing, queries, sharding
-from patronage.llm.common import written
+from patronage.llm.common import BATCH_BYTES, written
 from patronage.llm.components import components
 
 FOLDER = "/root/testdata/sf0.001"
@@ -143,6 +146,49 @@ def test_rows_without_an_id_are_shingled_once_a_set(spark, n):
     assert sorted(r["count"] for r in rows) == [2] * n
 
 
+def test_sets_are_made_again_only_where_sketches_allow_the_pair(spark):
+    """Six sets meet at one key and two of them are near: these alone are made again to be compared."""
+    texts = [" ".join(f"w{k}x{j}" for j in range(40)) for k in range(5)]
+    docs = spark.createDataFrame([*enumerate(texts), (9, texts[0] + " more")], "doc_id long, text string").repartition(1)
+    read = spark.sparkContext.accumulator(0)
+
+    def items_of(text):
+        read.add(1)
+        return jaccard.shingles(text, 1)
+
+    found = jaccard.classes(docs, items_of, lambda: lambda items: np.array([7], dtype=np.uint64), 80).collect()
+    assert read.value == 6 + 6 + 2  # each set's sketch, its index keys, and the near ones
+    assert len({r.root for r in found}) == 5 and len({r.root for r in found if r.doc_id in (0, 9)}) == 1
+
+
+def test_candidates_equal_brute_force():
+    rng = np.random.default_rng(5)
+    keys, nodes = rng.integers(0, 900, 1500).astype(np.uint64), rng.integers(0, 400, 1500)
+    keys[:60] = 7
+    by_key = defaultdict(set)
+    for key, node in zip(keys.tolist(), nodes.tolist(), strict=True):
+        by_key[key].add(node)
+    pairs = Counter((None, *p) for found in by_key.values() if len(found) <= jaccard.FEW for p in combinations(sorted(found), 2))
+    large = Counter((key, n, n) for key, found in by_key.items() if len(found) > jaccard.FEW for n in found)
+    assert large and Counter(zip(*jaccard._met_at(keys, nodes), strict=True)) == pairs + large
+    assert jaccard._met_at(np.arange(5, dtype=np.uint64), np.arange(5)) == ([], [], [])
+
+
+@pytest.mark.parametrize("stage", [name for name, _ in corpus_pipeline.STAGES if name != "mixing sources"])
+def test_stages_take_texts_to_python_in_small_batches(spark, stage):
+    """Thirty megabytes of text came as one batch."""
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    dict(corpus_pipeline.STAGES)[stage](spark, docs.limit(20), FOLDER)
+    long = spark.range(0, 300, 1, 1).select(F.repeat(F.lit("some words "), 9000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.nbytes], pa.int64())})
+
+    assert max(r.n for r in long.mapInArrow(sizes, "n long").collect()) < 1.2 * BATCH_BYTES
+
+
 def test_one_row_of_each_component_stays(spark):
     """Also where an id repeats with equal or near texts, and where ids are missing."""
     text = " ".join(f"w{k}" for k in range(60))
