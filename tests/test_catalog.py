@@ -94,6 +94,14 @@ def test_every_member_of_a_caring_shop_is_reached(spark):
     assert "EXISTS" not in contract.oracle_sql()["e8_festival_members"]
 
 
+@needs_data
+def test_members_on_platforms_are_looked_up_among_customers(spark):
+    """The SQL looks for contact and account among all customers, those by trades too, and still has every caring member."""
+    test_rows_match_sql(spark, "e8_festival_members_on_platforms")
+    found = contract.oracle_sql()["e8_festival_members_on_platforms"]
+    assert "lineitem" in found and found.count("EXISTS") == 2
+
+
 def test_card_holders_have_an_account_without_a_trade(spark, tmp_path):
     """A member of the nation's first shop, whose only trades and prospect shop are elsewhere."""
     from patronage.sources.testtables import Tables
