@@ -3,8 +3,9 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from patronage.constants import CUSTOMER_KEYS
+from patronage.functions.calendar import month_ends
 from patronage.operators import assets, category, conversion, life_cycle, offline, points, rfm_wide, sales, segmentation
-from rows import at
+from rows import at, same
 
 DAY = date(2019, 6, 30)
 
@@ -205,3 +206,18 @@ def cards_input(spark, trades, customers):
     base = spark.createDataFrame([(p, m, "P", "P|1", "1", g, at(t)) for p, m, g, t in rows], "card_plan_id string, member_id string, plat_code string, uni_shop_id string, shop_id string, grade int, created timestamp_ntz")
     relation = spark.createDataFrame([(p, m, m[0]) for p, m, _, _ in rows], "card_plan_id string, member_id string, uni_id string")
     return wide, shops, base, relation
+
+
+def test_month_ends_carry_cards_like_their_wide_rows(spark, trades, customers):
+    """The history puts cards beside customers before the days; a day gets those joined by then. Rows equal those of the wide table."""
+    _, shops, base, relation = cards_input(spark, trades, customers)
+    rows = ROWS + [("Q|2", "e", 8, 5, "2019-01-01")]
+    df, known = trades(rows), customers(sorted({(s, c) for s, c, *_ in rows} | {("P|1", "d")}))
+    days = month_ends(date(2019, 8, 15), 4)
+    wide = rfm_wide.month_end_levels(known, df, days)
+    report = life_cycle.life_cycle_history(known, df, days, shops, base, relation)
+    same(report, life_cycle.life_cycle_report(wide, shops, base, relation))
+    held = life_cycle.month_ends_with_cards(known, df, days, shops, base, relation)
+    assert {(str(r.stat_date), len(r.cards)) for r in held.filter("uni_id = 'd' AND type = 3").collect()} == {("2019-07-31", 1), ("2019-06-30", 0), ("2019-05-31", 0), ("2019-04-30", 0)}
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Exchange hashpartitioning(uni_id" in line and "stat_date" in line]
